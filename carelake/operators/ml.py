@@ -45,20 +45,18 @@ def feature_table(adm: DataFrame, keep: list[str] | None = None) -> DataFrame:
     )
 
 
-def _allocate(strata: DataFrame, size: str, total: Column, out: str) -> DataFrame:
+def _allocate(strata: DataFrame, size: str, total: str, out: str) -> DataFrame:
     """Share `total` among strata in proportion to `size`, by largest remainder.
 
     Whole-number arithmetic throughout; `strata` has one row per class.
     """
     everything = Window.partitionBy()
     c = F.col
-    product = total * c(size)
-    pool = F.sum(size).over(everything)
     ranked = (
-        strata.withColumn("_pool", pool)
-        .withColumn("_floor", F.expr(f"({_sql(total)} * {size}) div _pool"))
-        .withColumn("_rest", product % c("_pool"))
-        .withColumn("_short", total - F.sum("_floor").over(everything))
+        strata.withColumn("_pool", F.sum(size).over(everything))
+        .withColumn("_floor", F.expr(f"({total} * {size}) div _pool"))
+        .withColumn("_rest", F.expr(f"({total} * {size}) % _pool"))
+        .withColumn("_short", c(total) - F.sum("_floor").over(everything))
         .withColumn(
             "_place", F.row_number().over(everything.orderBy(c("_rest").desc(), c("_stratum")))
         )
@@ -69,10 +67,6 @@ def _allocate(strata: DataFrame, size: str, total: Column, out: str) -> DataFram
     )
 
 
-def _sql(column: Column) -> str:
-    return column._jc.toString()
-
-
 def split_sizes(counts: DataFrame) -> DataFrame:
     """70/15/15 sizes per stratum from (_stratum, _n): train takes all but 30% of
     the rows rounded up, test half of the others rounded up, validation the rest."""
@@ -83,10 +77,10 @@ def split_sizes(counts: DataFrame) -> DataFrame:
         .withColumn("_train_total", F.expr("_all - (3 * _all + 9) div 10"))
         .withColumn("_val_total", F.expr("(_all - _train_total) div 2"))
     )
-    train = _allocate(total, "_n", c("_train_total"), "n_train").withColumn(
+    train = _allocate(total, "_n", "_train_total", "n_train").withColumn(
         "_other", c("_n") - c("n_train")
     )
-    both = _allocate(train, "_other", c("_val_total"), "n_val")
+    both = _allocate(train, "_other", "_val_total", "n_val")
     return both.select("_stratum", "_n", "n_train", "n_val")
 
 
