@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("scalars",)
+MODULES = ("scalars", "tables", "exploring")
 
 
 def all_queries() -> tuple[dict, dict]:
