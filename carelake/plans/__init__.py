@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("scalars", "tables", "exploring", "joining", "indicators")
+MODULES = ("scalars", "tables", "exploring", "joining", "indicators", "features", "loading", "streams")
 
 
 def all_queries() -> tuple[dict, dict]:

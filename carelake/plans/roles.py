@@ -93,7 +93,7 @@ ADMISSION = {
     "complexidade": "case when l_tax >= 0.05 then '03' else '02' end",
     # Linkage columns.
     "data": f"{_SHIP} + {_STAY}",
-    "idade": "cast(20 + l_quantity as int)",
+    "idade": "cast(20 + floor(l_quantity / 10) as int)",
     "pessoa": "cast(l_orderkey % 5000 as string)",
 }
 
@@ -117,7 +117,7 @@ DEATH = {
     # Linkage columns.
     "data": _BORN,
     "sexo": "cast(1 + 2 * (o_orderkey % 2) as int)",
-    "idade": "cast(21 + o_orderkey % 50 as int)",
+    "idade": "cast(20 + o_orderkey % 6 as int)",
     "pessoa": "cast(o_custkey % 5000 as string)",
 }
 
