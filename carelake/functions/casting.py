@@ -5,20 +5,25 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Java reads a trailing d or f as a type suffix ("1d" = 1.0); the files do not.
-_SUFFIXED = r"(?i)[0-9.][df]\s*$"
+# Shapes are checked before each cast. A failed cast raises and swallows an
+# exception per row, which costs far more than the check; and Java would read a
+# trailing d or f as a type suffix ("1d" = 1.0).
+_INTEGER = r"^\s*[+-]?[0-9]+\s*$"
+_NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+_SPECIAL = r"(?i)^\s*[+-]?(nan|inf|infinity)\s*$"
 
 
 def to_double(c: Column) -> Column:
     text = c.cast("string")
-    return F.when(~text.rlike(_SUFFIXED), text.try_cast("double"))
+    return F.when(text.rlike(_NUMBER) | text.rlike(_SPECIAL), text.try_cast("double"))
 
 
 def _to_integral(c: Column, kind: str) -> Column:
-    # Plain integers take the first branch; "12.5" (13) and "4e2" (400) take the
-    # second, which coalesce only evaluates when the first one gives NULL.
+    """Integers as they are; '12.5' rounds to 13 and '4e2' reads as 400."""
     text = c.cast("string")
-    return F.coalesce(text.try_cast(kind), F.round(to_double(text)).try_cast(kind))
+    return F.when(text.rlike(_INTEGER), text.try_cast(kind)).when(
+        text.rlike(_NUMBER), F.round(text.try_cast("double")).try_cast(kind)
+    )
 
 
 def to_int(c: Column) -> Column:

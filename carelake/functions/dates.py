@@ -8,12 +8,27 @@ from pyspark.sql import functions as F
 from carelake.functions.casting import to_int
 
 
+# Eight digits naming a day its month can have. The text is then cast as an ISO
+# date, which needs no formatter; only 29 February of a common year is left for
+# the failing path of the cast, which is slow.
+_D28, _D30, _D31 = "(0[1-9]|[12][0-9])", "(0[1-9]|[12][0-9]|30)", "(0[1-9]|[12][0-9]|3[01])"
+_M31, _M30 = "(0[13578]|1[02])", "(0[469]|11)"
+_YMD = f"^[0-9]{{4}}({_M31}{_D31}|{_M30}{_D30}|02{_D28})$"
+_DMY = f"^({_D31}{_M31}|{_D30}{_M30}|{_D28}02)[0-9]{{4}}$"
+
+
+def _iso(c: Column, year: int, month: int, day: int) -> Column:
+    return F.concat_ws(
+        "-", F.substring(c, year, 4), F.substring(c, month, 2), F.substring(c, day, 2)
+    ).try_cast("date")
+
+
 def parse_ymd(c: Column) -> Column:
-    return F.try_to_date(c, "yyyyMMdd")
+    return F.when(c.rlike(_YMD), _iso(c, 1, 5, 7))
 
 
 def parse_dmy(c: Column) -> Column:
-    return F.try_to_date(c, "ddMMyyyy")
+    return F.when(c.rlike(_DMY), _iso(c, 5, 3, 1))
 
 
 def period_date(year: Column, month: Column) -> Column:

@@ -3,7 +3,7 @@ so a key that holds a large share of the rows is folded map-side first."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from carelake import functions as cf
@@ -79,6 +79,37 @@ def care_cascade(adm: DataFrame, deaths: DataFrame | None = None) -> DataFrame:
 FACILITY_ATTRIBUTES = ("codufmun", "tp_unid", "esfera", "clientela")
 
 
+def _stay_histogram(adm: DataFrame, keys: list[str]) -> DataFrame:
+    """Partial sums per group and stay length, with the group's middle stays marked.
+
+    An exact median from a built-in aggregate keeps one map object per group and
+    sorts its input to do so. Folded by whole days first, a group has at most one
+    row per stay length; a running count over those finds the middle, and the
+    grouping that follows reuses the window's partitioning.
+    """
+    c = F.col
+    cells = adm.groupBy(*keys, "dias_perm").agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.count("dias_perm").alias("_ns"),
+        F.sum("morte").alias("_d"),
+        F.count("morte").alias("_nd"),
+        F.sum("uso_uti").alias("_u"),
+        F.count("uso_uti").alias("_nu"),
+        F.sum(c("val_tot").cast("decimal(18,2)")).alias("_v"),
+        F.count("val_tot").alias("_nv"),
+        F.sum("idade_anos").alias("_a"),
+        F.count("idade_anos").alias("_na"),
+        F.sum(cf.flag(c("csap_flag"))).alias("_c"),
+    )
+    group = Window.partitionBy(*keys)
+    upto = F.sum("_ns").over(group.orderBy("dias_perm"))
+    counted = cells.withColumn("_hi", upto).withColumn("_all", F.sum("_ns").over(group))
+    holds = lambda rank: (rank >= c("_hi") - c("_ns")) & (rank < c("_hi"))
+    return counted.withColumn(
+        "_low", F.when(holds(F.floor((c("_all") - 1) / 2)), c("dias_perm"))
+    ).withColumn("_high", F.when(holds(F.floor(c("_all") / 2)), c("dias_perm")))
+
+
 def hospital_panel(adm: DataFrame, facilities: DataFrame | None = None) -> DataFrame:
     """Metrics per hospital, diagnosis group and month.
 
@@ -87,22 +118,22 @@ def hospital_panel(adm: DataFrame, facilities: DataFrame | None = None) -> DataF
     rows meet the join and the hot hospitals are already folded.
     """
     c = F.col
+    keys = ["cnes", "cid3", "ano", "mes"]
     panel = (
-        adm.where(c("cid3").isNotNull() & c("cnes").isNotNull())
-        .groupBy("cnes", "cid3", "ano", "mes")
+        _stay_histogram(adm.where(c("cid3").isNotNull() & c("cnes").isNotNull()), keys)
+        .groupBy(*keys)
         .agg(
-            F.count(F.lit(1)).alias("n_internacoes"),
-            F.sum("morte").alias("n_mortes"),
-            F.avg("morte").alias("taxa_mortalidade"),
-            F.avg("dias_perm").alias("perm_media"),
-            # Whole days: the state is one counter per distinct stay length.
-            F.median("dias_perm").alias("perm_mediana"),
-            F.sum("uso_uti").alias("n_uti"),
-            F.avg("uso_uti").alias("uti_pct"),
-            cf.money_sum(c("val_tot")).alias("custo_total"),
-            cf.money_avg(c("val_tot")).alias("custo_medio"),
-            F.avg("idade_anos").alias("idade_media"),
-            F.sum(cf.flag(c("csap_flag"))).alias("n_csap"),
+            F.sum("_n").alias("n_internacoes"),
+            F.sum("_d").alias("n_mortes"),
+            cf.guarded_ratio(F.sum("_d"), F.sum("_nd")).alias("taxa_mortalidade"),
+            cf.guarded_ratio(F.sum(c("dias_perm") * c("_ns")), F.sum("_ns")).alias("perm_media"),
+            ((F.max("_low") + F.max("_high")) / 2).alias("perm_mediana"),
+            F.sum("_u").alias("n_uti"),
+            cf.guarded_ratio(F.sum("_u"), F.sum("_nu")).alias("uti_pct"),
+            F.sum("_v").cast("double").alias("custo_total"),
+            F.try_divide(F.sum("_v").cast("double"), F.sum("_nv")).alias("custo_medio"),
+            cf.guarded_ratio(F.sum("_a"), F.sum("_na")).alias("idade_media"),
+            F.sum("_c").alias("n_csap"),
         )
         .withColumn("competencia", cf.period_date(c("ano"), c("mes")))
     )

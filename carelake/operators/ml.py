@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from carelake import functions as cf
@@ -169,50 +169,56 @@ def feature_stats(features: DataFrame, keys=("sexo", "faixa_etaria", "ano")) ->
     )
 
 
-def row_checksum(df: DataFrame) -> Column:
-    """Order-independent checksum over all columns, as an aggregate."""
-    return F.sum(F.xxhash64(*[F.col(x) for x in df.columns]).cast("decimal(38,0)")).cast("string")
+SPLITS = ("train", "val", "test")
+
+
+def _split_metrics(columns: list[str]) -> list[Column]:
+    """Size, target sum and an order-independent row checksum of each split."""
+    c = F.col
+    row = F.xxhash64(*[c(x) for x in columns]).cast("decimal(38,0)")
+    out = []
+    for name in SPLITS:
+        inside = c("split") == name
+        out += [
+            F.count_if(inside).alias(f"n_{name}"),
+            F.sum(F.when(inside, c(TARGET))).alias(f"d_{name}"),
+            F.sum(F.when(inside, row)).cast("string").alias(f"sum_{name}"),
+        ]
+    return out
 
 
 def write_dataset(split: DataFrame, path: str, source: str) -> dict:
     """Write the splits under `path` and return the metadata kept beside them.
 
-    The full set is the union of the split partitions of one table; only a few
-    numbers per split come back to the driver.
+    The full set is the union of the split partitions of one table. The numbers
+    are observed while writing, so nothing is read back.
     """
-    split.write.mode("overwrite").partitionBy("split").option("compression", "zstd").parquet(
-        f"{path}/data"
-    )
-    stored = split.sparkSession.read.parquet(f"{path}/data")
-    rows = (
-        stored.groupBy("split")
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.avg(TARGET).alias("rate"),
-            row_checksum(stored).alias("sum"),
-        )
-        .collect()
-    )
-    parts = {r["split"]: r for r in rows}
-    size = lambda s: parts[s]["n"] if s in parts else 0
+    seen = Observation()
+    columns = [x for x in split.columns if x != "split"]
+    split.observe(seen, *_split_metrics(columns)).write.mode("overwrite").partitionBy(
+        "split"
+    ).option("compression", "zstd").parquet(f"{path}/data")
+    got = seen.get
+    size = {name: got[f"n_{name}"] for name in SPLITS}
+    rate = {name: got[f"d_{name}"] / n if n else None for name, n in size.items()}
     meta = {
         "version": "v1",
         "created_at": datetime.now(timezone.utc).isoformat(),
         "source": source,
-        "n_total": sum(r["n"] for r in rows),
-        "n_train": size("train"),
-        "n_val": size("val"),
-        "n_test": size("test"),
+        "n_total": sum(size.values()),
+        **{f"n_{name}": n for name, n in size.items()},
         "target": TARGET,
-        "target_rate": {s: r["rate"] for s, r in parts.items()},
+        "target_rate": rate,
         "features": list(FEATURES),
         "feature_types": FEATURES,
         "excluded_features_leakage": list(LEAKY_COLUMNS),
         "filters_applied": FILTERS,
         "random_state": SEED,
         "split_strategy": "stratified_by_target_70_15_15",
-        "checksum": {s: r["sum"] for s, r in parts.items()},
+        "checksum": {name: got[f"sum_{name}"] for name in SPLITS},
     }
-    split.sparkSession.createDataFrame([(json.dumps(meta, ensure_ascii=False),)], "value string") \
-        .coalesce(1).write.mode("overwrite").text(f"{path}/metadata")
+    text = json.dumps(meta, ensure_ascii=False)
+    split.sparkSession.range(1).select(F.lit(text).alias("value")).write.mode("overwrite").text(
+        f"{path}/metadata"
+    )
     return meta

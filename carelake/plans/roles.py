@@ -13,6 +13,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from carelake.session import tune
+
 
 def _letter(k: str) -> str:
     return f"substr('ABCDEFGHIJKLMNOPQRSTVWXYZ', cast(({k}) % 25 as int) + 1, 1)"
@@ -274,7 +276,7 @@ class Tables:
     """The driver tables of one folder, and the roles derived from them."""
 
     def __init__(self, spark: SparkSession, folder: str):
-        self.spark = spark
+        self.spark = tune(spark)
         self.folder = folder
 
     def path(self, name: str) -> str:

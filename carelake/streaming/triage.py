@@ -215,7 +215,7 @@ def process_batch(
     n: int = 3,
 ) -> Callable[[DataFrame, int], None]:
     """foreachBatch body. Beds and registry are loaded per batch, so new months are
-    seen; the batch is persisted because it feeds three writes."""
+    seen; what feeds several writes is persisted for the length of the batch."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
         decoded = decode(batch.select("value")).persist()
@@ -226,9 +226,12 @@ def process_batch(
                 dead_letter_path
             )
             beds, facilities = load_units()
-            found = recommend_units(alerts(events(decoded)), beds, facilities, n)
-            publish(alert_message(found))
-            store_alerts(found, store_path)
+            found = recommend_units(alerts(events(decoded)), beds, facilities, n).persist()
+            try:
+                publish(alert_message(found))
+                store_alerts(found, store_path)
+            finally:
+                found.unpersist()
         finally:
             decoded.unpersist()
 
