@@ -212,11 +212,11 @@ def series_by_period(t):
 _PANEL_METRICS = f"""cast(sum(n_internacoes) as bigint) as internacoes, cast(sum(n_mortes) as bigint) as mortes,
     round(case when sum(n_internacoes) > 0 then sum(n_mortes)::double / sum(n_internacoes)::double end, 6) as mortalidade,
     round(avg(perm_media), 6) as perm_media, round(avg(uti_pct), 6) as uti_pct, {money("custo_total")} as custo_total,
-    round(avg(custo_medio), 4) as custo_medio"""
+    round(avg(custo_medio), 7) as custo_medio"""
 
 
 def _panel_round(df):
-    return _round(_round(df, "mortalidade", "perm_media", "uti_pct"), "custo_medio", digits=4)
+    return _round(_round(df, "mortalidade", "perm_media", "uti_pct"), "custo_medio", digits=7)
 
 
 @query(

@@ -42,14 +42,14 @@ def shared_root(spark: SparkSession) -> str:
     Only a local master may fall back to a folder of its own; on a cluster a
     machine-local path would be invisible to the other executors.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    root = tempfile.mkdtemp(prefix="carelake-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not root:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
+        root = tempfile.mkdtemp(prefix="carelake-")
+        context.setCheckpointDir(root)
+    return root.rstrip("/")
 
 
 def shared_path(spark: SparkSession, label: str) -> str:
