@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from carelake import functions as cf
 from carelake.functions.codes import URGENT_CODES
-from carelake.operators.quantiles import exact_quantiles
+from carelake.operators.quantiles import with_quantiles
 from carelake.operators.windows import top_rows
 
 
@@ -26,6 +26,27 @@ def rate_by(df: DataFrame, *keys: str) -> DataFrame:
     )
 
 
+def rate_by_each(df: DataFrame, keys: list[str]) -> DataFrame:
+    """rate_by for each key on its own, as (grupo, valor) rows, in one scan.
+
+    Rows are folded to the combinations of the keys before those are unpivoted, so
+    this suits keys of few values; use rate_by for a key of many.
+    """
+    cells = _folded(df, keys, [])
+    pairs = [
+        F.struct(F.lit(k).alias("grupo"), F.col(k).cast("string").alias("valor")) for k in keys
+    ]
+    return (
+        cells.select("_n", "_d", F.explode(F.array(*pairs)).alias("_p"))
+        .groupBy("_p.grupo", "_p.valor")
+        .agg(
+            F.sum("_n").alias("n"),
+            F.sum("_d").alias("obitos"),
+            cf.percent(F.sum("_d"), F.sum("_n")).alias("tx_mort_pct"),
+        )
+    )
+
+
 def volume_by_period(df: DataFrame, year: str = "ano", month: str = "mes") -> DataFrame:
     return df.groupBy(year, month).agg(_n().alias("n")).orderBy(year, month)
 
@@ -102,7 +123,7 @@ def stay_quantiles(adm: DataFrame, keys: list[str]) -> DataFrame:
         F.max("dias_perm").alias("max"),
         F.avg("dias_perm").alias("mean"),
     )
-    return basic.join(exact_quantiles(adm, keys, "dias_perm", STAY_PROBS), keys, "left")
+    return with_quantiles(basic, adm, keys, "dias_perm", STAY_PROBS)
 
 
 def transferred(df: DataFrame) -> DataFrame:
@@ -233,7 +254,8 @@ def weekday_distribution(df: DataFrame, day: str) -> DataFrame:
 
 def month_day_distribution(df: DataFrame, day: str) -> DataFrame:
     counts = df.groupBy(F.dayofmonth(day).alias("dom")).agg(_n().alias("n"))
-    total = counts.agg(F.sum("n")).scalar()
+    # At most 32 rows are left for the total.
+    total = F.sum("n").over(Window.partitionBy())
     return counts.withColumn("pct", cf.percent(F.col("n"), total)).orderBy("dom")
 
 
@@ -247,6 +269,11 @@ def distinct_people(staff: DataFrame, code_prefix: str = "22") -> DataFrame:
     )
 
 
+def beds_per_facility(beds: DataFrame) -> DataFrame:
+    """Public beds per facility and month, over all its bed types."""
+    return beds.groupBy("cnes", "competen").agg(F.sum("qt_sus").alias("leitos_sus"))
+
+
 def conditional_sum(equipment: DataFrame, code: str = "44") -> DataFrame:
     """Units in use of one equipment code that are open to the public network."""
     c = F.col

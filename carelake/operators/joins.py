@@ -12,6 +12,15 @@ from pyspark.sql import functions as F
 
 from carelake import functions as cf
 from carelake.operators.windows import latest_per_key
+from carelake.schemas import KEY_MAPS
+
+
+def standard_keys(df: DataFrame, source: str) -> DataFrame:
+    """The facility and municipality columns of a source under their common names,
+    so that tables of different sources join on cnes, munic_res and munic_mov."""
+    names = dict(zip(KEY_MAPS[source], ("cnes", "munic_res", "munic_mov")))
+    names.pop(None, None)
+    return df.withColumnsRenamed({a: b for a, b in names.items() if a in df.columns})
 
 
 def enrich_latest(facts: DataFrame, registry: DataFrame, columns: list[str]) -> DataFrame:

@@ -57,6 +57,14 @@ def weights(probabilities=MATCH_PROBABILITIES) -> dict[str, tuple[float, float]]
     }
 
 
+# Births against admissions or deaths: the municipality takes the place of the sex.
+BIRTH_PROBABILITIES = {
+    "munic_res": (0.9, 0.05),
+    "idade": (0.95, 0.08),
+    "data": (0.97, 3 / 365),
+}
+
+
 def link_scored(
     adm: DataFrame,
     deaths: DataFrame,
@@ -67,66 +75,67 @@ def link_scored(
 ) -> DataFrame:
     """The best-scoring admission of every death that has one above the threshold.
 
-    Blocks on facility and year; compares sex, age and day. Ties go to the nearer
-    day, the nearer age, then the lowest admission id. `n_candidatos` counts all
-    admissions above the threshold.
+    Blocks on facility and year; compares day, age and one column of equality (sex,
+    or whatever `probabilities` names besides data and idade). Ties go to the
+    nearer day, the nearer age, then the lowest admission id. `n_candidatos`
+    counts all admissions above the threshold.
 
     The threshold must be out of reach for a pair that disagrees on day or age:
     only then do the (2*day+1)*(2*age+1) neighbouring keys hold every candidate.
     """
     w = weights(probabilities)
-    best_without = {
-        name: w[name][1] + sum(max(w[o]) for o in w if o != name) for name in ("data", "idade")
-    }
-    if max(best_without.values()) >= threshold:
-        raise ValueError("threshold admits pairs that disagree on day or age")
+    (equal,) = set(probabilities) - {"data", "idade"}
+    for name in ("data", "idade"):
+        best_without = w[name][1] + sum(max(w[o]) for o in w if o != name)
+        if best_without >= threshold:
+            raise ValueError("threshold admits pairs that disagree on day or age")
 
     c = F.col
+    near_keys = ["cnes", "data", "idade"]
+    death_keys = [*near_keys, equal]
     # Distinct admission keys with their representative: ids only matter as the tiebreak.
     left = (
         adm.where(c("cnes").isNotNull() & c("data").isNotNull() & c("idade").isNotNull())
-        .groupBy("cnes", "data", "idade", "sexo")
+        .groupBy(*death_keys)
         .agg(F.min("id_aih").alias("_aih"), F.count(F.lit(1)).alias("_n"))
     )
-    # Both sexes of a (facility, day, age) side by side: a small array per key.
-    left = left.groupBy("cnes", "data", "idade").agg(
-        F.collect_list(F.struct("sexo", "_aih", "_n")).alias("_by_sex")
-    )
-    death_keys = ["cnes", "data", "idade", "sexo"]
-    distinct_deaths = deaths.select(*death_keys).distinct()
-    near = _neighbours(distinct_deaths, death_keys, day_tolerance, age_tolerance)
+    near = _neighbours(deaths.select(*death_keys).distinct(), death_keys, day_tolerance, age_tolerance)
 
-    agree, differ = w["sexo"]
     base = w["data"][0] + w["idade"][0]
-    score = F.when(c("_s.sexo") == c("k_sexo"), F.lit(base + agree)).otherwise(F.lit(base + differ))
+    agree, differ = w[equal]
     scored = (
-        near.join(left, ["cnes", "data", "idade"])
-        .select(*[f"k_{k}" for k in death_keys], "_dd", "_da", F.explode("_by_sex").alias("_s"))
-        .withColumn("_score", score)
+        near.join(left, near_keys)
+        .withColumn(
+            "_score",
+            F.when(c(equal) == c(f"k_{equal}"), F.lit(base + agree)).otherwise(
+                F.lit(base + differ)
+            ),
+        )
         .where(c("_score") >= threshold)
     )
     order = F.struct(
         (-c("_score")).alias("a"),
         F.abs("_dd").alias("b"),
         F.abs("_da").alias("c"),
-        c("_s._aih").alias("d"),
+        c("_aih").alias("d"),
     )
     best = scored.groupBy(*[f"k_{k}" for k in death_keys]).agg(
-        F.min(order).alias("_best"), F.sum("_s._n").alias("n_candidatos")
+        F.min(order).alias("_best"), F.sum("_n").alias("n_candidatos")
     )
-    on = (
-        (c("o.cnes") == c("b.k_cnes"))
-        & (c("o.data") == c("b.k_data"))
-        & (c("o.idade") == c("b.k_idade"))
-        & c("o.sexo").eqNullSafe(c("b.k_sexo"))
-    )
-    return deaths.alias("o").join(best.alias("b"), on).select(
-        "o.id_obito",
-        c("b._best.d").alias("id_aih"),
-        (-c("b._best.a")).alias("score"),
-        c("b._best.b").alias("dif_dias"),
-        c("b._best.c").alias("dif_idade"),
-        "b.n_candidatos",
+    on = c(f"o.{equal}").eqNullSafe(c(f"b.k_{equal}"))
+    for k in near_keys:
+        on = on & (c(f"o.{k}") == c(f"b.k_{k}"))
+    return (
+        deaths.alias("o")
+        .join(best.alias("b"), on)
+        .select(
+            "o.id_obito",
+            c("b._best.d").alias("id_aih"),
+            (-c("b._best.a")).alias("score"),
+            c("b._best.b").alias("dif_dias"),
+            c("b._best.c").alias("dif_idade"),
+            "b.n_candidatos",
+        )
     )
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from carelake import functions as cf
-from carelake.operators.quantiles import exact_quantiles
+from carelake.operators.quantiles import with_quantiles
 from carelake.operators.windows import top_per_key
 
 
@@ -146,6 +146,42 @@ def value_counts(
     )
 
 
+def high_cardinality(df: DataFrame, columns: list[str], n: int = 10) -> DataFrame:
+    """Distinct count and most frequent codes of each column (NULL counts as a value)."""
+    c = F.col
+    values = value_table(df, columns)
+    distinct = values.groupBy("coluna").agg(F.count(F.lit(1)).alias("distintos"))
+    top = top_per_key(
+        values, ["coluna"], [c("n").desc(), c("valor").asc_nulls_last()], n, "posicao"
+    )
+    return top.join(distinct, "coluna")
+
+
+def quick_profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """Missing and approximately distinct values per column from one aggregate of
+    fixed size: for tables whose values are too many to shuffle."""
+    columns = columns or df.columns
+    wide = df.agg(
+        F.count(F.lit(1)).alias("_total"),
+        *[F.count_if(_missing(df, x)).alias(f"m_{x}") for x in columns],
+        *[F.approx_count_distinct(x).alias(f"d_{x}") for x in columns],
+    )
+    c = F.col
+    pairs = [
+        F.struct(
+            F.lit(x).alias("coluna"), c(f"m_{x}").alias("nulos"), c(f"d_{x}").alias("distintos")
+        )
+        for x in columns
+    ]
+    return wide.select("_total", F.explode(F.array(*pairs)).alias("_p")).select(
+        "_p.coluna",
+        c("_total").alias("total"),
+        "_p.nulos",
+        "_p.distintos",
+        status(c("_p.nulos"), c("_p.distintos"), c("_total")).alias("status"),
+    )
+
+
 NUMERIC_PROBS = {"p25": 0.25, "p50": 0.5, "p75": 0.75, "p95": 0.95}
 
 
@@ -166,7 +202,7 @@ def numeric_summary(df: DataFrame, columns: list[str]) -> DataFrame:
         F.avg("v").alias("media"),
         F.stddev("v").alias("std"),
     )
-    return basic.join(exact_quantiles(long, ["coluna"], "v", NUMERIC_PROBS), "coluna", "left")
+    return with_quantiles(basic, long, ["coluna"], "v", NUMERIC_PROBS)
 
 
 def date_validity(df: DataFrame, columns: list[str]) -> DataFrame:

@@ -16,6 +16,19 @@ def _bucket(value):
     return (F.signum(value) * F.floor(F.log1p(F.abs(value)) * 1000)).cast("bigint")
 
 
+def with_quantiles(
+    basic: DataFrame, df: DataFrame, keys: list[str], value: str, probs: dict[str, float]
+) -> DataFrame:
+    """`basic` (one row per key) with the percentiles of `value` in `df`; a NULL key
+    is a group like any other, so the keys are matched null-safe."""
+    c = F.col
+    on = [c(f"b.{k}").eqNullSafe(c(f"q.{k}")) for k in keys]
+    found = exact_quantiles(df, keys, value, probs)
+    return basic.alias("b").join(found.alias("q"), on, "left").select(
+        "b.*", *[c(f"q.{name}") for name in probs]
+    )
+
+
 def exact_quantiles(
     df: DataFrame, keys: list[str], value: str, probs: dict[str, float]
 ) -> DataFrame:
@@ -64,7 +77,9 @@ def exact_quantiles(
     ).where(F.size("_want") > 0)
 
     left, right = counts.alias("v"), targets.alias("t")
-    on = [c(f"v.{k}").eqNullSafe(c(f"t.{k}")) for k in keys] + [c("v._b") == c("t._b")]
+    # Null-safe throughout: a plain equality would push a NOT NULL filter below the
+    # left aggregate only, and its shuffle could no longer be shared with `totals`.
+    on = [c(f"v.{k}").eqNullSafe(c(f"t.{k}")) for k in [*keys, "_b"]]
     condition = on[0]
     for term in on[1:]:
         condition = condition & term

@@ -39,16 +39,8 @@ def overview(t):
     ),
 )
 def rate_by_group(t):
-    parts = [
-        explore.rate_by(t.admissions(k, "morte"), k).select(
-            F.lit(k).alias("grupo"), c(k).cast("string").alias("valor"), "n", "obitos", "tx_mort_pct"
-        )
-        for k in ("sexo", "faixa_etaria", "cid_cap", "munic_mov")
-    ]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    keys = ["sexo", "faixa_etaria", "cid_cap", "munic_mov"]
+    return explore.rate_by_each(t.admissions(*keys, "morte"), keys)
 
 
 @query(
@@ -268,6 +260,20 @@ def value_counts(t):
     return profile.value_counts(_raw(t), list(_RAW_COLUMNS), 10, _LABELLED)
 
 
+_CODES = ("MUNIC_MOV", "MUNIC_RES", "CNES", "DIAG_PRINC")
+
+
+@query(
+    "high_cardinality",
+    f"""with raw as materialized (select * from {role_sql("raw_admission", *_CODES)} r),
+    vals as (select coluna, valor, count(*) as n from ({" union all ".join(f"select '{k}' as coluna, {k} as valor from raw" for k in _CODES)}) l group by all)
+    select coluna, valor, n, cast(row_number() over (partition by coluna order by n desc, valor nulls last) as int) as posicao,
+    count(*) over (partition by coluna) as distintos from vals qualify posicao <= 10""",
+)
+def high_cardinality(t):
+    return profile.high_cardinality(t.role("raw_admission", *_CODES), list(_CODES))
+
+
 _NUMERIC = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
 
 

@@ -295,6 +295,14 @@ def distinct_people(t):
     return explore.distinct_people(t("lineitem").selectExpr(*[f"{e} as {n}" for n, e in _STAFF.items()]))
 
 
+@query(
+    "beds_per_facility",
+    f"""select cnes, competen, cast(sum(qt_sus) as bigint) as leitos_sus from {role_sql("bed", "cnes", "competen", "qt_sus")} b group by all""",
+)
+def beds_per_facility(t):
+    return explore.beds_per_facility(t.beds("cnes", "competen", "qt_sus"))
+
+
 @query(
     "conditional_sum",
     f"""select codufmun, cast(sum(qt_uso) as bigint) as qt_uso from {role_sql("equipment", "codufmun", "codequip", "ind_sus", "qt_uso")} e

@@ -132,6 +132,36 @@ def link_mutual(t):
     return linkage.mutual_best(_scored(t))
 
 
+_BW = linkage.weights(linkage.BIRTH_PROBABILITIES)
+_MOTHERS = ("id_aih", "cnes", "data", "idade", "munic_res")
+_BORN = f"""(select o_orderkey as id_obito, {facility("o_custkey % 100")} as cnes, cast(o_orderdate as date) as data,
+    cast(20 + o_orderkey % 6 as int) as idade, {municipality("o_custkey")} as munic_res from orders)"""
+
+
+@query(
+    "link_births",
+    f"""select id_obito as id_nascimento, id_aih, round(cast({_BW["data"][0]!r} + {_BW["idade"][0]!r} + w as double), 6) as score from (
+    select b.id_obito, a.id_aih, case when a.munic_res = b.munic_res then {_BW["munic_res"][0]!r} else {_BW["munic_res"][1]!r} end as w,
+      row_number() over (partition by b.id_obito order by case when a.munic_res = b.munic_res then 0 else 1 end,
+        abs(date_diff('day', a.data, b.data)), abs(a.idade - b.idade), a.id_aih) as rn
+    from {_BORN} b join {adm(*_MOTHERS)} a on a.cnes = b.cnes and year(a.data) = year(b.data)
+      and abs(date_diff('day', a.data, b.data)) <= 1 and abs(a.idade - b.idade) <= 1) x where rn = 1""",
+)
+def link_births(t):
+    """Births to the admissions of their mothers: same operator, other key columns."""
+    births = t("orders").selectExpr(
+        "o_orderkey as id_obito",
+        f"{facility('o_custkey % 100')} as cnes",
+        "cast(o_orderdate as date) as data",
+        "cast(20 + o_orderkey % 6 as int) as idade",
+        f"{municipality('o_custkey')} as munic_res",
+    )
+    found = linkage.link_scored(
+        t.admissions(*_MOTHERS), births, 7.0, probabilities=linkage.BIRTH_PROBABILITIES
+    )
+    return _round(found, "score").select(c("id_obito").alias("id_nascimento"), "id_aih", "score")
+
+
 @query(
     "post_discharge",
     f"""select id_aih, pessoa, sexo, dt_saida, morte, dt_obito, id_obito, cast(date_diff('day', dt_saida, dt_obito) as int) as dias_ate_obito from (

@@ -179,9 +179,10 @@ DEFAULT_PERIOD = (2026, 2)
 
 
 def infer_period(files: DataFrame, source: str) -> DataFrame:
-    """(path, ano, mes) per file, read from its first row only.
+    """(path, ano, mes) per file, by its first row.
 
-    The row index is file metadata, so all other rows are skipped by the scan.
+    Only the period columns are scanned; every split of a file but the one with
+    its first row yields nothing, and no shuffle is needed.
     """
     period = _first_period(source, files.columns)
     known = period["ano"].isNotNull() & period["mes"].isNotNull()

@@ -167,6 +167,13 @@ def test_exact_quantiles(spark, kind):
     assert alone[0].m == pytest.approx(np.quantile(np.concatenate([values, values[:7]]), 0.5))
 
 
+def test_stay_quantiles_cover_the_unknown_group(spark):
+    df = spark.createDataFrame([("a", 1), ("a", 4), (None, 2), (None, 3), ("b", None)], "k string, dias_perm int")
+    rows = {r.k: r for r in explore.stay_quantiles(df, ["k"]).collect()}
+    assert (rows["a"].median, rows[None].median, rows["b"].median) == (2.5, 2.5, None)
+    assert (rows["b"].n, rows[None].max) == (1, 3)
+
+
 def test_observed_expected_equals_row_sum(spark):
     rng = random.Random(1)
     rows = [(str(rng.randrange(4)), rng.choice("ABC"), rng.randrange(2)) for _ in range(500)]
@@ -255,6 +262,18 @@ def test_post_discharge_matches_brute_force(spark):
     assert {r.id: (r.dt_obito, r.id_obito) for r in got} == expected and expected
 
 
+def test_source_keys_get_common_names(spark):
+    df = spark.createDataFrame([("1", "2", "3", 4)], "CODESTAB string, CODMUNRES string, CODMUNOCOR string, x int")
+    assert joins.standard_keys(df, "sim_do").columns == ["cnes", "munic_res", "munic_mov", "x"]
+    assert joins.standard_keys(df.select("CODMUNRES"), "sim_do").columns == ["munic_res"]
+
+
+def test_quick_profile(spark):
+    df = spark.range(1000).select((c("id") % 7).alias("a"), F.lit("").alias("b"))
+    rows = {r.coluna: r for r in profile.quick_profile(df).collect()}
+    assert rows["a"].distintos == 7 and rows["b"].status == "100% nula" and rows["a"].total == 1000
+
+
 def test_union_flagged_fills_missing_columns(spark):
     out = joins.union_flagged(
         spark.createDataFrame([(1, "x")], "id int, diag string"),
