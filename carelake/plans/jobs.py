@@ -42,13 +42,18 @@ def _table(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def build_clean(spark: SparkSession, root: str, source: str, sample: str | None = None) -> int:
-    """Clean one source from its raw folder, or from a single sample file."""
+    """Clean one source from its raw folder, or from a single sample file.
+
+    Raw folders are laid out by the period the clean table is partitioned by, so
+    the job stays narrow; a sample file is not, so its rows are rebalanced.
+    """
     step, keys = CLEANERS[source]
     path = sample or f"{root}/bronze/{source}"
     if _table(spark, path) is None:
         log.warning("no raw input for %s at %s", source, path)
         return 0
-    return write_partitioned(step(read_raw(spark, path, RAW[source])), f"{root}/silver/{source}", keys)
+    cleaned = step(read_raw(spark, path, RAW[source]))
+    return write_partitioned(cleaned, f"{root}/silver/{source}", keys, rebalance=sample is not None)
 
 
 def _cascade(silver):

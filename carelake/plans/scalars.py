@@ -327,25 +327,31 @@ def admissions(t):
     return clean_admissions(t.role("raw_admission"))
 
 
-def raw_facilities(t):
-    """Raw registry rows: one per supplier and month, named by raw column."""
-    known = {
-        "CNES": "case when k % 50 = 49 then null else lpad(cast(k as string), 7, '0') end",
-        "CODUFMUN": "cast(430000 + k % 25 as string)",
-        "COMPETEN": "cast(p as string)",
-        "QTLEITP1": "cast(k % 40 as string)",
-        "QTLEITP2": "''",
-        "QTLEITP3": "case when k % 2 = 0 then '3.5' else '2' end",
-        "TP_UNID": "lpad(cast(1 + (k + p) % 7 as string), 2, '0')",
-        "ESFERA_A": "case when k % 3 = 0 then 'M' else 'E' end",
-    }
-    return {name: known.get(name, f"'{name.lower()}' || cast(k % 3 as string)") for name in RAW_FACILITIES}
+# Raw registry rows, one per supplier and month: the columns that matter here, and
+# filler codes for the others.
+_RAW_FACILITY = {name: f"'{name.lower()}' || cast(k % 3 as string)" for name in RAW_FACILITIES} | {
+    "CNES": "case when k % 50 = 49 then null else lpad(cast(k as string), 7, '0') end",
+    "CODUFMUN": "cast(430000 + k % 25 as string)",
+    "COMPETEN": "cast(p as string)",
+    "QTLEITP1": "cast(k % 40 as string)",
+    "QTLEITP2": "''",
+    "QTLEITP3": "case when k % 2 = 0 then '3.5' else '2' end",
+    "TP_UNID": "lpad(cast(1 + (k + p) % 7 as string), 2, '0')",
+    "ESFERA_A": "case when k % 3 = 0 then 'M' else 'E' end",
+}
+
+
+def raw_facility_rows(t):
+    base = t("lineitem").selectExpr(
+        "l_suppkey as k", "year(l_shipdate) * 100 + month(l_shipdate) as p"
+    ).distinct()
+    return base.selectExpr(*[f"{e} as {n}" for n, e in _RAW_FACILITY.items()])
 
 
 _RAW_FAC_BASE = (
     "(select distinct l_suppkey as k, year(l_shipdate) * 100 + month(l_shipdate) as p from lineitem)"
 )
-_RAW_FAC_SQL = ", ".join(f"{e} as {n}" for n, e in raw_facilities(None).items())
+_RAW_FAC_SQL = ", ".join(f"{e} as {n}" for n, e in _RAW_FACILITY.items())
 
 
 @query(
@@ -360,11 +366,7 @@ _RAW_FAC_SQL = ", ".join(f"{e} as {n}" for n, e in raw_facilities(None).items())
         from r where CNES is not null""",
 )
 def facilities(t):
-    base = t("lineitem").selectExpr(
-        "l_suppkey as k", "year(l_shipdate) * 100 + month(l_shipdate) as p"
-    ).distinct()
-    raw = base.selectExpr(*[f"{e} as {n}" for n, e in raw_facilities(t).items()])
-    return clean_facilities(raw)
+    return clean_facilities(raw_facility_rows(t))
 
 
 @query(

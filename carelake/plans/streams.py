@@ -16,13 +16,9 @@ _EVENT_FIELDS = triage.TRIAGE_EVENT.fieldNames()
 
 
 def _stream(t, name: str):
-    """A driver table as a stream of its file."""
-    schema = t(name).schema
-    return (
-        t.spark.readStream.schema(schema)
-        .option("pathGlobFilter", f"{name}.parquet")
-        .parquet(t.folder)
-    )
+    """A driver table as a stream of its files. The pattern matches the table whether
+    it is one file or a folder of parts; the stream source takes no plain file path."""
+    return t.spark.readStream.schema(t(name).schema).parquet(f"{t.folder}/{name}.parque[t]")
 
 
 def _messages(events):

@@ -10,19 +10,20 @@ from pyspark.sql import types as T
 from carelake.operators.windows import top_per_key
 
 
-def write_partitioned(df: DataFrame, path: str, keys: list[str]) -> int:
+def write_partitioned(df: DataFrame, path: str, keys: list[str], rebalance: bool = True) -> int:
     """Replace the partitions present in `df` and return the rows written.
 
-    Rows are rebalanced on the partition keys first: each partition gets few,
-    well-sized files, and a partition with a large share of the rows is split
-    over several tasks. The count is observed during the write; nothing is
-    read back.
+    By default rows are rebalanced on the partition keys first: each partition gets
+    few, well-sized files, and a partition with a large share of the rows is split
+    over several tasks. That is a shuffle of everything written, so a narrow job
+    whose input is already laid out by the same keys passes rebalance=False. The
+    count is observed during the write; nothing is read back.
     """
     seen = Observation()
+    counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
+    placed = counted.hint("rebalance", *[F.col(k) for k in keys]) if rebalance else counted
     (
-        df.observe(seen, F.count(F.lit(1)).alias("rows"))
-        .hint("rebalance", *[F.col(k) for k in keys])
-        .write.mode("overwrite")
+        placed.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "zstd")
         .partitionBy(*keys)
