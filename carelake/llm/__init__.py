@@ -10,8 +10,11 @@ from __future__ import annotations
 import importlib
 
 OPERATORS = {
+    "op2_mixing_weights": "mixing",
     "op3_url_filter": "url_reputation",
+    "op4_token_rollup": "token_rollup",
     "op6_exact_dedup": "exact_dedup",
+    "op9_byte_bpe": "byte_bpe",
 }
 
 
