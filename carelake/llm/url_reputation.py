@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carelake.llm.common import lower_ascii, table
+from carelake.llm.common import lower_ascii, stored, table
 
 #: (verdict, host, path): fits the host and its subdomains where the path starts so.
 RULES = (
@@ -80,12 +80,14 @@ def reputation(hosts: DataFrame, outcomes: DataFrame) -> DataFrame:
     null outcomes count for nothing. A host without a labelled page has the posterior of
     its domain; without any label the rate is 0.5 with little weight.
     """
-    counted = (
+    counts = (
         outcomes.where("bad is not null and host <> ''")
         .groupBy("host")
         .agg(F.count("*").cast("double").alias("n"), F.sum("bad").cast("double").alias("bad"))
         .withColumns({"domain": registered_domain(F.col("host")), "suffix": suffix(F.col("host"))})
     )
+    # One row per labelled host, written once: every level and every prior reads it.
+    counted = stored(hosts.sparkSession, counts, "host-counts")
     add = (F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     domains = counted.groupBy("domain", "suffix").agg(*add)
     suffixes = domains.groupBy("suffix").agg(*add)
