@@ -13,8 +13,10 @@ OPERATORS = {
     "op2_mixing_weights": "mixing",
     "op3_url_filter": "url_reputation",
     "op4_token_rollup": "token_rollup",
+    "op5_toxicity": "toxicity",
     "op6_exact_dedup": "exact_dedup",
     "op9_byte_bpe": "byte_bpe",
+    "op10_language_id": "language_id",
 }
 
 
