@@ -10,6 +10,7 @@ from __future__ import annotations
 import importlib
 
 OPERATORS = {
+    "op1_substring_dedup": "substring",
     "op2_mixing_weights": "mixing",
     "op3_url_filter": "url_reputation",
     "op4_token_rollup": "token_rollup",

@@ -21,6 +21,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 from carelake.llm.common import table
 
@@ -125,8 +126,8 @@ class Codec:
 
 
 def _column(frame: DataFrame, codec, arguments, name: str, source: str, work) -> DataFrame:
-    schema = frame.drop(name).select("*", F.lit(b"").alias(name)).schema
-    kept = frame.drop(name).columns
+    kept = [f for f in frame.schema if f.name != name]
+    schema, kept = StructType([*kept, StructField(name, BinaryType())]), [f.name for f in kept]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = codec(*arguments())

@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from carelake.session import shared_path
 
@@ -42,3 +43,8 @@ def stored(spark: SparkSession, frame: DataFrame, label: str) -> DataFrame:
     path = shared_path(spark, label)
     frame.write.parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
+
+
+def keyed(docs: DataFrame, fields: str) -> StructType:
+    """Schema of doc_id, with the type it has, and further fields that may be null."""
+    return StructType([StructField("doc_id", docs.schema["doc_id"].dataType), *StructType.fromDDL(fields)])

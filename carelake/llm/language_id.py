@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from carelake.llm.common import learning_fold, table
+from carelake.llm.common import keyed, learning_fold, table
 from carelake.llm.linear import Table, bucket, offsets, segment_sums, words_of
 
 BUCKETS, WIDTH = 1 << 16, 12
@@ -157,8 +157,7 @@ class LanguageModel:
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "lang_pred", "score", "accepted"])
 
         narrow = docs.select("doc_id", "text")
-        schema = narrow.selectExpr("doc_id", "'' as lang_pred", "cast(0 as double) as score", "true as accepted").schema
-        return narrow.mapInArrow(run, schema)
+        return narrow.mapInArrow(run, keyed(docs, "lang_pred string, score double, accepted boolean"))
 
 
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carelake.llm.common import learning_fold, table
+from carelake.llm.common import keyed, learning_fold, table
 from carelake.llm.linear import Table, bucket, by_hash, offsets, segment_sums, words_of
 
 BUCKETS = 1 << 32  # few subwords have a weight, so the space is wide: chance collisions are rare
@@ -154,8 +154,7 @@ class ToxicityModel:
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(scores, pa.float64())], ["doc_id", "score"])
 
         narrow = docs.select("doc_id", "text")
-        schema = narrow.select("doc_id", F.lit(0.0).cast("double").alias("score")).schema
-        return narrow.mapInArrow(run, schema)
+        return narrow.mapInArrow(run, keyed(docs, "score double"))
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
