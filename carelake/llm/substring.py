@@ -7,12 +7,15 @@ neighbouring windows mostly share one (about 13 windows an anchor), so the sketc
 an anchor once per stretch of windows that has it. The sketch's estimate of an anchor is at
 least the number of documents with any of its windows: no repeated window is lost.
 
-The second pass reads the texts again and takes the windows whose anchor is estimated
-repeated. They are grouped by a 128-bit digest of their words with a map-side minimum and
-maximum of doc_id, so a passage in a third of all documents is one row per task. The
-smallest owner goes back to the windows in a join that adaptive execution can split, since
-one side is unique. Only the documents with candidates carry their words along; the others'
-result is final in the second pass.
+The second pass reads the texts again and takes the stretches whose anchor is estimated
+repeated. Exact groups are made of digests (128 bits) in two steps, largest pieces first.
+Whole stretches are grouped, map-side first, so a passage in a third of all documents is
+one row per task: a stretch that a smaller document also has goes as a whole, and its
+windows need no row of their own. What is left is one document per distinct stretch. Only
+where one anchor has several distinct stretches (around an edit, or where a shared passage
+begins and ends) can a window still have a smaller owner: those windows alone are grouped.
+Owners return in joins with one unique side, which adaptive execution can split. Only the
+documents with candidates carry their words along; the others are final in the second pass.
 """
 
 from __future__ import annotations
@@ -34,7 +37,8 @@ from carelake.llm.wordhash import WordHasher, canonical, pieces, sliding_min
 WINDOW = 50
 ANCHOR_PER_BYTES = 75  # one anchor in about so many bytes of prose; sets the sketch's width
 
-_WINDOWS = pa.list_(pa.struct([("place", pa.int64()), ("a", pa.int64()), ("b", pa.int64())]))
+_STRETCHES = pa.list_(pa.struct([(n, pa.int64()) for n in ("place", "anchor", "a", "b")]))
+LENGTH_BITS = 20  # of a stretch, packed with its first word; a longer one is cut
 
 
 def window_anchors(hasher: WordHasher, texts: list[bytes], window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -51,16 +55,17 @@ def window_anchors(hasher: WordHasher, texts: list[bytes], window: int) -> tuple
     return owner[inside], inside - first, anchors[inside]
 
 
-def stretches(owner: np.ndarray, anchors: np.ndarray) -> np.ndarray:
-    """True where a stretch of windows with one anchor and one text begins."""
+def stretches(owner: np.ndarray, start: np.ndarray, anchors: np.ndarray) -> np.ndarray:
+    """Indices of the windows where a stretch of one anchor and one text begins."""
     begins = np.ones(len(anchors), bool)
     begins[1:] = (anchors[1:] != anchors[:-1]) | (owner[1:] != owner[:-1])
-    return begins
+    begins |= start % (1 << LENGTH_BITS - 1) == 0
+    return np.flatnonzero(begins)
 
 
 def find_candidates(spark: SparkSession, docs: DataFrame, window: int) -> DataFrame:
     """doc_id, n_words, kept_sha256 (of all words), text_key, words (where there are
-    candidates) and windows: the candidates' place and digest."""
+    candidates) and stretches: place (first word and number of windows), anchor, digest."""
     texts = docs.select("doc_id", "text")
     size = texts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     width = sketch.width_for(size // ANCHOR_PER_BYTES)
@@ -70,8 +75,8 @@ def find_candidates(spark: SparkSession, docs: DataFrame, window: int) -> DataFr
         for batch in batches:
             plain = [canonical(t.as_py()) for t in batch.column(0)]
             for first, last in pieces(plain):
-                owner, _, keys = window_anchors(hasher, plain[first:last], window)
-                yield keys[stretches(owner, keys)]
+                owner, start, keys = window_anchors(hasher, plain[first:last], window)
+                yield keys[stretches(owner, start, keys)]
 
     bits = spark.sparkContext.broadcast(sketch.repeated(texts.select("text"), anchors, width))
 
@@ -82,57 +87,110 @@ def find_candidates(spark: SparkSession, docs: DataFrame, window: int) -> DataFr
             for first, last in pieces(plain):
                 part = plain[first:last]
                 owner, start, keys = window_anchors(hasher, part, window)
-                hit = sketch.estimated_twice(bits.value, width, keys)
-                owner, start = owner[hit], start[hit]
-                lengths = np.bincount(owner, minlength=len(part))
-                yield _candidate_rows(batch.column("doc_id").slice(first, last - first), part, lengths, start, window)
-
-    fields = "n_words long, kept_sha256 string, text_key int, words binary, windows array<struct<place: long, a: long, b: long>>"
+                at = stretches(owner, start, keys)
+                n = np.diff(np.append(at, len(keys)))
+                hit = sketch.estimated_twice(bits.value, width, keys[at])
+                at, n = at[hit], n[hit]
+                yield _candidate_rows(batch.column("doc_id").slice(first, last - first), part, owner[at], start[at], n, keys[at], window)
+
+    fields = (
+        "n_words long, kept_sha256 string, text_key int, words binary, "
+        "stretches array<struct<place: long, anchor: long, a: long, b: long>>"
+    )
     return stored(spark, texts.mapInArrow(candidates, keyed(docs, fields)), "window-candidates")
 
 
-def _candidate_rows(ids: pa.Array, texts: list[bytes], lengths: np.ndarray, start: np.ndarray, window: int) -> pa.RecordBatch:
-    digests, keys, at = [], [], 0
-    for text, n in zip(texts, lengths):
-        key = crc32(text) - (1 << 31)
-        keys.append(key)
-        if n:
-            gaps = np.flatnonzero(np.frombuffer(text, np.uint8) == 32)
-            begins = np.concatenate([[0], gaps + 1])[start[at : at + n]]
-            ends = np.concatenate([gaps, [len(text)]])[start[at : at + n] + window - 1]
-            digests += [xxhash.xxh3_128_digest(text[b:e]) for b, e in zip(begins.tolist(), ends.tolist())]
-            at += n
+def span_digests(text: bytes, first: np.ndarray, words: np.ndarray) -> list[bytes]:
+    """Digest of so many words from each first word on."""
+    gaps = np.flatnonzero(np.frombuffer(text, np.uint8) == 32)
+    begins = np.concatenate([[0], gaps + 1])[first]
+    ends = np.concatenate([gaps, [len(text)]])[first + words - 1]
+    return [xxhash.xxh3_128_digest(text[b:e]) for b, e in zip(begins.tolist(), ends.tolist())]
+
+
+def text_key(text: bytes) -> int:
+    """Tells rows apart that share a doc_id."""
+    return crc32(text) - (1 << 31)
+
+
+def _candidate_rows(ids, texts, owner, start, n, anchors, window) -> pa.RecordBatch:
+    lengths = np.bincount(owner, minlength=len(texts))
+    ends = np.cumsum(lengths)
+    digests: list[bytes] = []
+    for text, end, many in zip(texts, ends, lengths):
+        if many:
+            mine = slice(end - many, end)
+            digests += span_digests(text, start[mine], n[mine] + window - 1)
     halves = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
-    place = (np.repeat(np.array(keys, np.int64), lengths) << 32) + start
-    windows = pa.ListArray.from_arrays(
-        pa.array(np.concatenate([[0], np.cumsum(lengths)]), pa.int32()),
-        pa.StructArray.from_arrays([pa.array(place), pa.array(halves[:, 0]), pa.array(halves[:, 1])], names=["place", "a", "b"]),
+    fields = [start << LENGTH_BITS | n, anchors.view(np.int64), halves[:, 0], halves[:, 1]]
+    listed = pa.ListArray.from_arrays(
+        pa.array(np.concatenate([[0], ends]), pa.int32()),
+        pa.StructArray.from_arrays([pa.array(f) for f in fields], names=["place", "anchor", "a", "b"]),
     )
     return pa.RecordBatch.from_arrays(
         [
             ids,
             pa.array([t.count(b" ") + 1 if t else 0 for t in texts], pa.int64()),
             pa.array([sha256(t).hexdigest() for t in texts], pa.string()),
-            pa.array(keys, pa.int32()),
-            pa.array([t if n else None for t, n in zip(texts, lengths)], pa.binary()),
-            windows.cast(_WINDOWS),
+            pa.array([text_key(t) for t in texts], pa.int32()),
+            pa.array([t if many else None for t, many in zip(texts, lengths)], pa.binary()),
+            listed.cast(_STRETCHES),
         ],
-        ["doc_id", "n_words", "kept_sha256", "text_key", "words", "windows"],
+        ["doc_id", "n_words", "kept_sha256", "text_key", "words", "stretches"],
+    )
+
+
+def judge_stretches(found: DataFrame) -> DataFrame:
+    """doc_id, text_key, gone (places of stretches that a smaller document has whole) and
+    open (places of stretches whose windows need a look of their own)."""
+    single = found.select("doc_id", "text_key", F.explode("stretches").alias("s")).select("doc_id", "text_key", "s.*")
+    key = ["anchor", "a", "b"]
+    owners = single.groupBy(*key).agg(F.min("doc_id").alias("owner"))
+    several = owners.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor", F.lit(True).alias("several"))
+    told = single.join(owners, key).where("doc_id >= owner").join(several, "anchor", "left")
+    gone = F.col("doc_id") > F.col("owner")
+    return (
+        told.where(gone | F.col("several"))
+        .groupBy("doc_id", "text_key")
+        .agg(
+            F.collect_set(F.when(gone, F.col("place"))).alias("gone"),
+            F.collect_set(F.when(~gone, F.col("place"))).alias("open"),
+        )
     )
 
 
-def cut(words: list[bytes], starts: list[int], window: int) -> tuple[list[bytes], list[tuple[int, int]]]:
-    """Words that stay, and the removed spans as (first word, word after the last)."""
+def open_windows(found: DataFrame, judged: DataFrame, window: int) -> DataFrame:
+    """doc_id, text_key, start and digest (a, b) of every window of the open stretches."""
+    texts = found.select("doc_id", "text_key", "words").join(judged.where("size(open) > 0").select("doc_id", "text_key", "open"), ["doc_id", "text_key"])
+
+    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                places = np.array(batch.column("open")[i].as_py(), np.int64)
+                n = places & (1 << LENGTH_BITS) - 1
+                first = np.repeat(places >> LENGTH_BITS, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                digests = span_digests(batch.column("words")[i].as_py(), first, np.full(len(first), window))
+                halves = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
+                same = lambda c: batch.column(c).slice(i, 1).take(pa.array(np.zeros(len(first), np.int32)))  # noqa: B023, E731
+                columns = [same("doc_id"), same("text_key"), pa.array(first, pa.int32()), pa.array(halves[:, 0]), pa.array(halves[:, 1])]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_key", "start", "a", "b"])
+
+    return texts.mapInArrow(windows, keyed(found, "text_key int, start int, a long, b long"))
+
+
+def cut(words: list[bytes], places: list[tuple[int, int]]) -> tuple[list[bytes], list[tuple[int, int]]]:
+    """Words outside the places (first word, number of words), and the removed spans as
+    (first word, word after the last)."""
     spans: list[tuple[int, int]] = []
-    for s in sorted(starts):
-        if spans and s <= spans[-1][1]:
-            spans[-1] = (spans[-1][0], s + window)
+    for first, n in sorted(places):
+        if spans and first <= spans[-1][1]:
+            spans[-1] = (spans[-1][0], max(spans[-1][1], first + n))
         else:
-            spans.append((s, s + window))
+            spans.append((first, first + n))
     kept, at = [], 0
-    for first, last in spans:
+    for first, after in spans:
         kept += words[at:first]
-        at = last
+        at = after
     return kept + words[at:], spans
 
 
@@ -146,41 +204,46 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, window: int = WINDOW)
     other; each gives a row. Extra columns are ignored; an empty table gives an empty result.
     """
     found = find_candidates(spark, docs, window)
-    single = found.select("doc_id", F.explode("windows").alias("w")).select("doc_id", "w.place", "w.a", "w.b")
+    judged = stored(spark, judge_stretches(found), "window-stretches")
+    single = stored(spark, open_windows(found, judged, window), "windows")
     owners = (
         single.groupBy("a", "b")
         .agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("last"))
         .where("owner < last")
         .select("a", "b", "owner")
     )
+    key = ["doc_id", "text_key"]
     removed = (
-        single.join(owners, ["a", "b"])
-        .where("doc_id > owner")
-        .groupBy("doc_id", F.shiftright("place", 32).cast("int").alias("text_key"))
-        .agg(F.collect_set(F.expr("cast(place & 4294967295L as int)")).alias("starts"))
+        single.join(owners, ["a", "b"]).where("doc_id > owner").groupBy(*key).agg(F.collect_set("start").alias("starts"))
+    )
+    told = (
+        found.select(*key, "n_words", "kept_sha256", "words")
+        .join(judged.select(*key, "gone"), key, "left")
+        .join(removed, key, "left")
+        .select("doc_id", "n_words", "kept_sha256", "words", "gone", "starts")
     )
-    told = found.select("doc_id", "text_key", "n_words", "kept_sha256", "words").join(removed, ["doc_id", "text_key"], "left")
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, n_words, digests, texts, starts = (batch.column(i) for i in range(5))
+            ids, n_words, digests, texts, gone, starts = (batch.column(i) for i in range(6))
             n_removed, sums, spans = [], digests.to_pylist(), []
             for i in range(batch.num_rows):
-                places = starts[i].as_py()
+                whole = [(p >> LENGTH_BITS, p & (1 << LENGTH_BITS) - 1) for p in gone[i].as_py() or ()]
+                places = [(first, n + window - 1) for first, n in whole] + [(s, window) for s in starts[i].as_py() or ()]
                 if not places:
                     n_removed.append(0)
                     spans.append([])
                     continue
-                kept, gone = cut(texts[i].as_py().split(b" "), places, window)
-                n_removed.append(sum(last - first for first, last in gone))
+                kept, out = cut(texts[i].as_py().split(b" "), places)
+                n_removed.append(sum(after - first for first, after in out))
                 sums[i] = sha256(b" ".join(kept)).hexdigest()
-                spans.append([{"first": f, "after": a} for f, a in gone])
+                spans.append([{"first": f, "after": a} for f, a in out])
             kind = pa.list_(pa.struct([("first", pa.int32()), ("after", pa.int32())]))
             columns = [ids, n_words, pa.array(n_removed, pa.int64()), pa.array(sums, pa.string()), pa.array(spans, kind)]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_words", "n_removed", "kept_sha256", "spans"])
 
     fields = "n_words long, n_removed long, kept_sha256 string, spans array<struct<first: int, after: int>>"
-    return told.select("doc_id", "n_words", "kept_sha256", "words", "starts").mapInArrow(finish, keyed(docs, fields))
+    return told.mapInArrow(finish, keyed(docs, fields))
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
