@@ -16,6 +16,8 @@ OPERATORS = {
     "op4_token_rollup": "token_rollup",
     "op5_toxicity": "toxicity",
     "op6_exact_dedup": "exact_dedup",
+    "op7_ngram_jaccard": "ngram_jaccard",
+    "op8_edit_fingerprint": "edit_fingerprint",
     "op9_byte_bpe": "byte_bpe",
     "op10_language_id": "language_id",
 }
