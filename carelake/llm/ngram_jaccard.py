@@ -43,7 +43,7 @@ from carelake.llm.wordhash import WordHasher, canonical, pieces
 
 SIZE = 5  # words of a shingle
 PERCENT = 80
-BLOCK = 256
+BLOCK = 768
 TURNS = 1  # of leaders; every pair that they leave open is searched afterwards
 WORD_BYTES = 6  # bytes of a word and its blank; sets the sketch's width
 MOST_CELLS = 1 << 28  # one row of 32 MB of bits
