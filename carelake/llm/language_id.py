@@ -129,6 +129,8 @@ class LanguageModel:
             yield pa.RecordBatch.from_arrays([pa.array([model], pa.binary())], ["model"])
 
         learnt = chosen.repartition(1).mapInArrow(learn, "model binary").first()
+        if learnt is None:  # nothing to learn from
+            return cls([], np.zeros((0, 0)), np.zeros(0), 1.0, 1.0)
         return cls(*pickle.loads(learnt[0]))
 
     def predict(self, docs: DataFrame) -> DataFrame:

@@ -28,7 +28,7 @@ from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from itertools import groupby
-from math import log2
+from math import log, log2
 
 import numpy as np
 import pyarrow as pa
@@ -268,7 +268,11 @@ def link_components(spark: SparkSession, sets: DataFrame) -> DataFrame:
     heads = some.join(classes, ["n_shingles", "a", "b"]).where("doc = doc_id").dropDuplicates(["doc_id"])
     heads = stored(spark, heads.select("doc", F.col("n_shingles").alias("n"), "first", "words"), "set-classes")
     words = heads.select("doc", "words")
-    lists = heads.select(F.explode("first").alias("shingle"), "doc", "n", F.col("doc").alias("component"))
+    # Sets that can link have sizes in the same band or in neighbouring ones, so each set
+    # stands in the lists of its band and of the next: a shingle's list holds no other sizes.
+    band = F.floor(F.log(F.col("n").cast("double")) / log(100 / PERCENT))
+    banded = heads.select(F.explode("first").alias("one"), "doc", "n").withColumn("band", F.explode(F.array(band, band + 1)))
+    lists = banded.select(F.xxhash64("one", "band").alias("shingle"), "doc", "n", F.col("doc").alias("component"))
     links = spark.createDataFrame([], "left long, right long")
     grouped = None
     for turn in range(TURNS):

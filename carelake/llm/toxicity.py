@@ -136,6 +136,8 @@ class ToxicityModel:
 
         packed = texts.mapInArrow(pack, "positive boolean, features binary")
         learnt = packed.repartition(1).mapInArrow(learn, "model binary").first()
+        if learnt is None:  # nothing to learn from
+            return cls(*train([], [], prior))
         return cls(*pickle.loads(learnt[0]))
 
     def score(self, docs: DataFrame) -> DataFrame:
