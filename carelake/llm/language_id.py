@@ -15,6 +15,7 @@ The bucket table (a few MB) is broadcast; texts are scored where they were read.
 from __future__ import annotations
 
 import pickle
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from carelake.llm.common import keyed, learning_fold, table
-from carelake.llm.linear import Table, bucket, offsets, segment_sums, words_of
+from carelake.llm.linear import REMEMBERED, Table, bucket, offsets, segment_sums, words_of
 
 BUCKETS, WIDTH = 1 << 16, 12
 GRAMS = (2, 3, 4)
@@ -99,6 +100,32 @@ def calibrate(z: np.ndarray, classes: np.ndarray) -> tuple[float, float]:
     return temperature, float(score[order][kept[-1]]) if len(kept) else 1.0
 
 
+class WordScores:
+    """Language scores of the words a worker has met, as rows of one matrix."""
+
+    def __init__(self, scores: np.ndarray):
+        self.scores, self.rows = scores, np.zeros((1 << 14, scores.shape[1]), np.float32)
+        self.place = Table(self._add)
+
+    def _add(self, word: str) -> int:
+        at = len(self.place)
+        if at == len(self.rows):
+            self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
+        self.rows[at] = self.scores[subwords(word)].mean(axis=0)
+        return at
+
+    def mean(self, words: list[str]) -> np.ndarray:
+        if len(self.place) + len(words) > REMEMBERED:  # emptied between texts, never inside one
+            self.__init__(self.scores)
+        get = self.place.__getitem__
+        if len(words) > REMEMBERED:
+            n, total = 0, 0.0
+            for word, count in Counter(words).items():
+                total, n = total + count * self.scores[subwords(word)].mean(axis=0), n + count
+            return total / n
+        return self.rows[[get(w) for w in words]].mean(axis=0, dtype=np.float64)
+
+
 class LanguageModel:
     """fit learns from text and lang of the learning fold; rows without a language are left
     out. Without any row every prediction is ``und``."""
@@ -141,7 +168,7 @@ class LanguageModel:
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             model = shared.value
-            vectors = Table(lambda word: model.scores[subwords(word)].mean(axis=0).tolist())
+            met = WordScores(model.scores)
             for batch in batches:
                 names, scores = [], []
                 for text in batch.column("text"):
@@ -150,7 +177,7 @@ class LanguageModel:
                         names.append(UNKNOWN)
                         scores.append(0.0)
                         continue
-                    z = np.array([vectors[w] for w in words]).mean(axis=0) + model.bias
+                    z = met.mean(words) + model.bias
                     p = softmax(z / model.temperature)
                     names.append(model.languages[int(p.argmax())])
                     scores.append(float(p.max()))
