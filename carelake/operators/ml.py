@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from carelake import functions as cf
 from carelake.schemas import FEATURES, LEAKY_COLUMNS, TARGET
+from carelake.sources.sinks import observed
 
 SEED = 42
 FILTERS = {
@@ -197,9 +198,9 @@ def write_dataset(split: DataFrame, path: str, source: str) -> dict:
     columns = [x for x in split.columns if x != "split"]
     split.observe(seen, *_split_metrics(columns)).write.mode("overwrite").partitionBy(
         "split"
-    ).option("compression", "zstd").parquet(f"{path}/data")
-    got = seen.get
-    size = {name: got[f"n_{name}"] for name in SPLITS}
+    ).option("partitionOverwriteMode", "static").option("compression", "zstd").parquet(f"{path}/data")
+    got = observed(seen)
+    size = {name: got.get(f"n_{name}") or 0 for name in SPLITS}
     rate = {name: got[f"d_{name}"] / n if n else None for name, n in size.items()}
     meta = {
         "version": "v1",
@@ -215,7 +216,7 @@ def write_dataset(split: DataFrame, path: str, source: str) -> dict:
         "filters_applied": FILTERS,
         "random_state": SEED,
         "split_strategy": "stratified_by_target_70_15_15",
-        "checksum": {name: got[f"sum_{name}"] for name in SPLITS},
+        "checksum": {name: got.get(f"sum_{name}") for name in SPLITS},
     }
     text = json.dumps(meta, ensure_ascii=False)
     split.sparkSession.range(1).select(F.lit(text).alias("value")).write.mode("overwrite").text(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +11,17 @@ from pyspark.sql import types as T
 from carelake.operators.windows import top_per_key
 
 
+def observed(seen: Observation) -> dict:
+    """Metrics of a finished write. A plan that the optimizer finds empty never runs its
+    metrics and has none to give: that is an empty dict, once the write has succeeded."""
+    try:
+        return seen.get
+    except Py4JJavaError as none:
+        if "AssertionError" not in str(none.java_exception):
+            raise
+        return {}
+
+
 def write_partitioned(df: DataFrame, path: str, keys: list[str], rebalance: bool = True) -> int:
     """Replace the partitions present in `df` and return the rows written.
 
@@ -29,20 +41,27 @@ def write_partitioned(df: DataFrame, path: str, keys: list[str], rebalance: bool
         .partitionBy(*keys)
         .parquet(path)
     )
-    return seen.get["rows"]
+    return observed(seen).get("rows", 0)
 
 
 def replace_partition(
     df: DataFrame, root: str, source: str, uf: str, year: int, month: int
 ) -> tuple[str, int]:
-    """Load one raw partition; a second load of the same period replaces the first."""
-    stamped = (
-        df.withColumn("uf", F.lit(uf))
-        .withColumn("ano", F.lit(f"{year:04d}"))
-        .withColumn("mes", F.lit(f"{month:02d}"))
+    """Load one raw partition; a second load of the same period replaces the first.
+
+    The partition's own folder is overwritten whole, so a load without rows empties it.
+    """
+    path = f"{root}/{source}/uf={uf}/ano={year:04d}/mes={month:02d}"
+    seen = Observation()
+    counted = df.drop("uf", "ano", "mes").observe(seen, F.count(F.lit(1)).alias("rows"))
+    (
+        counted.hint("rebalance")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "static")
+        .option("compression", "zstd")
+        .parquet(path)
     )
-    rows = write_partitioned(stamped, f"{root}/{source}", ["uf", "ano", "mes"])
-    return f"{root}/{source}/uf={uf}/ano={year:04d}/mes={month:02d}", rows
+    return path, observed(seen).get("rows", 0)
 
 
 def write_catalog_snapshot(entries: DataFrame, path: str) -> int:
@@ -73,7 +92,7 @@ def mark_completed(spark: SparkSession, path: str, done: DataFrame) -> int:
     )
     seen = Observation()
     fresh.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("append").parquet(path)
-    return seen.get["rows"]
+    return observed(seen).get("rows", 0)
 
 
 def insert_or_ignore(

@@ -32,6 +32,18 @@ def test_partition_replace_leaves_others_alone(spark, tmp_path):
     assert {(r.mes, r["count"]) for r in stored.groupBy("mes").count().collect()} == {(1, 2), (2, 5)}
 
 
+def test_empty_loads(spark, tmp_path):
+    root = str(tmp_path / "bronze")
+    df = spark.range(5).withColumn("v", F.lit("x"))
+    path, _ = sinks.replace_partition(df, root, "sih_rd", "RS", 2024, 1)
+    for empty in (df.where("false"), spark.createDataFrame([], df.schema), df.where("id < 0")):
+        sinks.replace_partition(df, root, "sih_rd", "RS", 2024, 1)
+        assert sinks.replace_partition(empty, root, "sih_rd", "RS", 2024, 1) == (path, 0)
+        assert spark.read.parquet(path).count() == 0
+    none = spark.createDataFrame([], "source string, uf string, competencia string")
+    assert sinks.mark_completed(spark, str(tmp_path / "ledger"), none) == 0
+
+
 def test_ledger_marks_once(spark, tmp_path):
     path = str(tmp_path / "ledger")
     done = spark.createDataFrame([("s", "RS", "2024-01"), ("s", "RS", "2024-01")], sinks.LEDGER)
