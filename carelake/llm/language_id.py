@@ -123,7 +123,8 @@ class WordScores:
             for word, count in Counter(words).items():
                 total, n = total + count * self.scores[subwords(word)].mean(axis=0), n + count
             return total / n
-        return self.rows[[get(w) for w in words]].mean(axis=0, dtype=np.float64)
+        places = [get(w) for w in words]  # may grow the rows
+        return self.rows[places].mean(axis=0, dtype=np.float64)
 
 
 class LanguageModel:

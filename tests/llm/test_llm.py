@@ -240,6 +240,13 @@ def test_language_id(spark):
     assert all(0 <= r["score"] <= 1 for r in got.values())
 
 
+def test_word_scores_grow_within_a_text():
+    met = language_id.WordScores(np.random.default_rng(1).normal(size=(language_id.BUCKETS, 2)).astype("f4"))
+    words = [f"w{i}" for i in range((1 << 14) + 10)]
+    expected = np.mean([met.scores[language_id.subwords(w)].mean(axis=0) for w in words], axis=0)
+    assert np.allclose(met.mean(words), expected, atol=1e-5)
+
+
 def test_word_table_is_bounded(monkeypatch):
     monkeypatch.setattr(linear, "REMEMBERED", 10)
     table = linear.Table(len)
