@@ -204,16 +204,26 @@ def leader_pairs(lists: DataFrame, turn: int) -> DataFrame:
 def tiles(spark: SparkSession, lists: DataFrame) -> DataFrame:
     """low, high, doc, bucket, component: which documents to search in which tile.
 
-    Documents that lists connect are a family, dealt into buckets of about BLOCK. A tile
-    is two buckets (or one) with a list in common, and has the documents of those lists: a
-    list of g documents gives g * (g / BLOCK) rows instead of g * g pairs.
+    Documents that lists connect are a family, dealt into buckets of about BLOCK by their
+    longest list, which keeps those that share it together; a longer list is dealt on by
+    document. A tile is two buckets (or one) with a list in common, and has the documents
+    of those lists: a list of g documents gives at most g * (g / BLOCK) rows instead of
+    g * g pairs.
     """
-    heads = lists.groupBy("shingle").agg(F.min("doc").alias("left"))
-    edges = lists.join(heads, "shingle").select("left", F.col("doc").alias("right")).distinct()
+    heads = lists.groupBy("shingle").agg(F.min("doc").alias("left"), F.count("*").alias("length"))
+    headed = lists.join(heads, "shingle")
+    edges = headed.select("left", F.col("doc").alias("right")).distinct()
     family = components(spark, edges)
+    longest = headed.groupBy("doc").agg(F.max(F.struct("length", "shingle")).alias("longest"))
     sizes = family.groupBy("component").agg((F.count("*") / BLOCK + 1).cast("int").alias("parts"))
-    bucket = F.xxhash64("component", F.pmod(F.xxhash64("node"), F.col("parts")))
-    dealt = family.join(sizes, "component").select(F.col("node").alias("doc"), bucket.alias("bucket"))
+    of_list = F.pmod(F.xxhash64("longest.shingle"), F.col("parts"))
+    of_doc = F.pmod(F.xxhash64("doc"), (F.col("longest.length") / BLOCK + 1).cast("int"))
+    dealt = (
+        family.withColumnRenamed("node", "doc")
+        .join(sizes, "component")
+        .join(longest, "doc")
+        .select("doc", F.xxhash64("component", of_list, of_doc).alias("bucket"))
+    )
     placed = stored(spark, lists.join(dealt, "doc").select("shingle", "doc", "bucket", "component"), "dealt-lists")
     others = placed.select("shingle", F.col("bucket").alias("other")).distinct()
     return (
