@@ -4,7 +4,8 @@ A document is the set of its distinct 5-word shingles. Two link when
 100 * intersection >= 80 * union.
 
 1. One shared order of shingles puts those that a sketch of all shingles shows to occur
-   once first, the others by hash. Similar sets must share one of their first
+   once first, the others by the hash of their least word and then by their own, so that
+   the first shingles come from few passages. Similar sets must share one of their first
    n - ceil(0.8 n) + 1 shingles in any shared order, and a shingle that occurs once has no
    partner: a document with enough shingles of its own has no candidates at all, and
    passages that thousands of otherwise different documents share make none.
@@ -39,7 +40,7 @@ from pyspark.sql import functions as F
 from carelake.llm import sketch
 from carelake.llm.common import keyed, stored, table
 from carelake.llm.components import components
-from carelake.llm.wordhash import WordHasher, canonical, pieces
+from carelake.llm.wordhash import WordHasher, canonical, pieces, sliding_min
 
 SIZE = 5  # words of a shingle
 PERCENT = 80
@@ -47,6 +48,8 @@ BLOCK = 768
 TURNS = 1  # of leaders; every pair that they leave open is searched afterwards
 WORD_BYTES = 6  # bytes of a word and its blank; sets the sketch's width
 MOST_CELLS = 1 << 28  # one row of 32 MB of bits
+ANCHOR_BITS = np.uint64(16)  # first bits of a shingle's hash, from its least word: neighbours stay together
+ANCHOR = ~(~np.uint64(0) >> ANCHOR_BITS)
 MU = 0.0085  # weight of a probe against a merge step in the number of long lists
 
 
@@ -55,6 +58,8 @@ def shingle_sets(hasher: WordHasher, texts: list[bytes], size: int = SIZE) -> li
     words, counts = hasher.words(texts)
     owner = np.repeat(np.arange(len(texts)), counts)
     whole = hasher.runs(words, size)
+    if len(whole):
+        whole = sliding_min(words, size) & ANCHOR | whole >> ANCHOR_BITS
     inside = owner[: len(whole)] == owner[size - 1 :] if len(whole) else np.zeros(0, bool)
     ends = np.cumsum(np.maximum(counts - size + 1, 0))
     parts = np.split(whole[inside], ends[:-1])
