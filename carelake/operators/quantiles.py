@@ -12,8 +12,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+INFINITE = 710_000  # above the bucket of every finite double; NaN sorts above that
+
+
 def _bucket(value):
-    return (F.signum(value) * F.floor(F.log1p(F.abs(value)) * 1000)).cast("bigint")
+    size = F.least(F.floor(F.log1p(F.abs(value)) * 1000), F.lit(INFINITE))
+    return F.when(F.isnan(value), F.lit(INFINITE + 1)).otherwise(F.signum(value) * size).cast("bigint")
 
 
 def with_quantiles(
@@ -100,6 +104,7 @@ def exact_quantiles(
 
     def interpolated(name):
         frac = F.max(F.when(c("_t.p") == name, c("_t.frac")))
-        return (at(name, 0) + (at(name, 1) - at(name, 0)) * frac).alias(name)
+        step = F.when((frac > 0) & (at(name, 1) != at(name, 0)), (at(name, 1) - at(name, 0)) * frac)
+        return (at(name, 0) + F.coalesce(step, F.lit(0.0))).alias(name)
 
     return points.groupBy(*keys).agg(*[interpolated(name) for name in probs])

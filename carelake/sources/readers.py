@@ -126,11 +126,12 @@ def neighbourhood_rows(lines: DataFrame) -> DataFrame:
 
 
 def read_neighbourhood_census(spark: SparkSession, path: str) -> DataFrame:
-    """Latin-1 census file: a title and a header line, then the neighbourhoods."""
-    text = spark.read.csv(path, sep="\n", encoding="ISO-8859-1", schema="value string", quote="")
-    body = text.where(F.col("value").isNotNull() & F.col("value").contains(";"))
-    # Title and header carry no figure; data lines do.
-    return neighbourhood_rows(body.where(F.split("value", ";")[1].rlike("[0-9]")))
+    """Latin-1 census file: a title and a header line, then the neighbourhoods. A blank
+    figure is 0. The file is a reference list and read whole, so that the two leading
+    lines are known by their place."""
+    content = F.decode("content", "ISO-8859-1")
+    lines = spark.read.format("binaryFile").load(path).select(F.posexplode(F.split(content, "\r\n|\r|\n")).alias("place", "value"))
+    return neighbourhood_rows(lines.where("place >= 2").select("value"))
 
 
 def expand_ranges(ranges: DataFrame, width: int = 5) -> DataFrame:

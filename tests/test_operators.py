@@ -167,6 +167,14 @@ def test_exact_quantiles(spark, kind):
     assert alone[0].m == pytest.approx(np.quantile(np.concatenate([values, values[:7]]), 0.5))
 
 
+def test_exact_quantiles_of_infinity_and_nan(spark):
+    inf, nan = float("inf"), float("nan")
+    data = [("a", 1.0), ("a", 3.0), ("a", inf), ("b", inf), ("b", inf), ("c", 1.0), ("c", 2.0), ("c", nan), ("d", -inf), ("d", 5.0), ("d", 7.0)]
+    df = spark.createDataFrame(data, "k string, v double")
+    got = {r.k: r.m for r in exact_quantiles(df, ["k"], "v", {"m": 0.5}).collect()}
+    assert got == {"a": 3.0, "b": inf, "c": 2.0, "d": 5.0}
+
+
 def test_stay_quantiles_cover_the_unknown_group(spark):
     df = spark.createDataFrame([("a", 1), ("a", 4), (None, 2), (None, 3), ("b", None)], "k string, dias_perm int")
     rows = {r.k: r for r in explore.stay_quantiles(df, ["k"]).collect()}

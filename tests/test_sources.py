@@ -68,13 +68,14 @@ def test_census_json(spark, tmp_path):
 def test_latin1_neighbourhoods(spark, tmp_path):
     path = tmp_path / "bairros.csv"
     lines = [
-        "População por bairro;;", "Bairro;População;%", "Três Figueiras;3.456;0,26", "Passo da Areia;24.000;1,80",
+        "População por bairro;;", "Bairro;População;%", "Três Figueiras;3.456;0,26", "Passo da Areia;24.000;1,80", "Vazio;;0,00",
         "Total;62.448;100", "Porto Alegre;1;1", "Ruim;x1;2", ";5;1",
     ]
     path.write_bytes("\r\n".join(lines).encode("latin-1"))
     rows = [tuple(r) for r in readers.read_neighbourhood_census(spark, str(path)).collect()]
     assert rows == [
         ("Três Figueiras", 3456, 0.26, "tres figueiras"), ("Passo D'Areia", 24000, 1.8, "passo d'areia"),
+        ("Vazio", 0, 0.0, "vazio"),
     ]
 
 
