@@ -7,16 +7,17 @@ model drives this difference below zero by memorising; the non-negative estimato
 steps back along it, which stops the memorising.
 
 The model is linear over hashed subwords (a document's distinct words and their
-beginnings), trained in numpy in one task from a bounded sample. Only subwords whose
+beginnings, and which of them are frequent in it), trained in numpy in one task from a bounded sample. Only subwords whose
 share among the positives differs clearly from their share in the unlabelled set have a
-weight: that keeps chance words of a long document out of its score, and the model is a
-few hundred weights. It is broadcast, and every whole text is scored where it was read.
+weight, and near copies are learnt from once: that keeps chance words of a long or often
+copied document out of the scores, and the model is a few hundred weights at most. It is broadcast, and every whole text is scored where it was read.
 """
 
 from __future__ import annotations
 
 import pickle
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -25,11 +26,15 @@ from pyspark.sql import functions as F
 
 from carelake.llm.common import keyed, learning_fold, table
 from carelake.llm.linear import Table, bucket, by_hash, offsets, segment_sums, words_of
+from carelake.llm.wordhash import mixed
 
 BUCKETS = 1 << 32  # few subwords have a weight, so the space is wide: chance collisions are rare
+FREQUENT, EVERY = BUCKETS, 200
 BEGINNINGS = (4, 5, 6)
 POSITIVES, UNLABELLED = 3000, 6000  # documents learnt from, at most
-CLEAR = 4.0  # standard errors between a subword's shares in the two sets
+CLEAR = 5.0  # standard errors between a subword's shares in the two sets
+MINIMA, ALIKE = 16, 10  # texts that share so many of these minimum hashes are taken as copies,
+SHORT = 32  # if they have this many subwords
 MOST_WEIGHTS = 20_000
 STEPS, RATE, DECAY = 250, 0.1, 1e-5
 PRIOR = 0.05  # where the labels give none
@@ -41,10 +46,18 @@ def features(word: str) -> list[int]:
     return [bucket(p, BUCKETS) for p in parts]
 
 
+def met_and_frequent(text: str | None, parts: Callable[[str], list[int]]) -> set[int]:
+    """Buckets of the subwords that a document has, and once more (FREQUENT higher) those it
+    has at least twice and on average once in EVERY words."""
+    words, times = words_of(text), Counter()
+    for word, n in Counter(words).items():
+        for f in parts(word):
+            times[f] += n
+    return times.keys() | {f + FREQUENT for f, n in times.items() if n > 1 and n * EVERY >= len(words)}
+
+
 def document_features(text: str | None) -> np.ndarray:
-    """Distinct buckets of the document's words, ascending."""
-    found = {f for w in set(words_of(text)) for f in features(w)}
-    return np.array(sorted(found), dtype=np.uint32)
+    return np.array(sorted(met_and_frequent(text, features)), dtype=np.uint64)
 
 
 def softplus(z: np.ndarray) -> np.ndarray:
@@ -55,14 +68,36 @@ def sigmoid(z):
     return 1.0 / (1.0 + np.exp(-np.clip(z, -60, 60)))
 
 
+def one_of_each_family(rows: list[np.ndarray]) -> list[np.ndarray]:
+    """The rows without near copies of an earlier row: the words of a text that was copied
+    would otherwise look as if many documents had chosen them. Rows of fewer than SHORT
+    subwords stay: people write the same few words independently. At most POSITIVES or
+    UNLABELLED rows come in."""
+    signs = np.zeros((len(rows), MINIMA), np.uint64)
+    for i, row in enumerate(rows):
+        if len(row) >= SHORT:
+            signs[i] = [mixed(row, seed).min() for seed in range(1, MINIMA + 1)]
+    leaders, kept = np.zeros_like(signs), []
+    for i, row in enumerate(rows):
+        if len(row) < SHORT or ((leaders[: len(kept)] == signs[i]).sum(axis=1) < ALIKE).all():
+            leaders[len(kept)] = signs[i]  # a short row leads nothing: its minima are 0
+            kept.append(row)
+    return kept
+
+
 def clear_subwords(positive: list[np.ndarray], unlabelled: list[np.ndarray]) -> np.ndarray:
-    """Ascending ids of the subwords whose shares of documents differ by CLEAR standard errors."""
+    """Ascending ids of the subwords whose shares of documents differ clearly: by the root of
+    the likelihood ratio statistic, which holds for rare subwords and few documents too."""
     ids, place = np.unique(np.concatenate([*positive, *unlabelled]), return_inverse=True)
     cut = sum(map(len, positive))
-    p = np.bincount(place[:cut], minlength=len(ids)) / len(positive)
-    u = np.bincount(place[cut:], minlength=len(ids)) / len(unlabelled)
-    error = np.sqrt(p * (1 - p) / len(positive) + u * (1 - u) / len(unlabelled)) + 1e-9
-    apart = np.abs(p - u) / error
+    k = np.bincount(place[:cut], minlength=len(ids)), np.bincount(place[cut:], minlength=len(ids))
+    n = len(positive), len(unlabelled)
+    share = (k[0] + k[1]) / (n[0] + n[1])
+    ratio = np.zeros(len(ids))
+    for with_it, docs in zip(k, n):
+        for seen, expected in ((with_it, docs * share), (docs - with_it, docs * (1 - share))):
+            ratio += 2 * seen * np.log(np.where(seen > 0, seen, 1) / np.where(seen > 0, expected, 1))
+    apart = np.sqrt(np.maximum(ratio, 0))
     best = np.argsort(-apart, kind="stable")[:MOST_WEIGHTS]
     return np.sort(ids[best[apart[best] >= CLEAR]])
 
@@ -70,9 +105,14 @@ def clear_subwords(positive: list[np.ndarray], unlabelled: list[np.ndarray]) ->
 def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float) -> tuple[np.ndarray, np.ndarray, float]:
     """(subwords, weights, bias): full-batch Adam on the non-negative risk."""
     bias = float(np.log(prior / (1 - prior)))
+    given, everything = len(positive), len(unlabelled)
+    positive, unlabelled = one_of_each_family(positive), one_of_each_family(unlabelled)
+    if positive and unlabelled:  # the prior among texts that are counted once
+        prior = min(max(prior * (len(positive) / given) / (len(unlabelled) / everything), 1e-3), 0.5)
+        bias = float(np.log(prior / (1 - prior)))
     n_pos, n_all = len(positive), len(positive) + len(unlabelled)
     if not n_pos or n_all == n_pos:
-        return np.zeros(0, np.uint32), np.zeros(0), bias
+        return np.zeros(0, np.uint64), np.zeros(0), bias
     used = clear_subwords(positive, unlabelled)
     rows = [np.searchsorted(used, r[np.isin(r, used)]) for r in (*positive, *unlabelled)]
     flat, lengths = np.concatenate(rows), np.array([len(r) for r in rows])
@@ -91,7 +131,7 @@ def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float
             slope[is_pos], slope[~is_pos] = on_pos + off_pos, off_all
         else:  # the estimate fell below what a risk can be: step back along it
             slope[is_pos], slope[~is_pos] = -off_pos, -off_all
-        grad = np.bincount(flat, weights=slope[owner], minlength=len(w))
+        grad = np.bincount(flat, weights=slope[owner], minlength=len(w)).astype(float)
         grad[-1] = slope.sum()
         grad[:-1] += DECAY * w[:-1]
         first, second = 0.9 * first + 0.1 * grad, 0.99 * second + 0.01 * grad * grad
@@ -130,7 +170,7 @@ class ToxicityModel:
 
         def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             rows = sorted((p.as_py(), f.as_py()) for b in batches for p, f in zip(b.column(0), b.column(1)))
-            unpack = [(p, np.frombuffer(f, np.uint32)) for p, f in rows]
+            unpack = [(p, np.frombuffer(f, np.uint64)) for p, f in rows]
             model = train([f for p, f in unpack if p], [f for p, f in unpack if not p], prior)
             yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], ["model"])
 
@@ -146,12 +186,12 @@ class ToxicityModel:
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             weights, bias = shared.value
-            worth = Table(lambda word: [f for f in features(word) if f in weights])
+            worth = Table(lambda word: [f for f in features(word) if f in weights or f + FREQUENT in weights])
             for batch in batches:
                 z = []
                 for text in batch.column("text"):
-                    met = set().union(*filter(None, map(worth.__getitem__, set(words_of(text.as_py())))))
-                    z.append(sum(weights[f] for f in sorted(met)))
+                    met = met_and_frequent(text.as_py(), worth.__getitem__)
+                    z.append(sum(weights.get(f, 0.0) for f in sorted(met)))
                 scores = sigmoid(np.array(z, dtype=float) + bias)
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(scores, pa.float64())], ["doc_id", "score"])
 

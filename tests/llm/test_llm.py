@@ -228,6 +228,26 @@ def test_toxicity_learns_from_positives_and_unlabelled(spark):
     assert toxicity.score_toxicity(docs.limit(0), labels.limit(0)).count() == 0
 
 
+def test_toxicity_copies_and_frequency(spark):
+    """A toxic page copied often does not make its ordinary words toxic; a stem that clean
+    texts use once counts where it is frequent."""
+    rng = random.Random(6)
+    words = [f"{a}{b}{c}{d}" for a in "bdgk" for b in "aeiou" for c in "lmnrst" for d in "aeiou"]
+    clean = [" ".join(rng.choices(words, k=250) + ["stemman"] * (i % 7 == 0)) for i in range(900)]
+    own = [f"copy{c}" for c in "abcdefghijklmnop"]
+    copied = rng.choices(words, k=30) + own
+    toxic = [" ".join([*copied, f"x{i}", "stemmen", "stemmig"]) for i in range(60)]
+    toxic += [" ".join(rng.sample(rng.choices(words, k=100) + ["stemmon", "stemmar", "stemmik", "stemmul"], 104)) for _ in range(60)]
+    texts = clean + toxic + [" ".join(own + rng.choices(words, k=60)) for _ in range(20)] + ["", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(900 <= i < 1020)) for i in range(1020)], "doc_id long, toxic int")
+    got = {r["doc_id"]: r["predicted"] for r in toxicity.score_toxicity(docs, labels).collect()}
+    assert sum(got[i] for i in range(900)) <= 9
+    assert sum(got[i] for i in range(960, 1020)) >= 57
+    assert not any(got[i] for i in range(1020, 1042))
+    assert len(toxicity.one_of_each_family([toxicity.document_features(t) for t in toxic[:60]])) == 1
+
+
 def test_language_id(spark):
     rng = random.Random(6)
     words = {"en": ["the", "and", "with", "house"], "de": ["und", "nicht", "straße", "ein"]}
