@@ -125,7 +125,7 @@ def stratified_split(
     )
     inside = Window.partitionBy("_stratum", "_cut").orderBy("_h")
     cut_hash = (
-        slim.join(F.broadcast(located), ["_stratum", "_b"])
+        slim.join(located, ["_stratum", "_b"])
         .withColumn("_rn", F.row_number().over(inside))
         .where(c("_rn") == c("_k"))
         .groupBy("_stratum")
@@ -134,11 +134,9 @@ def stratified_split(
             F.max(F.when(c("_cut") == "val", c("_h"))).alias("_val"),
         )
     )
-    # One row per class of the target, so the broadcast is bounded; a class too
+    # One row per class of the target: the planner checks its size. A class too
     # small for a cut has no row and falls to the later splits.
-    labelled = hashed.join(
-        F.broadcast(cut_hash.withColumnRenamed("_stratum", stratum)), stratum, "left"
-    )
+    labelled = hashed.join(cut_hash.withColumnRenamed("_stratum", stratum), stratum, "left")
     label = (
         F.when(c("_h") <= c("_train"), "train").when(c("_h") <= c("_val"), "val").otherwise("test")
     )

@@ -58,11 +58,9 @@ def completeness(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     )
 
 
-def capped_cardinality(values: DataFrame, cap: int = 20) -> DataFrame:
-    """Distinct values per column counted up to `cap` (NULL counts as a value)."""
-    return values.groupBy("coluna").agg(
-        F.least(F.count(F.lit(1)), F.lit(cap)).alias("distintos")
-    )
+def cardinality(values: DataFrame) -> DataFrame:
+    """Distinct values per column (NULL counts as a value)."""
+    return values.groupBy("coluna").agg(F.count(F.lit(1)).alias("distintos"))
 
 
 def status(missing: Column, distinct: Column, total: Column) -> Column:

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from carelake import functions as cf
 from carelake.functions.codes import URGENT_CODES
 from carelake.operators import explore, profile
-from carelake.plans.roles import adm, money, query, role_sql
+from carelake.plans.roles import RAW_ADMISSION, adm, money, query, role_sql
 from carelake.plans.scalars import sql_ymd
 from carelake.plans.tables import _round
-from carelake.schemas import CATEGORY_LABELS, CRITICAL_COLUMNS, DATE_COLUMNS
+from carelake.schemas import CATEGORY_LABELS, CRITICAL_COLUMNS, DATE_COLUMNS, HIGH_CARDINALITY_COLUMNS, NUMERIC_COLUMNS
 
 c = F.col
 
@@ -34,13 +35,23 @@ def overview(t):
 @query(
     "rate_by_group",
     " union all ".join(
-        f"select '{k}' as grupo, cast({k} as varchar) as valor, {_RATE} from {adm(k, 'morte')} a group by {k}"
-        for k in ("sexo", "faixa_etaria", "cid_cap", "munic_mov")
+        f"select '{k}' as grupo, cast({e} as varchar) as valor, {_RATE} from {adm(*used, 'morte')} a group by {e}"
+        for k, e, used in (
+            *((k, k, (k,)) for k in ("sexo", "faixa_etaria", "cid_cap", "munic_mov", "cid_principal")),
+            ("dia_semana", "dayofweek(dt_inter)", ("dt_inter",)),
+            ("transferido", "munic_res <> munic_mov", ("munic_res", "munic_mov")),
+        )
     ),
 )
 def rate_by_group(t):
-    keys = ["sexo", "faixa_etaria", "cid_cap", "munic_mov"]
-    return explore.rate_by_each(t.admissions(*keys, "morte"), keys)
+    few = ["sexo", "faixa_etaria", "cid_cap", "dia_semana", "transferido"]
+    rows = t.admissions("sexo", "faixa_etaria", "cid_cap", "munic_mov", "munic_res", "cid_principal", "dt_inter", "morte")
+    rows = explore.transferred(rows).withColumn("dia_semana", cf.dow_sunday0(c("dt_inter")))
+    out = explore.rate_by_each(rows, few)
+    for k in ("munic_mov", "cid_principal"):  # many values: a table of its own
+        per_value = explore.rate_by(rows, k).withColumn("grupo", F.lit(k)).withColumn("valor", c(k).cast("string"))
+        out = out.unionByName(per_value.drop(k))
+    return out
 
 
 @query(
@@ -192,10 +203,10 @@ def calendar_distribution(t):
 
 # --- profiles ---------------------------------------------------------------
 
-_RAW_COLUMNS = ("CNES", "DIAG_PRINC", "SEXO", "IDADE", "COD_IDADE", "MES_CMPT", "MORTE", "UTI_MES_TO", "MUNIC_RES", "CAR_INT")
+_RAW_COLUMNS = tuple(RAW_ADMISSION)
 _RAW = role_sql("raw_admission", *_RAW_COLUMNS)
 _LONG = " union all ".join(
-    f"select '{k}' as coluna, nullif({k}, '') as valor from raw" for k in _RAW_COLUMNS
+    f"select '{k}' as coluna, nullif(cast({k} as varchar), '') as valor from raw" for k in _RAW_COLUMNS
 )
 _VALUES = f"""raw as materialized (select * from {_RAW} r), long as ({_LONG}),
     vals as (select coluna, valor, count(*) as n from long group by all)"""
@@ -208,13 +219,13 @@ def _raw(t):
 @query(
     "completeness",
     f"""with {_VALUES} select coluna, coalesce(cast(sum(n) filter (valor is null) as bigint), 0) as nulos,
-    coalesce(sum(n) filter (valor is null), 0)::double * 100.0 / sum(n) as pct, cast(least(count(*), 20) as bigint) as distintos
+    coalesce(sum(n) filter (valor is null), 0)::double * 100.0 / sum(n) as pct, count(*) as distintos
     from vals group by coluna""",
 )
 def completeness(t):
     rows = _raw(t)
-    capped = profile.capped_cardinality(profile.value_table(rows, list(_RAW_COLUMNS)))
-    return profile.completeness(rows).join(capped, "coluna")
+    distinct = profile.cardinality(profile.value_table(rows, list(_RAW_COLUMNS)))
+    return profile.completeness(rows).join(distinct, "coluna")
 
 
 @query(
@@ -243,7 +254,8 @@ def status_counts(t):
     return profile.status_counts(profile.column_profile(_raw(t)))
 
 
-_LABELLED = {k: CATEGORY_LABELS[k] for k in ("SEXO", "CAR_INT", "MORTE", "COD_IDADE")}
+_CATEGORIES = tuple(k for k in CATEGORY_LABELS if k in RAW_ADMISSION)
+_LABELLED = {k: CATEGORY_LABELS[k] for k in _CATEGORIES if CATEGORY_LABELS[k]}
 _LABEL_SQL = "coalesce(case coluna || ':' || valor {} end, '')".format(
     " ".join(f"when '{k}:{v}' then '{label}'" for k, m in _LABELLED.items() for v, label in m.items())
 )
@@ -252,15 +264,15 @@ _LABEL_SQL = "coalesce(case coluna || ':' || valor {} end, '')".format(
 @query(
     "value_counts",
     f"""with {_VALUES}, r as (select *, row_number() over (partition by coluna order by n desc, valor nulls last) as posicao,
-      sum(n) over (partition by coluna) as total from vals)
+      sum(n) over (partition by coluna) as total from vals where coluna in {_CATEGORIES})
     select coluna, cast(posicao as int) as posicao, coalesce(valor, '(vazio)') as valor, n, n::double * 100.0 / total as pct,
     {_LABEL_SQL} as rotulo from r where posicao <= 10""",
 )
 def value_counts(t):
-    return profile.value_counts(_raw(t), list(_RAW_COLUMNS), 10, _LABELLED)
+    return profile.value_counts(_raw(t), list(_CATEGORIES), 10, _LABELLED)
 
 
-_CODES = ("MUNIC_MOV", "MUNIC_RES", "CNES", "DIAG_PRINC")
+_CODES = HIGH_CARDINALITY_COLUMNS
 
 
 @query(
@@ -274,7 +286,7 @@ def high_cardinality(t):
     return profile.high_cardinality(t.role("raw_admission", *_CODES), list(_CODES))
 
 
-_NUMERIC = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
+_NUMERIC = tuple(k for k in NUMERIC_COLUMNS if k in RAW_ADMISSION)
 
 
 @query(
@@ -283,12 +295,13 @@ _NUMERIC = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
         f"""select '{k}' as coluna, count({k}) as n_naonulos, count(*) filter ({k} = 0) as n_zeros, min({k}) + 0.0 as min,
         max({k}) as max, round(avg({k}), 6) as media, round(stddev_samp({k}), 6) as std,
         round(quantile_cont({k}, 0.25), 6) as p25, round(quantile_cont({k}, 0.5), 6) as p50,
-        round(quantile_cont({k}, 0.75), 6) as p75, round(quantile_cont({k}, 0.95), 6) as p95 from lineitem"""
+        round(quantile_cont({k}, 0.75), 6) as p75, round(quantile_cont({k}, 0.95), 6) as p95
+        from (select try_cast(trim({k}) as double) as {k} from {role_sql("raw_admission", k)} r) x"""
         for k in _NUMERIC
     ),
 )
 def numeric_summary(t):
-    out = profile.numeric_summary(t("lineitem").select(*_NUMERIC), list(_NUMERIC))
+    out = profile.numeric_summary(t.role("raw_admission", *_NUMERIC), list(_NUMERIC))
     return _round(out, "media", "std", "p25", "p50", "p75", "p95").withColumn(
         "min", c("min") + 0.0
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from carelake.operators import explore, indicators as ind
+from carelake.operators.windows import latest_per_key
 from carelake.plans.joining import FLAGGED, flagged
 from carelake.plans.roles import (
     adm,
@@ -80,18 +81,17 @@ def type_distribution(t):
     return ind.type_distribution(t.facilities("codufmun", "tp_unid", "cnes"), _TYPES)
 
 
-_MONTH = "199907"
-
-
 @query(
     "uncovered",
     f"""select distinct codufmun from {fac("codufmun", "competen")} f where codufmun not in
-    (select codufmun from {fac("codufmun", "tp_unid", "competen")} g where tp_unid = '05' and competen = '{_MONTH}')""",
+    (select codufmun from (select * from {fac("cnes", "codufmun", "tp_unid", "competen")} h
+      qualify row_number() over (partition by cnes order by competen desc) = 1) g where tp_unid = '05')""",
 )
 def uncovered(t):
     places = t.facilities("codufmun").distinct()
-    month = t.facilities("codufmun", "tp_unid", "competen").where(c("competen") == _MONTH)
-    return ind.uncovered(month, places, "05")
+    facilities = t.facilities("cnes", "codufmun", "tp_unid", "competen")
+    newest = latest_per_key(facilities, ["cnes"], [c("competen").desc_nulls_last()])
+    return ind.uncovered(newest, places, "05")
 
 
 @query(

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from carelake import functions as cf
 from carelake.operators import joins, linkage
+from carelake.operators.windows import latest_per_key
 from carelake.plans.roles import (
     ROLES,
     adm,
@@ -20,6 +21,7 @@ from carelake.plans.roles import (
 )
 from carelake.plans.scalars import sql_map
 from carelake.plans.tables import _round
+from carelake.schemas import NOTIFICATION_COLUMNS
 from carelake.sources.readers import expand_ranges
 from carelake.sources.reference import POSTCODE_RANGES
 
@@ -40,20 +42,16 @@ def enrich_latest(t):
     )
 
 
-_ONE_MONTH = "1999-07-01"
-
-
 @query(
     "enrich_simple",
     f"""select id_aih, a.cnes, codufmun, tp_unid, nat_jur from {adm("id_aih", "cnes")} a
-    left join (select * from {fac("cnes", "competencia", "codufmun", "tp_unid", "nat_jur")} f where competencia = date '{_ONE_MONTH}') l on l.cnes = a.cnes""",
+    left join (select * from {fac("cnes", "competencia", "codufmun", "tp_unid", "nat_jur")} f
+     qualify row_number() over (partition by cnes order by competencia desc) = 1) l on l.cnes = a.cnes""",
 )
 def enrich_simple(t):
     columns = ["codufmun", "tp_unid", "nat_jur"]
-    month = t.facilities("cnes", "competencia", *columns).where(
-        c("competencia") == F.lit(_ONE_MONTH).cast("date")
-    )
-    return joins.enrich_simple(t.admissions("id_aih", "cnes"), month, columns)
+    newest = latest_per_key(t.facilities("cnes", "competencia", *columns), ["cnes"], [c("competencia").desc_nulls_last()])
+    return joins.enrich_simple(t.admissions("id_aih", "cnes"), newest, columns)
 
 
 @query(
@@ -253,12 +251,17 @@ def star_children(t):
     )
 
 
-_YEARS = "(select unnest(range(1995, 2002)) as ano)"
+_YEARS = f"""(select unnest(range(min(ano), max(ano) + 1)) as ano from (select ano from {adm("ano")} a
+    union all select ano from {bed("ano")} b union all select ano from {dth("ano")} d))"""
 
 
 def _population_by_year(t):
-    years = F.explode(F.array(*[F.lit(y) for y in range(1995, 2002)])).alias("ano")
-    return t.population().select("cod6", years, "populacao")
+    """The population of every year from the first to the last of the facts."""
+    facts = t.admissions("ano").unionByName(t.beds("ano")).unionByName(t.deaths("ano"))
+    years = facts.agg(F.sequence(F.min("ano"), F.max("ano"))).scalar()
+    return t.population().select("cod6", years.alias("_years"), "populacao").select(
+        "cod6", F.explode("_years").alias("ano"), "populacao"
+    )
 
 
 _POP_YEAR = f"(select cod6, cast(ano as int) as ano, populacao from {pop()} p, {_YEARS} y)"
@@ -361,11 +364,23 @@ def postcode_rollup(t):
 # --- set operations ----------------------------------------------------------
 
 _NOTICE = {
+    "tp_not": "cast(1 + o_orderkey % 2 as string)",
     "id_agravo": "'A' || cast(o_custkey % 90 as string)",
     "dt_notific": "cast(o_orderdate as date)",
+    "nu_ano": "cast(year(cast(o_orderdate as date)) as int)",
+    "sg_uf_not": f"substr({municipality('o_custkey')}, 1, 2)",
     "id_municip": municipality("o_custkey"),
+    "id_unidade": facility("o_custkey"),
+    "ano_nasc": "cast(1920 + o_custkey % 80 as int)",
+    "nu_idade_n": "cast(4000 + o_orderkey % 90 as string)",
+    "cs_sexo": "case when o_orderkey % 2 = 0 then 'M' else 'F' end",
+    "cs_raca": "case when o_orderkey % 7 = 0 then null else cast(1 + o_orderkey % 5 as string) end",
+    "id_mn_resi": municipality("o_orderkey"),
     "classi_fin": "cast(1 + o_orderkey % 8 as string)",
+    "criterio": "cast(1 + o_orderkey % 3 as string)",
+    "evolucao": "case when o_orderkey % 5 = 0 then null else cast(1 + o_orderkey % 4 as string) end",
 }
+assert tuple(_NOTICE) == tuple(k.lower() for k in NOTIFICATION_COLUMNS)
 _NOTICE_SQL = ", ".join(f"{e} as {n}" for n, e in _NOTICE.items())
 # Disease files, each with a column of its own besides the shared ones.
 _FILES = {"deng": "P", "zika": "F", "hepa": "O"}
