@@ -23,6 +23,15 @@ def in_period(df: DataFrame, lo: date, hi: date, prefix: str = "") -> DataFrame:
     return out.where(c("cid3").startswith(prefix.upper())) if prefix else out
 
 
+def facts_in_period(facts: DataFrame, lo: date, hi: date, prefix: str = "") -> DataFrame:
+    """Rows of the months of the period, for aggregates by month that are built for one
+    question: a filter above the full outer join of the cascade would not reach its inputs."""
+    month = F.col("ano") * 12 + F.col("mes")
+    first = lo.year * 12 + lo.month + (lo.day > 1)
+    out = facts.where(F.col("ano").between(lo.year, hi.year) & month.between(first, hi.year * 12 + hi.month))
+    return out.where(F.col("cid3").startswith(prefix.upper())) if prefix else out
+
+
 def coverage_summary(cascade: DataFrame, panel: DataFrame, beds: DataFrame) -> DataFrame:
     """One row: period covered and totals of the three tables."""
     left = cascade.agg(

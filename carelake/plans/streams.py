@@ -15,10 +15,18 @@ c = F.col
 _EVENT_FIELDS = triage.TRIAGE_EVENT.fieldNames()
 
 
-def _stream(t, name: str):
+#: Files of a micro-batch.
+FILES = 64
+
+
+def _stream(t, name: str, ordered: bool = False):
     """A driver table as a stream of its files. The pattern matches the table whether
-    it is one file or a folder of parts; the stream source takes no plain file path."""
-    return t.spark.readStream.schema(t(name).schema).parquet(f"{t.folder}/{name}.parque[t]")
+    it is one file or a folder of parts; the stream source takes no plain file path.
+
+    A batch takes a bounded number of files. The files of a table are in no order of time,
+    so a watermark must not move between them: ordered=True reads them as one batch."""
+    reader = t.spark.readStream if ordered else t.spark.readStream.option("maxFilesPerTrigger", FILES)
+    return reader.schema(t(name).schema).parquet(f"{t.folder}/{name}.parque[t]")
 
 
 def _messages(events):
@@ -137,13 +145,16 @@ def recommend_units(t):
     published = shared_path(t.spark, "published")
     store = shared_path(t.spark, "alerts")
     units = lambda: (t.beds(*_UNIT_BEDS), t.facilities(*_UNIT_FAC))
-    run = triage.process_batch(
-        units, lambda df: df.write.mode("append").parquet(published), store, f"{store}-dead"
-    )
+
+    def publish(df, batch_id):  # a retried batch replaces what it published
+        _append(df, batch_id, published)
+
+    run = triage.process_batch(units, publish, store, f"{store}-dead")
     triage.start(
         _messages(_stream(t, "events")), run, f"{store}-checkpoint", once=True
     ).awaitTermination()
-    return t.spark.read.parquet(published).select(
+    message = f"id_evento string, criterio string, municipio_origem string, unidades_recomendadas {triage.UNITS_TYPE}"
+    return t.spark.read.schema(message).parquet(published).select(
         "id_evento",
         "criterio",
         "municipio_origem",
@@ -193,7 +204,7 @@ def recent_alerts(t):
 
 @query("stream_dedupe", "select distinct event_id // 2 as id_evento from events")
 def stream_dedupe(t):
-    rows = _stream(t, "events").select(
+    rows = _stream(t, "events", ordered=True).select(
         F.expr("event_id div 2").alias("id_evento"), c("ts").cast("timestamp").alias("ts")
     )
     out = shared_path(t.spark, "deduplicated")
@@ -224,9 +235,9 @@ def stream_interval_join(t):
     """Requests and outcomes as two streams of the events file."""
     key = F.expr(_REQUEST).alias("id_pedido")
     at = c("ts").cast("timestamp")
-    requests = _stream(t, "events").where("event_type = 'click'").select(key, at.alias("ts_pedido"))
+    requests = _stream(t, "events", ordered=True).where("event_type = 'click'").select(key, at.alias("ts_pedido"))
     outcomes = (
-        _stream(t, "events")
+        _stream(t, "events", ordered=True)
         .where("event_type in ('purchase', 'error')")
         .select(key, at.alias("ts_desfecho"), c("event_type").alias("desfecho"))
     )

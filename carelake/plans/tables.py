@@ -25,6 +25,20 @@ def cascade(t):
     )
 
 
+def _cascade_of_period(t, prefix=""):
+    """The cascade of the months and codes of one question, filtered before it is built."""
+    deaths = t.deaths("cid3", "munic_res", "ano", "mes", "obito_hospitalar")
+    return gold.care_cascade(
+        *[dashboard.facts_in_period(rows, LO, HI, prefix) for rows in (t.admissions(*_ADM), deaths)]
+    )
+
+
+def _panel_metrics_of(t, period=True):
+    """The panel without facility attributes, which the hospital readers do not use."""
+    rows = t.admissions(*_PANEL_ADM)
+    return gold.hospital_panel(dashboard.facts_in_period(rows, LO, HI) if period else rows)
+
+
 _SIH = f"""select cid3, munic_res, ano, mes, count(*) as n, count(*) filter (csap_flag) as csap, cast(sum(morte) as bigint) as d,
     avg(dias_perm) as perm_media, avg(idade_anos) as idade_media, {money("val_tot")} as custo_total,
     {money("val_tot")} / count(val_tot) as custo_medio, cast(sum(uso_uti) as bigint) as uti
@@ -188,7 +202,7 @@ _RANK_CODES = f"""select cid3, cast(sum(n_internacoes) as bigint) as internacoes
     _RANK_CODES + " group by cid3 having sum(n_internacoes) > 0 order by internacoes desc, cid3 limit 50",
 )
 def rank_codes(t):
-    return _round(dashboard.rank_codes(cascade(t), LO, HI, n=50), "letalidade", "perm_media")
+    return _round(dashboard.rank_codes(_cascade_of_period(t), LO, HI, n=50), "letalidade", "perm_media")
 
 
 @query(
@@ -196,7 +210,7 @@ def rank_codes(t):
     _RANK_CODES + " and cid3 like 'J%' group by cid3 having sum(n_internacoes) > 0 order by internacoes desc, cid3 limit 50",
 )
 def period_prefix_filter(t):
-    return _round(dashboard.rank_codes(cascade(t), LO, HI, "j", 50), "letalidade", "perm_media")
+    return _round(dashboard.rank_codes(_cascade_of_period(t, "j"), LO, HI, "j", 50), "letalidade", "perm_media")
 
 
 @query(
@@ -206,7 +220,7 @@ def period_prefix_filter(t):
     where {_IN} and cid3 like 'I%' group by competencia order by competencia""",
 )
 def series_by_period(t):
-    return dashboard.series_by_period(cascade(t), LO, HI, "I")
+    return dashboard.series_by_period(_cascade_of_period(t, "I"), LO, HI, "I")
 
 
 _PANEL_METRICS = f"""cast(sum(n_internacoes) as bigint) as internacoes, cast(sum(n_mortes) as bigint) as mortes,
@@ -225,7 +239,7 @@ def _panel_round(df):
     order by internacoes desc, cnes limit 30""",
 )
 def rank_hospitals(t):
-    return _panel_round(dashboard.rank_hospitals(panel(t), LO, HI, n=30))
+    return _panel_round(dashboard.rank_hospitals(_panel_metrics_of(t), LO, HI, n=30))
 
 
 @query(
@@ -236,7 +250,7 @@ def rank_hospitals(t):
 )
 def hospital_profile(t):
     return _round(
-        _panel_round(dashboard.hospital_profile(panel(t), "0000007", LO, HI, 30)), "idade_media"
+        _panel_round(dashboard.hospital_profile(_panel_metrics_of(t), "0000007", LO, HI, 30)), "idade_media"
     )
 
 
@@ -261,7 +275,7 @@ def mean_capacity(t):
 )
 def pick_lists(t):
     codes = dashboard.pick_lists(cascade(t), "cid3", 200)
-    hospitals = dashboard.pick_lists(panel(t), "cnes", 500, 10)
+    hospitals = dashboard.pick_lists(_panel_metrics_of(t, period=False), "cnes", 500, 10)
     return codes.select(F.lit("cid3").alias("lista"), c("cid3").alias("valor"), "n").unionByName(
         hospitals.select(F.lit("cnes").alias("lista"), c("cnes").alias("valor"), "n")
     )

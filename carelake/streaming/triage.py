@@ -209,13 +209,14 @@ def recent_alerts(store: DataFrame, n: int = 50) -> DataFrame:
 
 def process_batch(
     load_units: Callable[[], tuple[DataFrame, DataFrame]],
-    publish: Callable[[DataFrame], None],
+    publish: Callable[[DataFrame, int], None],
     store_path: str,
     dead_letter_path: str,
     n: int = 3,
 ) -> Callable[[DataFrame, int], None]:
     """foreachBatch body. Beds and registry are loaded per batch, so new months are
-    seen; what feeds several writes is persisted for the length of the batch."""
+    seen; what feeds several writes is persisted for the length of the batch. publish takes
+    the messages and the batch id, by which a retried batch can be told from a new one."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
         decoded = decode(batch.select("value")).persist()
@@ -228,7 +229,7 @@ def process_batch(
             beds, facilities = load_units()
             found = recommend_units(alerts(events(decoded)), beds, facilities, n).persist()
             try:
-                publish(alert_message(found))
+                publish(alert_message(found), batch_id)
                 store_alerts(found, store_path)
             finally:
                 found.unpersist()

@@ -37,3 +37,19 @@ def test_query(spark, duck, name):
     got = entry.queries()[name](spark, FOLDER).toArrow()
     expected = duck.sql(entry.oracle_sql()[name]).to_arrow_table()
     assert table_rows(got) == table_rows(expected)
+
+
+def _optimised(spark, name):
+    return entry.queries()[name](spark, FOLDER)._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.mark.parametrize("name", ["rank_codes", "period_prefix_filter", "series_by_period"])
+def test_period_is_filtered_below_the_join(spark, name):
+    below = _optimised(spark, name).split("Join FullOuter")[1]
+    filters = [line for line in below.splitlines() if "Filter" in line and "year(" in line]
+    assert len(filters) == 2
+
+
+@pytest.mark.parametrize("name", ["rank_hospitals", "hospital_profile"])
+def test_hospital_readers_leave_the_registry_out(spark, name):
+    assert "Join" not in _optimised(spark, name)

@@ -67,7 +67,7 @@ def test_stream_is_idempotent_and_isolates_bad_events(spark, tmp_path):
     spark.createDataFrame([(x,) for x in first], "value string").coalesce(1).write.text(inbox)
     raw = spark.readStream.schema("value string").text(inbox)
     run = triage.process_batch(
-        lambda: units(spark), lambda df: published.extend(df.collect()), store, dead
+        lambda: units(spark), lambda df, batch_id: published.extend(df.collect()), store, dead
     )
     check = str(tmp_path / "check")
     triage.start(raw, run, check, once=True).awaitTermination()
