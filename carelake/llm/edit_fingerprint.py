@@ -19,6 +19,7 @@ that ends before it, and each range is read in order. The texts move once.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cache
 from hashlib import sha256
 
 import numpy as np
@@ -234,18 +235,72 @@ def edit_fingerprints(docs: DataFrame) -> DataFrame:
     return in_ranges(docs).mapInArrow(run, schema)
 
 
+def _levels() -> list[int]:
+    """Prefixes of the fingerprint that bands are drawn from: quarters of its octaves."""
+    ends = np.cumsum([0, *map(len, SAMPLES)])
+    inside = {int(first + q * n // 4) for first, n in zip(ends, map(len, SAMPLES)) for q in range(4)}
+    return sorted(inside - {0})
+
+
+LEVELS = _levels()
+REACH = np.concatenate([[0.0], np.cumsum(WEIGHT)])  # weight of the first digits
+VALUE = np.full(256, PAD, np.uint8)
+VALUE[np.frombuffer(b"0123456789abcdef", np.uint8)] = np.arange(16)
+
+
+@cache
+def picks(level: int, bands: int, digits: int) -> np.ndarray:
+    """For each band of a level the digits it takes: a digit's chance follows its weight, as
+    in likeness. Of a short prefix a band takes half the digits."""
+    rng = np.random.default_rng([SEED + 2, level])
+    weight = WEIGHT[:level] / REACH[level]
+    return np.array([rng.choice(level, max(1, min(digits, level // 2)), replace=False, p=weight) for _ in range(bands)])
+
+
+def digit_rows(prints: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Digits of fingerprints as rows filled up with PAD, and how many digits each has."""
+    rows = np.full((len(prints), max(map(len, prints), default=0)), PAD, np.uint8)
+    for row, p in zip(rows, prints):
+        row[: len(p)] = VALUE[np.frombuffer(p.encode(), np.uint8)]
+    return rows, (rows != PAD).sum(axis=1)
+
+
+def band_keys(prints: list[str], bands: int, digits: int, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """(number of the fingerprint, key) of every band. A fingerprint has bands on each level
+    that one alike and not longer may have as its longest, so two that are alike have the
+    longest level of the shorter one in common."""
+    rows, n = digit_rows(prints)
+    owners, keys = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+    for level, beyond in zip(LEVELS, [*LEVELS[1:], len(WEIGHT) + 1]):
+        at = np.flatnonzero((n >= level) & (REACH[beyond - 1] >= least * REACH[n]))
+        if not len(at):
+            continue
+        taken = rows[at][:, picks(level, bands, digits)].astype(np.uint64)  # fingerprint, band, digit
+        packed = np.zeros(taken.shape[:2], np.uint64)
+        for k in range(taken.shape[2]):
+            packed = mixed(packed + taken[:, :, k], k)
+        tags = mixed(np.arange(bands, dtype=np.uint64) + np.uint64(level * bands), 2)
+        owners.append(np.repeat(at, bands))
+        keys.append(mixed(packed ^ tags).ravel())
+    return np.concatenate(owners), np.concatenate(keys)
+
+
 def near_duplicates(spark: SparkSession, prints: DataFrame, bands: int = 12, digits: int = 6, least: float = 0.8) -> DataFrame:
     """doc_id and leader: documents whose fingerprints (doc_id, fingerprint) are alike.
 
-    Each band is a sample of digits of the fingerprint's last whole octaves; documents
+    Bands are samples of digits over the whole of the shorter output, weighed as in
+    likeness: most lie in its last octaves, and no part of the text is without. Documents
     with one band in common are compared with the band's smallest doc_id, so a hot band
     costs one pair per document. The likeness of the whole fingerprints verifies.
     """
-    rng = np.random.default_rng(SEED + 2)
     whole = prints.where("doc_id is not null and length(fingerprint) >= 64").select("doc_id", "fingerprint")
-    picks = [sorted(rng.choice(63, digits, replace=False).tolist()) for _ in range(bands)]
-    keys = [F.concat_ws("", F.lit(f"{b}:"), *[F.substring("fingerprint", p + 1, 1) for p in pick]) for b, pick in enumerate(picks)]
-    banded = stored(spark, whole.select("doc_id", F.explode(F.array(*keys)).alias("band")), "bands")
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            owners, keys = band_keys(batch.column("fingerprint").to_pylist(), bands, digits, least)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(owners)), pa.array(keys.view(np.int64))], ["doc_id", "band"])
+
+    banded = stored(spark, whole.mapInArrow(spread, keyed(whole, "band long")), "bands")
     leaders = banded.groupBy("band").agg(F.min("doc_id").alias("leader"))
     pairs = banded.join(leaders, "band").where("doc_id > leader").select("doc_id", "leader").distinct()
     named = whole.select(F.col("doc_id").alias("leader"), F.col("fingerprint").alias("lead_print"))

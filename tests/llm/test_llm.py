@@ -145,6 +145,22 @@ def test_edit_fingerprints_few_edits_are_near(spark, texts):
     assert likeness(a[2], b[2]) > 0.9 > 0.3 > likeness(a[2], fingerprints([texts[3]])[0][2])
 
 
+def test_near_duplicates_edited_at_the_start_middle_or_end(spark):
+    rng = random.Random(11)
+    texts = [" ".join(prose(rng, 150, 4000)) for _ in range(60)]
+    other = [" ".join(prose(rng, 6, 4000)) for _ in texts]
+    ways = {
+        "start": [o + t[len(o) :] for t, o in zip(texts, other)],
+        "middle": [t[:400] + o + t[400 + len(o) :] for t, o in zip(texts, other)],
+        "end": [t[: -len(o)] + o for t, o in zip(texts, other)],
+    }
+    for way, copies in ways.items():
+        made = fingerprints(texts + copies)
+        alike = {(60 + i, i) for i in range(60) if likeness(made[i][2], made[60 + i][2]) >= 0.8}
+        found = {tuple(r) for r in near_duplicates(spark, edit_fingerprints(frame(spark, texts + copies))).collect()}
+        assert len(alike) >= 10 and len(alike & found) >= 0.97 * len(alike), way
+
+
 def test_byte_bpe_is_the_rank_tokenizer(spark, texts):
     import public_tokenizers
     import tiktoken
