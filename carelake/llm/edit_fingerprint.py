@@ -27,7 +27,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from carelake.llm import sketch
 from carelake.llm.common import keyed, stored, table
+from carelake.llm.components import components
+from carelake.llm.ngram_jaccard import open_lists, tiles
 from carelake.llm.wordhash import mixed
 
 CLASSES, PERIOD, SEED = 64, 4096, 5
@@ -36,6 +39,7 @@ OCTAVES = 40
 LANES, FEW = 512, 100  # texts walked side by side; with fewer left each is walked alone
 PAD = 255
 LOWEST = -(1 << 63)
+MOST_CELLS = 1 << 30  # of the sketch of band keys, 128 MB of bits
 
 
 def _walk_table() -> np.ndarray:
@@ -285,35 +289,125 @@ def band_keys(prints: list[str], bands: int, digits: int, least: float) -> tuple
     return np.concatenate(owners), np.concatenate(keys)
 
 
-def near_duplicates(spark: SparkSession, prints: DataFrame, bands: int = 12, digits: int = 6, least: float = 0.8) -> DataFrame:
-    """doc_id and leader: documents whose fingerprints (doc_id, fingerprint) are alike.
+def alike_rows(one: np.ndarray, n: int, others: np.ndarray, lengths: np.ndarray, least: float) -> np.ndarray:
+    """Whether a row of digits and each of others, all filled up with PAD, are alike."""
+    longer = REACH[np.maximum(lengths, n)]
+    same = (others == one) & (others != PAD)
+    return (same @ WEIGHT[: len(one)] >= least * longer) | (longer == 0)
 
-    Bands are samples of digits over the whole of the shorter output, weighed as in
-    likeness: most lie in its last octaves, and no part of the text is without. Documents
-    with one band in common are compared with the band's smallest doc_id, so a hot band
-    costs one pair per document. The likeness of the whole fingerprints verifies.
-    """
-    whole = prints.where("doc_id is not null and length(fingerprint) >= 64").select("doc_id", "fingerprint")
+
+def digest(fingerprint: str) -> Column:
+    return F.md5(F.col(fingerprint))
+
+
+def band_lists(spark: SparkSession, heads: DataFrame, bands: int, digits: int, least: float) -> DataFrame:
+    """shingle (a band's key), doc, n, component, of bands that more than one document has.
+    A sketch of all keys leaves out nearly all that one document alone has."""
+    width = sketch.width_for(heads.count() * bands * 3, most=MOST_CELLS)
+
+    def every(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+        for batch in batches:
+            yield band_keys(batch.column(0).to_pylist(), bands, digits, least)[1]
+
+    bits = spark.sparkContext.broadcast(sketch.repeated(heads.select("fingerprint"), every, width, 1))
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             owners, keys = band_keys(batch.column("fingerprint").to_pylist(), bands, digits, least)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(owners)), pa.array(keys.view(np.int64))], ["doc_id", "band"])
+            often = sketch.estimated_twice(bits.value, width, keys)
+            docs = batch.column("doc").take(pa.array(owners[often]))
+            yield pa.RecordBatch.from_arrays([pa.array(keys[often].view(np.int64)), docs], ["shingle", "doc"])
 
-    banded = stored(spark, whole.mapInArrow(spread, keyed(whole, "band long")), "bands")
-    leaders = banded.groupBy("band").agg(F.min("doc_id").alias("leader"))
-    pairs = banded.join(leaders, "band").where("doc_id > leader").select("doc_id", "leader").distinct()
-    named = whole.select(F.col("doc_id").alias("leader"), F.col("fingerprint").alias("lead_print"))
+    lists = heads.select("doc", "fingerprint").mapInArrow(spread, "shingle long, doc string")
+    return stored(spark, lists.select("shingle", "doc", F.lit(0).alias("n"), F.col("doc").alias("component")), "bands")
+
+
+def leader_links(lists: DataFrame, heads: DataFrame, least: float) -> DataFrame:
+    """Links (left, right) of every document with the one leader it shares most bands with.
+    A band's leader is its smallest document."""
+    leaders = lists.groupBy("shingle").agg(F.min("doc").alias("leader"))
+    votes = lists.join(leaders, "shingle").where("doc > leader").groupBy("doc", "leader").agg(F.count("*").alias("votes"))
+    pairs = votes.groupBy("doc").agg(F.max(F.struct("votes", "leader")).alias("top")).select("doc", F.col("top.leader").alias("leader"))
+    named = heads.select(F.col("doc").alias("leader"), F.col("fingerprint").alias("lead_print"))
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        value = {c: i for i, c in enumerate("0123456789abcdef")} | {".": PAD}
-        digits_of = lambda s: np.array([value[c] for c in s], np.uint8)
         for batch in batches:
-            alike = [likeness(digits_of(a), digits_of(b)) >= least for a, b in zip(batch.column("fingerprint").to_pylist(), batch.column("lead_print").to_pylist())]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("leader")], ["doc_id", "leader"]).filter(pa.array(alike, pa.bool_()))
+            pairs = zip(batch.column("fingerprint").to_pylist(), batch.column("lead_print").to_pylist())
+            made = [digit_rows(list(pair)) for pair in pairs]
+            alike = [bool(alike_rows(rows[0], n[0], rows[1:], n[1:], least)[0]) for rows, n in made]
+            links = pa.RecordBatch.from_arrays([batch.column("doc"), batch.column("leader")], ["left", "right"])
+            yield links.filter(pa.array(alike, pa.bool_()))
+
+    both = pairs.join(heads.select("doc", "fingerprint"), "doc").join(named, "leader")
+    return both.select("doc", "leader", "fingerprint", "lead_print").mapInArrow(verify, "left string, right string")
+
+
+def tile_links(tiled: DataFrame, heads: DataFrame, least: float) -> DataFrame:
+    """Links (left, right) that join components, tile by tile: every document of one bucket
+    is compared with those of the other that are not in its component by then."""
+
+    def search(tile: pa.Table) -> pa.Table:
+        tile = tile.sort_by("doc")
+        ids, component, bucket, prints = (tile.column(c).to_pylist() for c in ("doc", "component", "bucket", "fingerprint"))
+        rows, n = digit_rows(prints)
+        name = np.unique(np.array(component), return_inverse=True)[1]
+        bucket = np.array(bucket)
+        right = np.flatnonzero(bucket == tile.column("high")[0].as_py())
+        found = []
+        for i in np.flatnonzero(bucket == tile.column("low")[0].as_py()).tolist():
+            near = (np.minimum(REACH[n[right]], REACH[n[i]]) >= least * np.maximum(REACH[n[right]], REACH[n[i]])) & (name[right] != name[i])
+            others = right[near]
+            for k in others[alike_rows(rows[i], int(n[i]), rows[others], n[others], least)].tolist():
+                if name[k] != name[i]:
+                    found.append((ids[i], ids[k]))
+                    name[name == name[k]] = name[i]
+        return pa.table({"left": pa.array([a for a, _ in found], pa.string()), "right": pa.array([b for _, b in found], pa.string())})
+
+    placed = tiled.join(heads.select("doc", "fingerprint"), "doc")
+    return placed.groupBy("low", "high").applyInArrow(search, "left string, right string")
+
+
+def near_classes(spark: SparkSession, prints: DataFrame, bands: int, digits: int, least: float) -> DataFrame:
+    """doc (digest of a fingerprint), near_class and near_class_size of the fingerprints of
+    classes of more than one document.
+
+    Equal fingerprints are one document here. First each is compared with one leader,
+    which joins many near copies in a number of pairs that is linear in theirs; then all that
+    share a band and are still in different components, in tiles of two buckets. So every
+    pair with a band in common is verified or already in one class.
+    """
+    some = prints.where("doc_id is not null and fingerprint is not null")
+    heads = some.groupBy(digest("fingerprint").alias("doc"), "fingerprint").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("size"))
+    heads = stored(spark, heads, "print-heads")
+    lists = stored(spark, open_lists(band_lists(spark, heads, bands, digits, least), None), "open-lists")
+    links = stored(spark, leader_links(lists, heads, least), "leader-links")
+    lists = stored(spark, open_lists(lists, components(spark, links)), "open-lists")
+    tiled = stored(spark, tiles(spark, lists), "tiles")
+    grouped = components(spark, links.unionByName(stored(spark, tile_links(tiled, heads, least), "tile-links")))
+    named = heads.join(grouped.withColumnRenamed("node", "doc"), "doc", "left").select(
+        "doc", "first_id", "size", F.coalesce("component", "doc").alias("component")
+    )
+    classes = named.groupBy("component").agg(F.min("first_id").alias("near_class"), F.sum("size").alias("near_class_size"))
+    return stored(spark, named.join(classes.where("near_class_size > 1"), "component").select("doc", "near_class", "near_class_size"), "near-classes")
+
 
-    return pairs.join(whole, "doc_id").join(named, "leader").select("doc_id", "leader", "fingerprint", "lead_print").mapInArrow(
-        verify, pairs.schema
+def near_duplicates(spark: SparkSession, prints: DataFrame, bands: int = 12, digits: int = 6, least: float = 0.8) -> DataFrame:
+    """doc_id and leader, the smallest doc_id of its class: documents whose fingerprints
+    (doc_id, fingerprint) are alike, but for the leaders.
+
+    Bands are samples of digits over the whole of the shorter output, weighed as in
+    likeness: most lie in its last octaves, and no part of the text is without. The likeness
+    of the whole fingerprints verifies every pair with a band in common that verified pairs
+    do not already connect. Rows with a null doc_id are alike with nothing.
+    """
+    whole = prints.where("doc_id is not null and length(fingerprint) >= 64").select("doc_id", "fingerprint")
+    found = near_classes(spark, whole, bands, digits, least)
+    return (
+        whole.select("doc_id", digest("fingerprint").alias("doc"))
+        .join(found, "doc")
+        .where("doc_id > near_class")
+        .select("doc_id", F.col("near_class").alias("leader"))
+        .distinct()
     )
 
 

@@ -10,7 +10,7 @@ import pytest
 
 from carelake.llm import byte_bpe, language_id, linear, mixing, sketch, token_rollup, toxicity, url_reputation, wordhash
 from carelake.llm.components import components
-from carelake.llm.edit_fingerprint import edit_fingerprints, fingerprints, likeness, near_duplicates
+from carelake.llm.edit_fingerprint import band_keys, edit_fingerprints, fingerprints, likeness, near_duplicates, written
 from carelake.llm.exact_dedup import catalogue, exact_dedup, occurrences
 from carelake.llm.ngram_jaccard import Index, ngram_jaccard
 from carelake.llm.substring import substring_dedup
@@ -161,6 +161,18 @@ def test_near_duplicates_edited_at_the_start_middle_or_end(spark):
         assert len(alike) >= 10 and len(alike & found) >= 0.97 * len(alike), way
 
 
+def test_near_duplicates_with_an_unlike_leader_in_every_band(spark):
+    rng = random.Random(12)
+    pairs = [" ".join(prose(rng, 150, 4000)) for _ in range(24)]
+    texts = [*pairs, *[t + " end" for t in pairs]]
+    keys = defaultdict(set)  # one band of one digit: few keys, so that their smallest documents are unlike the others
+    for owner, key in zip(*band_keys([written(f[2]) for f in fingerprints(texts)], 1, 1, 0.8)):
+        keys[int(owner)].add(int(key))
+    shared = {(24 + i, i) for i in range(24) if keys[i] & keys[24 + i]}
+    got = {tuple(r) for r in near_duplicates(spark, edit_fingerprints(frame(spark, texts)), bands=1, digits=1).collect()}
+    assert len(shared) >= 20 and shared <= got <= {(24 + i, i) for i in range(24)}, (len(shared), len(shared & got))
+
+
 def test_byte_bpe_is_the_rank_tokenizer(spark, texts):
     import public_tokenizers
     import tiktoken
