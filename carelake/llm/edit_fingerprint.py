@@ -14,6 +14,9 @@ by their length, so it estimates the share of output positions that agree.
 Only a text and its neighbour in the order of ids are needed together: documents are dealt
 into ranges of ids (balanced by quantiles), the first of each range also goes to the range
 that ends before it, and each range is read in order. The texts move once.
+
+Bands sampled from the fingerprints name the pairs to verify, and the verified pairs make
+classes of near copies.
 """
 
 from __future__ import annotations
@@ -26,6 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, StructField, StructType
 
 from carelake.llm import sketch
 from carelake.llm.common import keyed, stored, table
@@ -318,7 +322,7 @@ def band_lists(spark: SparkSession, heads: DataFrame, bands: int, digits: int, l
             docs = batch.column("doc").take(pa.array(owners[often]))
             yield pa.RecordBatch.from_arrays([pa.array(keys[often].view(np.int64)), docs], ["shingle", "doc"])
 
-    lists = heads.select("doc", "fingerprint").mapInArrow(spread, "shingle long, doc string")
+    lists = heads.select("doc", "fingerprint").mapInArrow(spread, "shingle long, doc long")
     return stored(spark, lists.select("shingle", "doc", F.lit(0).alias("n"), F.col("doc").alias("component")), "bands")
 
 
@@ -339,7 +343,7 @@ def leader_links(lists: DataFrame, heads: DataFrame, least: float) -> DataFrame:
             yield links.filter(pa.array(alike, pa.bool_()))
 
     both = pairs.join(heads.select("doc", "fingerprint"), "doc").join(named, "leader")
-    return both.select("doc", "leader", "fingerprint", "lead_print").mapInArrow(verify, "left string, right string")
+    return both.select("doc", "leader", "fingerprint", "lead_print").mapInArrow(verify, "left long, right long")
 
 
 def tile_links(tiled: DataFrame, heads: DataFrame, least: float) -> DataFrame:
@@ -361,10 +365,10 @@ def tile_links(tiled: DataFrame, heads: DataFrame, least: float) -> DataFrame:
                 if name[k] != name[i]:
                     found.append((ids[i], ids[k]))
                     name[name == name[k]] = name[i]
-        return pa.table({"left": pa.array([a for a, _ in found], pa.string()), "right": pa.array([b for _, b in found], pa.string())})
+        return pa.table({"left": pa.array([a for a, _ in found], pa.int64()), "right": pa.array([b for _, b in found], pa.int64())})
 
     placed = tiled.join(heads.select("doc", "fingerprint"), "doc")
-    return placed.groupBy("low", "high").applyInArrow(search, "left string, right string")
+    return placed.groupBy("low", "high").applyInArrow(search, "left long, right long")
 
 
 def near_classes(spark: SparkSession, prints: DataFrame, bands: int, digits: int, least: float) -> DataFrame:
@@ -377,33 +381,38 @@ def near_classes(spark: SparkSession, prints: DataFrame, bands: int, digits: int
     pair with a band in common is verified or already in one class.
     """
     some = prints.where("doc_id is not null and fingerprint is not null")
-    heads = some.groupBy(digest("fingerprint").alias("doc"), "fingerprint").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("size"))
-    heads = stored(spark, heads, "print-heads")
+    heads = some.groupBy("fingerprint").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("size"))
+    # Numbers hold once they are written, and are shorter than digests in every later shuffle.
+    heads = stored(spark, heads.withColumn("doc", F.monotonically_increasing_id()), "print-heads")
     lists = stored(spark, open_lists(band_lists(spark, heads, bands, digits, least), None), "open-lists")
     links = stored(spark, leader_links(lists, heads, least), "leader-links")
     lists = stored(spark, open_lists(lists, components(spark, links)), "open-lists")
     tiled = stored(spark, tiles(spark, lists), "tiles")
     grouped = components(spark, links.unionByName(stored(spark, tile_links(tiled, heads, least), "tile-links")))
     named = heads.join(grouped.withColumnRenamed("node", "doc"), "doc", "left").select(
-        "doc", "first_id", "size", F.coalesce("component", "doc").alias("component")
+        digest("fingerprint").alias("doc"), "first_id", "size", F.coalesce("component", "doc").alias("component")
     )
     classes = named.groupBy("component").agg(F.min("first_id").alias("near_class"), F.sum("size").alias("near_class_size"))
     return stored(spark, named.join(classes.where("near_class_size > 1"), "component").select("doc", "near_class", "near_class_size"), "near-classes")
 
 
-def near_duplicates(spark: SparkSession, prints: DataFrame, bands: int = 12, digits: int = 6, least: float = 0.8) -> DataFrame:
+BANDS, DIGITS, LEAST = 12, 6, 0.8
+
+
+def near_duplicates(spark: SparkSession, prints: DataFrame, bands: int = BANDS, digits: int = DIGITS, least: float = LEAST) -> DataFrame:
     """doc_id and leader, the smallest doc_id of its class: documents whose fingerprints
     (doc_id, fingerprint) are alike, but for the leaders.
 
     Bands are samples of digits over the whole of the shorter output, weighed as in
     likeness: most lie in its last octaves, and no part of the text is without. The likeness
     of the whole fingerprints verifies every pair with a band in common that verified pairs
-    do not already connect. Rows with a null doc_id are alike with nothing.
+    do not already connect. Short texts have short bands, and equal fingerprints are always
+    alike, so empty texts are one class. Rows with a null doc_id are alike with nothing.
     """
-    whole = prints.where("doc_id is not null and length(fingerprint) >= 64").select("doc_id", "fingerprint")
-    found = near_classes(spark, whole, bands, digits, least)
+    found = near_classes(spark, prints, bands, digits, least)
     return (
-        whole.select("doc_id", digest("fingerprint").alias("doc"))
+        prints.where("doc_id is not null")
+        .select("doc_id", digest("fingerprint").alias("doc"))
         .join(found, "doc")
         .where("doc_id > near_class")
         .select("doc_id", F.col("near_class").alias("leader"))
@@ -411,5 +420,33 @@ def near_duplicates(spark: SparkSession, prints: DataFrame, bands: int = 12, dig
     )
 
 
+def with_classes(spark: SparkSession, prints: DataFrame, bands: int = BANDS, digits: int = DIGITS, least: float = LEAST) -> DataFrame:
+    """prints (doc_id, fingerprint and others; written, as it is read several times) with
+    near_class, the smallest doc_id of the rows that verified pairs connect with the row, and
+    near_class_size, their number. Both are null without a doc_id."""
+    found = near_classes(spark, prints, bands, digits, least)
+    width = sketch.width_for(found.count(), most=MOST_CELLS)
+    half = lambda doc: np.array([int(d[:16], 16) for d in doc.to_pylist()], np.uint64)
+    every = lambda batches: (half(batch.column(0)).repeat(2) for batch in batches)
+    bits = spark.sparkContext.broadcast(sketch.repeated(found.select("doc"), every, width, 1))
+
+    def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            met = sketch.estimated_twice(bits.value, width, half(batch.column("doc")))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(met)], [*batch.schema.names, "met"])
+
+    # A sketch of the classes' documents keeps the rows of the others out of the join's shuffle.
+    named = prints.withColumn("doc", F.coalesce(digest("fingerprint"), F.lit("0" * 32)))
+    rows = named.mapInArrow(marked, StructType([*named.schema, StructField("met", BooleanType())]))
+    may = F.col("met") & F.col("doc_id").isNotNull()
+    own = F.when(F.col("doc_id").isNotNull(), F.lit(1)).cast("long")
+    alone = rows.where(~may).select(*prints.columns, F.col("doc_id").alias("near_class"), own.alias("near_class_size"))
+    others = rows.where(may).join(found, "doc", "left")
+    return others.select(
+        *prints.columns, F.coalesce("near_class", "doc_id").alias("near_class"), F.coalesce("near_class_size", own).alias("near_class_size")
+    ).unionByName(alone)
+
+
 def op8_edit_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return edit_fingerprints(table(spark, sf_dir, "documents"))
+    prints = edit_fingerprints(table(spark, sf_dir, "documents"))
+    return with_classes(spark, stored(spark, prints, "fingerprints"))

@@ -173,6 +173,23 @@ def test_near_duplicates_with_an_unlike_leader_in_every_band(spark):
     assert len(shared) >= 20 and shared <= got <= {(24 + i, i) for i in range(24)}, (len(shared), len(shared & got))
 
 
+def test_edit_fingerprint_query_has_classes(spark, tmp_path):
+    from carelake.llm.edit_fingerprint import op8_edit_fingerprint
+
+    rng = random.Random(13)
+    long = [" ".join(prose(rng, 150, 4000)) for _ in range(3)]
+    texts = [long[0], long[0] + " more", "ab cd ef", "ab cd ef", "ab cd ef", long[1], long[2], long[2], "", None, "other words", long[1]]
+    ids = [10, 11, 3, 2, None, 20, 20, 7, 30, 31, 40, None]
+    frame(spark, texts, ids).write.parquet(str(tmp_path / "documents.parquet"))
+    got = op8_edit_fingerprint(spark, str(tmp_path))
+    plain = edit_fingerprints(frame(spark, texts, ids))
+    assert got.columns == [*plain.columns, "near_class", "near_class_size"]
+    assert rows(got, *plain.columns) == rows(plain, *plain.columns)
+    wanted = [(10, 10, 2), (11, 10, 2), (3, 2, 2), (2, 2, 2), (None, None, None), (20, 20, 1), (20, 7, 2), (7, 7, 2)]
+    wanted += [(30, 30, 2), (31, 30, 2), (40, 40, 1), (None, None, None)]
+    assert rows(got, "doc_id", "near_class", "near_class_size") == sorted(wanted, key=repr)
+
+
 def test_byte_bpe_is_the_rank_tokenizer(spark, texts):
     import public_tokenizers
     import tiktoken
