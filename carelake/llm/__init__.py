@@ -20,6 +20,9 @@ OPERATORS = {
     "op8_edit_fingerprint": "edit_fingerprint",
     "op9_byte_bpe": "byte_bpe",
     "op10_language_id": "language_id",
+    "op11_target_resampling": "target_resampling",
+    "op12_periodic_runs": "periodic_runs",
+    "op13_vector_near": "vector_near",
 }
 
 
