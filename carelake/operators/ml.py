@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from carelake import functions as cf
+from carelake.operators.selection import BOUND, rows_at_ranks
 from carelake.schemas import FEATURES, LEAKY_COLUMNS, TARGET
 from carelake.sources.sinks import observed
 
@@ -86,53 +87,37 @@ def split_sizes(counts: DataFrame) -> DataFrame:
 
 
 def stratified_split(
-    df: DataFrame, key: Column, stratum: str = TARGET, seed: int = SEED
+    df: DataFrame, key: Column, stratum: str = TARGET, seed: int = SEED, bound: int = BOUND
 ) -> DataFrame:
     """Adds `split` (train, val, test), exact in size within every stratum.
 
     Rows are ordered by the md5 of seed and key, so the split is repeatable and
-    independent of partitioning. The order is never materialised: hashes are
-    uniform, so counts per 12-bit hash bucket locate the bucket of each cut, only
-    the rows of those buckets (about 1 in 4096) are ranked to find the cut hash,
-    and every row is then labelled by comparing its own hash. The table itself
-    is not shuffled. `key` must be unique.
+    independent of partitioning. The order is never materialised: the hash at each cut is
+    found by narrowing hash prefixes, at most BOUND rows of a stratum are ever ranked, and
+    every row is then labelled by comparing its own hash. The table itself is not
+    shuffled. `key` must be unique. Runs a few jobs when called.
     """
     c = F.col
     hashed = df.withColumn("_h", F.md5(F.concat(F.lit(f"{seed}|"), key.cast("string"))))
     slim = hashed.where(c(stratum).isNotNull()).select(
-        c(stratum).alias("_stratum"), "_h", F.substring("_h", 1, 3).alias("_b")
+        c(stratum).alias("_stratum"),
+        "_h",
+        F.conv(F.substring("_h", 1, 15), 16, 10).cast("bigint").alias("_o"),
+        F.lit(1).alias("_n"),
     )
-    buckets = slim.groupBy("_stratum", "_b").agg(F.count(F.lit(1)).alias("_bn"))
-    sizes = split_sizes(buckets.groupBy("_stratum").agg(F.sum("_bn").alias("_n")))
-    by_bucket = Window.partitionBy("_stratum").orderBy("_b")
-    ranged = buckets.withColumn("_hi", F.sum("_bn").over(by_bucket)).withColumn(
-        "_lo", c("_hi") - c("_bn")
-    )
-    cuts = sizes.select(
-        "_stratum",
-        F.explode(
-            F.array(
-                F.struct(F.lit("train").alias("cut"), c("n_train").alias("rank")),
-                F.struct(F.lit("val").alias("cut"), (c("n_train") + c("n_val")).alias("rank")),
-            )
-        ).alias("_c"),
-    )
-    # At most two rows per stratum.
-    located = (
-        ranged.join(cuts, "_stratum")
-        .where((c("_c.rank") > c("_lo")) & (c("_c.rank") <= c("_hi")))
-        .select("_stratum", "_b", c("_c.cut").alias("_cut"), (c("_c.rank") - c("_lo")).alias("_k"))
-    )
-    inside = Window.partitionBy("_stratum", "_cut").orderBy("_h")
-    cut_hash = (
-        slim.join(located, ["_stratum", "_b"])
-        .withColumn("_rn", F.row_number().over(inside))
-        .where(c("_rn") == c("_k"))
-        .groupBy("_stratum")
-        .agg(
-            F.max(F.when(c("_cut") == "train", c("_h"))).alias("_train"),
-            F.max(F.when(c("_cut") == "val", c("_h"))).alias("_val"),
+
+    def cuts(ranged: DataFrame) -> DataFrame:
+        sizes = split_sizes(ranged.select("_stratum", c("_total").alias("_n")).distinct())
+        both = F.array(
+            F.struct(F.lit("train").alias("cut"), (c("n_train") - 1).alias("rank")),
+            F.struct(F.lit("val").alias("cut"), (c("n_train") + c("n_val") - 1).alias("rank")),
         )
+        return ranged.join(sizes.select("_stratum", both.alias("_want")), "_stratum")
+
+    found = rows_at_ranks(slim, ["_stratum"], cuts, order=["_h"], bound=bound)
+    cut_hash = found.groupBy("_stratum").agg(
+        F.max(F.when(c("_t.cut") == "train", c("_h"))).alias("_train"),
+        F.max(F.when(c("_t.cut") == "val", c("_h"))).alias("_val"),
     )
     # One row per class of the target: the planner checks its size. A class too
     # small for a cut has no row and falls to the later splits.

@@ -1,23 +1,17 @@
 """Exact interpolated percentiles without gathering a group in one task.
 
-Values are first folded to (keys, value, count). A fixed, order-preserving
-bucket of about 0.1% relative width then splits each key's values, so only the
-few buckets that hold a wanted rank are ever sorted, one window per bucket. The
-bucket depends on the value alone: a recomputed task lands on the same split.
+Values are folded to (keys, value, count), written once, and the rows at the wanted ranks
+are found by narrowing the bits of the values (`selection`): a band with many values in
+it, however small or narrow, is refined until what is left can be sorted.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-
-INFINITE = 710_000  # above the bucket of every finite double; NaN sorts above that
-
-
-def _bucket(value):
-    size = F.least(F.floor(F.log1p(F.abs(value)) * 1000), F.lit(INFINITE))
-    return F.when(F.isnan(value), F.lit(INFINITE + 1)).otherwise(F.signum(value) * size).cast("bigint")
+from carelake.operators.selection import BOUND, double_ordinal, rows_at_ranks
+from carelake.session import stored
 
 
 def with_quantiles(
@@ -34,70 +28,38 @@ def with_quantiles(
 
 
 def exact_quantiles(
-    df: DataFrame, keys: list[str], value: str, probs: dict[str, float]
+    df: DataFrame, keys: list[str], value: str, probs: dict[str, float], bound: int = BOUND
 ) -> DataFrame:
     """One row per key with a double column per entry of `probs`.
 
-    NULL keys form a group of their own, as in GROUP BY.
+    NULL keys form a group of their own, as in GROUP BY; NULL values do not count, NaN is
+    above every number. Runs a few jobs when called.
     """
     c = F.col
-    counts = (
+    folded = (
         df.where(c(value).isNotNull())
         .select(*keys, c(value).cast("double").alias("_v"))
         .groupBy(*keys, "_v")
         .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_b", _bucket(c("_v")))
-    )
-    by_key = Window.partitionBy(*keys)
-    # One row per key and bucket: a few thousand per key, whatever the data size.
-    totals = counts.groupBy(*keys, "_b").agg(F.sum("_n").alias("_bn"))
-    ranged = totals.select(
-        *keys,
-        "_b",
-        (F.sum("_bn").over(by_key.orderBy("_b")) - c("_bn")).alias("_lo"),
-        (F.sum("_bn").over(by_key.orderBy("_b"))).alias("_hi"),
-        (F.sum("_bn").over(by_key) - 1).alias("_last"),
     )
+    counts = stored(df.sparkSession, folded.withColumn("_o", double_ordinal(c("_v"))), "values")
+
     # Each percentile needs the values at two neighbouring ranks.
-    wanted = F.array(
+    last = c("_total") - 1
+    place = {name: last * F.lit(float(p)) for name, p in probs.items()}
+    want = F.array(
         *[
             F.struct(
                 F.lit(name).alias("p"),
                 F.lit(part).alias("part"),
-                F.least(
-                    F.floor(c("_last") * F.lit(float(p))) + part, c("_last")
-                ).alias("rank"),
-                (c("_last") * F.lit(float(p)) - F.floor(c("_last") * F.lit(float(p)))).alias("frac"),
+                F.least(F.floor(at) + part, last).alias("rank"),
+                (at - F.floor(at)).alias("frac"),
             )
-            for name, p in probs.items()
+            for name, at in place.items()
             for part in (0, 1)
         ]
     )
-    targets = ranged.select(
-        *keys,
-        "_b",
-        "_lo",
-        F.filter(wanted, lambda t: (t["rank"] >= c("_lo")) & (t["rank"] < c("_hi"))).alias("_want"),
-    ).where(F.size("_want") > 0)
-
-    left, right = counts.alias("v"), targets.alias("t")
-    # Null-safe throughout: a plain equality would push a NOT NULL filter below the
-    # left aggregate only, and its shuffle could no longer be shared with `totals`.
-    on = [c(f"v.{k}").eqNullSafe(c(f"t.{k}")) for k in [*keys, "_b"]]
-    condition = on[0]
-    for term in on[1:]:
-        condition = condition & term
-    hits = left.join(right, condition).select(
-        *[c(f"v.{k}").alias(k) for k in keys], "v._b", "v._v", "v._n", "t._lo", "t._want"
-    )
-    running = Window.partitionBy(*keys, "_b").orderBy("_v")
-    placed = hits.withColumn("_hi", c("_lo") + F.sum("_n").over(running)).withColumn(
-        "_want",
-        F.filter(
-            c("_want"), lambda t: (t["rank"] >= c("_hi") - c("_n")) & (t["rank"] < c("_hi"))
-        ),
-    )
-    points = placed.where(F.size("_want") > 0).select(*keys, "_v", F.explode("_want").alias("_t"))
+    points = rows_at_ranks(counts, keys, lambda ranged: ranged.withColumn("_want", want), bound=bound)
 
     def at(name, part):
         return F.max(F.when((c("_t.p") == name) & (c("_t.part") == part), c("_v")))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # AQE re-plans joins from measured sizes and splits hot shuffle partitions;
 # dynamic overwrite replaces only the partitions a job actually touches.
@@ -55,3 +55,11 @@ def shared_root(spark: SparkSession) -> str:
 def shared_path(spark: SparkSession, label: str) -> str:
     """A fresh sub-folder of the shared root."""
     return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def stored(spark: SparkSession, frame: DataFrame, label: str) -> DataFrame:
+    """The frame written once to the shared root and read back: what follows neither
+    recomputes it nor depends on the executors that did."""
+    path = shared_path(spark, label)
+    frame.write.parquet(path)
+    return spark.read.schema(frame.schema).parquet(path)
