@@ -1,7 +1,10 @@
-"""Column profiles in one pass over the table instead of one job per column."""
+"""Column profiles from a few passes over the whole table instead of a job per column."""
 
 from __future__ import annotations
 
+from functools import reduce
+from math import ceil
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -9,6 +12,7 @@ from pyspark.sql import types as T
 from carelake import functions as cf
 from carelake.operators.quantiles import with_quantiles
 from carelake.operators.windows import top_per_key
+from carelake.session import stored
 
 
 def _is_text(df: DataFrame, name: str) -> bool:
@@ -21,22 +25,59 @@ def _missing(df: DataFrame, name: str) -> Column:
     return c.isNull() | (c == "") if _is_text(df, name) else c.isNull()
 
 
-def _long(df: DataFrame, columns: list[str]) -> DataFrame:
-    """(coluna, valor) rows; NULL and '' share the NULL value."""
-    pairs = [
-        F.struct(
-            F.lit(name).alias("coluna"),
-            F.when(~_missing(df, name), F.col(name).cast("string")).alias("valor"),
-        )
-        for name in columns
-    ]
-    return df.select(F.explode(F.array(*pairs)).alias("_p")).select("_p.coluna", "_p.valor")
+GROUP = 4096  # estimated combinations of the columns that are folded together
+RSD = 0.02  # of the estimates that only choose how to count
 
 
-def value_table(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Every value of every column with its count: the base of the profiles.
-    Counts combine map-side, so a constant column ships one row per task."""
-    return _long(df, columns).groupBy("coluna", "valor").agg(F.count(F.lit(1)).alias("n"))
+def _measured(df: DataFrame, columns: list[str]) -> DataFrame:
+    """One row, one pass, no shuffle of values: rows, missing, estimated distinct values."""
+    value = lambda x: F.when(~_missing(df, x), F.col(x))
+    return df.agg(
+        F.count(F.lit(1)).alias("_total"),
+        *[F.count_if(_missing(df, x)).alias(f"m_{x}") for x in columns],
+        *[F.approx_count_distinct(value(x), RSD).alias(f"d_{x}") for x in columns],
+    )
+
+
+def folding_groups(sizes: dict[str, int], limit: int = GROUP) -> list[list[str]]:
+    """Columns dealt into groups whose combinations stay within the limit; a column with
+    more values than that is alone."""
+    groups: list[list[str]] = []
+    room = 0
+    for name in sorted(sizes, key=lambda x: (sizes[x], x)):
+        need = sizes[name] + 1  # missing is a value
+        if groups and need <= room:
+            groups[-1].append(name)
+        else:
+            groups.append([name])
+            room = limit
+        room //= need
+    return groups
+
+
+def value_table(df: DataFrame, columns: list[str], sizes: dict[str, int] | None = None) -> DataFrame:
+    """Every value of every column with its count: (coluna, valor, n); NULL and '' share
+    the NULL value.
+
+    Columns with few values are folded together, so rows meet one aggregation per group
+    and are unpivoted only afterwards, as combinations. Each column is read once. Without
+    `sizes` (about how many values each column has) a first pass estimates them; they
+    decide the grouping and never the result.
+    """
+    if sizes is None:
+        row = _measured(df, columns).first()
+        sizes = {x: row[f"d_{x}"] for x in columns}
+    value = lambda x: F.when(~_missing(df, x), F.col(x).cast("string"))
+    parts = []
+    for group in folding_groups({x: sizes[x] for x in columns}):
+        folded = df.select(*[value(x).alias(x) for x in group]).groupBy(*group).agg(F.count(F.lit(1)).alias("n"))
+        if len(group) == 1:
+            parts.append(folded.select(F.lit(group[0]).alias("coluna"), F.col(group[0]).alias("valor"), "n"))
+            continue
+        pairs = F.array(*[F.struct(F.lit(x).alias("coluna"), F.col(x).alias("valor")) for x in group])
+        unpivoted = folded.select("n", F.explode(pairs).alias("_p"))
+        parts.append(unpivoted.groupBy("_p.coluna", "_p.valor").agg(F.sum("n").alias("n")))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def completeness(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -100,6 +141,31 @@ def column_profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame
     )
 
 
+def column_status(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """Rows, missing values and status of each column, from one aggregate without a shuffle
+    of values. `distintos` stops at 2: a column is constant if its least value is its greatest."""
+    columns = columns or df.columns
+    value = lambda x: F.when(~_missing(df, x), F.col(x))
+    wide = df.agg(
+        F.count(F.lit(1)).alias("_total"),
+        *[F.count_if(_missing(df, x)).alias(f"m_{x}") for x in columns],
+        *[(F.min(value(x)) < F.max(value(x))).alias(f"v_{x}") for x in columns],
+    )
+    c = F.col
+    distinct = lambda x: F.when(c(f"v_{x}"), 2).when(c(f"m_{x}") < c("_total"), 1).otherwise(0)
+    pairs = [
+        F.struct(F.lit(x).alias("coluna"), c(f"m_{x}").alias("nulos"), distinct(x).alias("distintos"))
+        for x in columns
+    ]
+    return wide.select("_total", F.explode(F.array(*pairs)).alias("_p")).select(
+        "_p.coluna",
+        c("_total").alias("total"),
+        "_p.nulos",
+        "_p.distintos",
+        status(c("_p.nulos"), c("_p.distintos"), c("_total")).alias("status"),
+    )
+
+
 def status_counts(profile: DataFrame) -> DataFrame:
     """How many columns are empty, constant and useful."""
     c = F.col
@@ -155,6 +221,43 @@ def high_cardinality(df: DataFrame, columns: list[str], n: int = 10) -> DataFram
     return top.join(distinct, "coluna")
 
 
+TRACKED = 65_536  # counters of the sketch of one column
+MOST_SHARES = 400  # values that may reach the least share
+
+
+def frequent_values(df: DataFrame, columns: list[str], share: float = 0.01) -> DataFrame:
+    """Every value that fills at least `share` of a column's rows, with its exact count.
+
+    Two passes, and no shuffle of a column's values however many it has. A frequent-items
+    sketch per column (merged from all tasks, TRACKED counters) misses a value only by
+    3.5 rows in TRACKED, far below the share, so its candidates hold every value wanted;
+    the second pass counts just these. Missing values ('' or NULL) are a value, NULL.
+    """
+    if not 0.0025 <= share <= 1:
+        raise ValueError("the share must lie between 0.0025 and 1")
+    c = F.col
+    value = lambda x: F.when(~_missing(df, x), c(x).cast("string"))
+    k = min(MOST_SHARES, ceil(1.1 / share) + 1)
+    wide = df.select(*[value(x).alias(x) for x in columns]).agg(
+        F.count(F.lit(1)).alias("_total"),
+        *[F.expr(f"transform(approx_top_k(`{x}`, {k}, {TRACKED}), i -> i.item)").alias(x) for x in columns],
+    )
+    row = wide.first()  # at most k values a column
+    chosen = {x: [v for v in row[x] or [] if v is not None] for x in columns}
+    slots = [
+        F.when(_missing(df, x), F.struct(F.lit(x).alias("coluna"), F.lit(None).cast("string").alias("valor"))).when(
+            value(x).isin(chosen[x]) if chosen[x] else F.lit(False), F.struct(F.lit(x).alias("coluna"), value(x).alias("valor"))
+        )
+        for x in columns
+    ]
+    met = df.select(F.explode(F.filter(F.array(*slots), lambda p: p.isNotNull())).alias("_p"))
+    counted = met.groupBy("_p.coluna", "_p.valor").agg(F.count(F.lit(1)).alias("n"))
+    total = F.lit(row["_total"])
+    return counted.where(c("n") >= total * share).select(
+        "coluna", "valor", "n", cf.percent(c("n"), total).alias("pct")
+    )
+
+
 def quick_profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Missing and approximately distinct values per column from one aggregate of
     fixed size: for tables whose values are too many to shuffle."""
@@ -184,36 +287,47 @@ NUMERIC_PROBS = {"p25": 0.25, "p50": 0.5, "p75": 0.75, "p95": 0.95}
 
 
 def numeric_summary(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Count, zeros, range, exact percentiles, mean and deviation of each column."""
-    pairs = [
-        F.struct(F.lit(x).alias("coluna"), cf.to_double(F.col(x)).alias("v"))
-        if _is_text(df, x)
-        else F.struct(F.lit(x).alias("coluna"), F.col(x).cast("double").alias("v"))
-        for x in columns
-    ]
-    long = df.select(F.explode(F.array(*pairs)).alias("_p")).select("_p.coluna", "_p.v")
-    basic = long.groupBy("coluna").agg(
-        F.count("v").alias("n_naonulos"),
-        F.count_if(F.col("v") == 0).alias("n_zeros"),
-        F.min("v").alias("min"),
-        F.max("v").alias("max"),
-        F.avg("v").alias("media"),
-        F.stddev("v").alias("std"),
+    """Count, zeros, range, exact percentiles, mean and deviation of each column.
+
+    Rows are folded to values first: each distinct value is read as a number once, and the
+    moments are weighted sums around the mean. Runs a few jobs when called.
+    """
+    c = F.col
+    values = value_table(df, columns)
+    texts = [x for x in columns if _is_text(df, x)]
+    number = F.when(c("coluna").isin(texts), cf.to_double(c("valor"))).otherwise(c("valor").try_cast("double")) if texts else c("valor").try_cast("double")
+    folded = stored(
+        df.sparkSession,
+        values.select("coluna", number.alias("v"), "n").groupBy("coluna", "v").agg(F.sum("n").alias("n")),
+        "numbers",
+    )
+    mean = folded.groupBy("coluna").agg((F.sum(c("v") * c("n")) / F.sum(F.when(c("v").isNotNull(), c("n")))).alias("media"))
+    apart = c("v") - c("media")
+    filled = F.coalesce(F.sum(F.when(c("v").isNotNull(), c("n"))), F.lit(0))
+    basic = (
+        folded.join(mean, "coluna")
+        .groupBy("coluna", "media")
+        .agg(
+            filled.alias("n_naonulos"),
+            F.coalesce(F.sum(F.when(c("v") == 0, c("n"))), F.lit(0)).alias("n_zeros"),
+            F.min("v").alias("min"),
+            F.max("v").alias("max"),
+            F.when(filled > 1, F.sqrt(F.sum(apart * apart * c("n")) / (filled - 1))).alias("std"),
+        )
+        .select("coluna", "n_naonulos", "n_zeros", "min", "max", "media", "std")
     )
-    return with_quantiles(basic, long, ["coluna"], "v", NUMERIC_PROBS)
+    return with_quantiles(basic, folded, ["coluna"], "v", NUMERIC_PROBS, weight="n")
 
 
 def date_validity(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Valid and invalid YYYYMMDD texts per column, with the range of the valid ones."""
-    pairs = [
-        F.struct(F.lit(x).alias("coluna"), cf.parse_ymd(F.col(x)).alias("d")) for x in columns
-    ]
-    long = df.select(F.explode(F.array(*pairs)).alias("_p")).select("_p.coluna", "_p.d")
-    n = F.count(F.lit(1))
-    return long.groupBy("coluna").agg(
-        F.count("d").alias("validas"),
-        (n - F.count("d")).alias("invalidas"),
-        cf.percent(n - F.count("d"), n).alias("pct_invalidas"),
+    """Valid and invalid YYYYMMDD texts per column, with the range of the valid ones.
+    Each distinct text is parsed once."""
+    dated = value_table(df, columns).withColumn("d", cf.parse_ymd(F.col("valor")))
+    bad = F.coalesce(F.sum(F.when(F.col("d").isNull(), F.col("n"))), F.lit(0))
+    return dated.groupBy("coluna").agg(
+        (F.sum("n") - bad).alias("validas"),
+        bad.alias("invalidas"),
+        cf.percent(bad, F.sum("n")).alias("pct_invalidas"),
         F.min("d").alias("min"),
         F.max("d").alias("max"),
     )

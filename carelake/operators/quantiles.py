@@ -15,32 +15,43 @@ from carelake.session import stored
 
 
 def with_quantiles(
-    basic: DataFrame, df: DataFrame, keys: list[str], value: str, probs: dict[str, float]
+    basic: DataFrame,
+    df: DataFrame,
+    keys: list[str],
+    value: str,
+    probs: dict[str, float],
+    weight: str | None = None,
 ) -> DataFrame:
     """`basic` (one row per key) with the percentiles of `value` in `df`; a NULL key
     is a group like any other, so the keys are matched null-safe."""
     c = F.col
     on = [c(f"b.{k}").eqNullSafe(c(f"q.{k}")) for k in keys]
-    found = exact_quantiles(df, keys, value, probs)
+    found = exact_quantiles(df, keys, value, probs, weight)
     return basic.alias("b").join(found.alias("q"), on, "left").select(
         "b.*", *[c(f"q.{name}") for name in probs]
     )
 
 
 def exact_quantiles(
-    df: DataFrame, keys: list[str], value: str, probs: dict[str, float], bound: int = BOUND
+    df: DataFrame,
+    keys: list[str],
+    value: str,
+    probs: dict[str, float],
+    weight: str | None = None,
+    bound: int = BOUND,
 ) -> DataFrame:
     """One row per key with a double column per entry of `probs`.
 
     NULL keys form a group of their own, as in GROUP BY; NULL values do not count, NaN is
-    above every number. Runs a few jobs when called.
+    above every number. `weight` names a column that says how often a row counts. Runs a
+    few jobs when called.
     """
     c = F.col
     folded = (
         df.where(c(value).isNotNull())
-        .select(*keys, c(value).cast("double").alias("_v"))
+        .select(*keys, c(value).cast("double").alias("_v"), (c(weight) if weight else F.lit(1)).alias("_w"))
         .groupBy(*keys, "_v")
-        .agg(F.count(F.lit(1)).alias("_n"))
+        .agg(F.sum("_w").alias("_n"))
     )
     counts = stored(df.sparkSession, folded.withColumn("_o", double_ordinal(c("_v"))), "values")
 

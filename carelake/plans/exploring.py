@@ -6,11 +6,12 @@ from pyspark.sql import functions as F
 
 from carelake import functions as cf
 from carelake.functions.codes import URGENT_CODES
-from carelake.operators import explore, profile
-from carelake.plans.roles import RAW_ADMISSION, adm, money, query, role_sql
+from carelake.operators import explore, profile, sketches
+from carelake.plans.roles import _SHIP, RAW_ADMISSION, adm, money, query, role_sql
 from carelake.plans.scalars import sql_ymd
 from carelake.plans.tables import _round
 from carelake.schemas import CATEGORY_LABELS, CRITICAL_COLUMNS, DATE_COLUMNS, HIGH_CARDINALITY_COLUMNS, NUMERIC_COLUMNS
+from carelake.session import shared_path
 
 c = F.col
 
@@ -243,6 +244,64 @@ def column_profile(t):
     return profile.column_profile(_raw(t))
 
 
+_COUNTED = ("N_AIH", "CNES", "DIAG_PRINC", "SEXO", "CEP", "VAL_TOT", "PROC_REA", "ETNIA", "MARCA_UTI", "DT_INTER")
+_PERIOD = ((1996, 11), (1999, 2))
+_MONTHS = f"year({_SHIP}) * 12 + month({_SHIP}) between {_PERIOD[0][0] * 12 + _PERIOD[0][1]} and {_PERIOD[1][0] * 12 + _PERIOD[1][1]}"
+
+
+def _sketches(t):
+    """Sketches of every month, those of the period's first year written twice."""
+    rows = t("lineitem").selectExpr(
+        *[f"{RAW_ADMISSION[k]} as {k}" for k in _COUNTED], f"cast(year({_SHIP}) as int) as ano", f"cast(month({_SHIP}) as int) as mes"
+    )
+    path = shared_path(t.spark, "sketches")
+    sketches.write_sketches(rows, list(_COUNTED), path)
+    sketches.write_sketches(rows.where(c("ano") == _PERIOD[0][0]), list(_COUNTED), path)
+    return sketches.read_sketches(t.spark, path)
+
+
+@query(
+    "distinct_in_period",
+    " union all ".join(
+        f"""select '{k}' as coluna, count(*) as linhas, count(*) - count(nullif({k}, '')) as nulos,
+        case when count(distinct nullif({k}, '')) < 4096 then count(distinct nullif({k}, '')) end as distintos, true as dentro
+        from (select {RAW_ADMISSION[k]} as {k} from lineitem where {_MONTHS}) x"""
+        for k in _COUNTED
+    ),
+)
+def distinct_in_period(t):
+    """Distinct values of a period from stored month sketches, exact where few; beside each
+    whether the bounds hold the count that the rows themselves give."""
+    found = sketches.distinct_in_period(_sketches(t), *_PERIOD)
+    rows = t("lineitem").where(_MONTHS).selectExpr(*[f"nullif({RAW_ADMISSION[k]}, '') as {k}" for k in _COUNTED])
+    counted = profile.cardinality(profile.value_table(rows, list(_COUNTED)).where("valor is not null"))
+    return found.join(counted.withColumnRenamed("distintos", "contados"), "coluna").select(
+        "coluna", "linhas", "nulos", F.when(c("exato"), c("distintos")).alias("distintos"),
+        c("contados").between(c("menor"), c("maior")).alias("dentro"),
+    )
+
+
+@query(
+    "frequent_values",
+    f"""with {_VALUES}, r as (select *, sum(n) over (partition by coluna) as total from vals)
+    select coluna, valor, n, n::double * 100.0 / total as pct from r where n >= total * 0.01""",
+)
+def frequent_values(t):
+    return profile.frequent_values(_raw(t), list(_RAW_COLUMNS))
+
+
+@query(
+    "column_status",
+    f"""with {_VALUES}, s as (select coluna, cast(sum(n) as bigint) as t, coalesce(cast(sum(n) filter (valor is null) as bigint), 0) as z, count(valor) as d
+      from vals group by coluna)
+    select coluna, t as total, z as nulos, cast(least(d, 2) as int) as distintos,
+    case when z = t then '100% nula' when d = 1 then 'constante' when z * 2 > t then 'maioria nula'
+      when z > 0 then 'parcialmente nula' else '100% preenchida' end as status from s""",
+)
+def column_status(t):
+    return profile.column_status(_raw(t))
+
+
 @query(
     "status_counts",
     f"""with {_VALUES}, s as (select coluna, sum(n) as t, coalesce(sum(n) filter (valor is null), 0) as z, count(valor) as d
@@ -251,7 +310,7 @@ def column_profile(t):
     count(*) filter (z < t and d <> 1) as n_uteis from s""",
 )
 def status_counts(t):
-    return profile.status_counts(profile.column_profile(_raw(t)))
+    return profile.status_counts(profile.column_status(_raw(t)))
 
 
 _CATEGORIES = tuple(k for k in CATEGORY_LABELS if k in RAW_ADMISSION)

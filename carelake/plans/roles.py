@@ -156,6 +156,20 @@ RAW_ADMISSION = {
     "CAR_INT": "lpad(cast(l_linenumber as string), 2, '0')",
     "COMPLEX": "case when l_tax >= 0.05 then '03' else '02' end",
     "COBRANCA": "cast(l_partkey % 30 as string)",
+    "ETNIA": "case when l_partkey % 7 = 0 then lpad(cast(l_suppkey % 264 as string), 4, '0') else '0000' end",
+    "INSTRU": "cast(l_orderkey % 6 as string)",
+    "FINANC": "lpad(cast(4 + l_partkey % 5 as string), 2, '0')",
+    "REGCT": "case when l_suppkey % 10 = 0 then '71' || lpad(cast(l_suppkey % 18 as string), 2, '0') else '0000' end",
+    "GESTAO": "case l_suppkey % 4 when 0 then 'E' when 1 then 'D' else 'M' end",
+    "IDENT": "case when l_orderkey % 50 = 0 then '5' when l_orderkey % 77 = 0 then '' else '1' end",
+    "HOMONIMO": "cast(l_partkey % 3 as string)",
+    "GESTRISCO": "case when l_linenumber = 5 then '1' when l_linenumber = 6 then null else '0' end",
+    "VINCPREV": "cast(l_suppkey % 7 as string)",
+    "QT_DIARIAS": f"case when ({_K}) % 83 = 0 then 'x' else cast({_STAY} + l_linenumber as string) end",
+    "VAL_UCI": "case when l_discount >= 0.09 then cast(cast(l_quantity * 3 as decimal(18,2)) as string) else '0.00' end",
+    "UTI_INT_TO": "case when l_discount >= 0.09 then cast(l_linenumber as string) else '0' end",
+    "US_TOT": "cast(cast(l_extendedprice * 2 as decimal(18,2)) as string)",
+    "DIAR_ACOM": "case when l_linenumber = 7 then null else cast(l_partkey % 40 as string) end",
     "NASC": f"case when ({_K}) % 17 = 0 then '00000000' else {ymd(f'({_SHIP} - cast(l_partkey as int) % 30000)')} end",
 }
 
