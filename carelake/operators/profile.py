@@ -25,18 +25,19 @@ def _missing(df: DataFrame, name: str) -> Column:
     return c.isNull() | (c == "") if _is_text(df, name) else c.isNull()
 
 
-GROUP = 4096  # estimated combinations of the columns that are folded together
-RSD = 0.02  # of the estimates that only choose how to count
+GROUP = 16_384  # combinations of the columns that are folded together, as estimated
+SAMPLE = 5_000  # first rows looked at to choose how to count; no result depends on them
 
 
-def _measured(df: DataFrame, columns: list[str]) -> DataFrame:
-    """One row, one pass, no shuffle of values: rows, missing, estimated distinct values."""
-    value = lambda x: F.when(~_missing(df, x), F.col(x))
-    return df.agg(
-        F.count(F.lit(1)).alias("_total"),
-        *[F.count_if(_missing(df, x)).alias(f"m_{x}") for x in columns],
-        *[F.approx_count_distinct(value(x), RSD).alias(f"d_{x}") for x in columns],
-    )
+def _value(df: DataFrame, name: str) -> Column:
+    """The column, NULL where it is missing."""
+    return F.when(~_missing(df, name), F.col(name))
+
+
+def _first_values(df: DataFrame, columns: list[str]) -> dict[str, set]:
+    """The values of each column in a few first rows."""
+    rows = df.select(*[_value(df, x).alias(x) for x in columns]).take(SAMPLE)
+    return {x: {r[i] for r in rows} - {None} for i, x in enumerate(columns)}
 
 
 def folding_groups(sizes: dict[str, int], limit: int = GROUP) -> list[list[str]]:
@@ -60,23 +61,22 @@ def value_table(df: DataFrame, columns: list[str], sizes: dict[str, int] | None
     the NULL value.
 
     Columns with few values are folded together, so rows meet one aggregation per group
-    and are unpivoted only afterwards, as combinations. Each column is read once. Without
-    `sizes` (about how many values each column has) a first pass estimates them; they
-    decide the grouping and never the result.
+    and are unpivoted only afterwards, as combinations. Each column is read once. `sizes`
+    says about how many values each column has, by default as a few first rows show; it
+    decides the grouping and never the result.
     """
     if sizes is None:
-        row = _measured(df, columns).first()
-        sizes = {x: row[f"d_{x}"] for x in columns}
-    value = lambda x: F.when(~_missing(df, x), F.col(x).cast("string"))
+        sizes = {x: len(seen) for x, seen in _first_values(df, columns).items()}
+    value = lambda x: _value(df, x).cast("string")
     parts = []
     for group in folding_groups({x: sizes[x] for x in columns}):
-        folded = df.select(*[value(x).alias(x) for x in group]).groupBy(*group).agg(F.count(F.lit(1)).alias("n"))
+        folded = df.select(*[value(x).alias(x) for x in group]).groupBy(*group).agg(F.count(F.lit(1)).alias("_rows"))
         if len(group) == 1:
-            parts.append(folded.select(F.lit(group[0]).alias("coluna"), F.col(group[0]).alias("valor"), "n"))
+            parts.append(folded.select(F.lit(group[0]).alias("coluna"), F.col(group[0]).alias("valor"), F.col("_rows").alias("n")))
             continue
         pairs = F.array(*[F.struct(F.lit(x).alias("coluna"), F.col(x).alias("valor")) for x in group])
-        unpivoted = folded.select("n", F.explode(pairs).alias("_p"))
-        parts.append(unpivoted.groupBy("_p.coluna", "_p.valor").agg(F.sum("n").alias("n")))
+        unpivoted = folded.select("_rows", F.explode(pairs).alias("_p"))
+        parts.append(unpivoted.groupBy("_p.coluna", "_p.valor").agg(F.sum("_rows").alias("n")))
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -115,10 +115,12 @@ def status(missing: Column, distinct: Column, total: Column) -> Column:
 
 
 def column_profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """Missing, distinct, top three values and status of each column."""
+    """Missing, distinct, top three values and status of each column, all exact: a column
+    of ids has its values shuffled (`frequent_values` and `sketches` avoid that). The table
+    of values is written once, when called."""
     columns = columns or df.columns
     c = F.col
-    values = value_table(df, columns)
+    values = stored(df.sparkSession, value_table(df, columns), "values")
     summary = values.groupBy("coluna").agg(
         F.sum("n").alias("total"),
         F.sum(F.when(c("valor").isNull(), c("n")).otherwise(0)).alias("nulos"),
@@ -143,15 +145,22 @@ def column_profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame
 
 def column_status(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Rows, missing values and status of each column, from one aggregate without a shuffle
-    of values. `distintos` stops at 2: a column is constant if its least value is its greatest."""
+    of values. `distintos` stops at 2: a column is constant if every value is its first one
+    (or, where the first rows have none, if its least value is its greatest)."""
     columns = columns or df.columns
-    value = lambda x: F.when(~_missing(df, x), F.col(x))
+    c = F.col
+    seen = {x: next(iter(found), None) for x, found in _first_values(df, columns).items()}
+
+    def varied(x: str) -> Column:
+        if seen[x] is None:
+            return F.min(_value(df, x)) < F.max(_value(df, x))
+        return F.count_if(_value(df, x) != F.lit(seen[x])) > 0
+
     wide = df.agg(
         F.count(F.lit(1)).alias("_total"),
         *[F.count_if(_missing(df, x)).alias(f"m_{x}") for x in columns],
-        *[(F.min(value(x)) < F.max(value(x))).alias(f"v_{x}") for x in columns],
+        *[varied(x).alias(f"v_{x}") for x in columns],
     )
-    c = F.col
     distinct = lambda x: F.when(c(f"v_{x}"), 2).when(c(f"m_{x}") < c("_total"), 1).otherwise(0)
     pairs = [
         F.struct(F.lit(x).alias("coluna"), c(f"m_{x}").alias("nulos"), distinct(x).alias("distintos"))
@@ -221,40 +230,44 @@ def high_cardinality(df: DataFrame, columns: list[str], n: int = 10) -> DataFram
     return top.join(distinct, "coluna")
 
 
-TRACKED = 65_536  # counters of the sketch of one column
-MOST_SHARES = 400  # values that may reach the least share
+TRACKED = 8_192  # counters of the sketch of one column
+FEW = 200  # values in the first rows from which a column gets a sketch
+OTHER = "\0other"  # stands for the values that cannot reach the share
 
 
 def frequent_values(df: DataFrame, columns: list[str], share: float = 0.01) -> DataFrame:
     """Every value that fills at least `share` of a column's rows, with its exact count.
 
-    Two passes, and no shuffle of a column's values however many it has. A frequent-items
-    sketch per column (merged from all tasks, TRACKED counters) misses a value only by
-    3.5 rows in TRACKED, far below the share, so its candidates hold every value wanted;
-    the second pass counts just these. Missing values ('' or NULL) are a value, NULL.
+    Two passes, and no shuffle of a column's values however many it has. For columns with
+    many values a frequent-items sketch (merged from all tasks, TRACKED counters) is off by
+    3.5 rows in TRACKED at most, far below the share, so its candidates hold every value
+    wanted; in the second pass all other values are one, and what is left has few values
+    and is counted exactly. Missing values ('' or NULL) are a value, NULL.
     """
     if not 0.0025 <= share <= 1:
         raise ValueError("the share must lie between 0.0025 and 1")
     c = F.col
-    value = lambda x: F.when(~_missing(df, x), c(x).cast("string"))
-    k = min(MOST_SHARES, ceil(1.1 / share) + 1)
-    wide = df.select(*[value(x).alias(x) for x in columns]).agg(
-        F.count(F.lit(1)).alias("_total"),
-        *[F.expr(f"transform(approx_top_k(`{x}`, {k}, {TRACKED}), i -> i.item)").alias(x) for x in columns],
-    )
-    row = wide.first()  # at most k values a column
-    chosen = {x: [v for v in row[x] or [] if v is not None] for x in columns}
-    slots = [
-        F.when(_missing(df, x), F.struct(F.lit(x).alias("coluna"), F.lit(None).cast("string").alias("valor"))).when(
-            value(x).isin(chosen[x]) if chosen[x] else F.lit(False), F.struct(F.lit(x).alias("coluna"), value(x).alias("valor"))
-        )
+    seen = _first_values(df, columns)
+    many = [x for x in columns if len(seen[x]) > FEW]
+    text = df.select(*[_value(df, x).cast("string").alias(x) for x in columns])
+    k = ceil(1.2 / share) + 1
+    candidates = {}
+    if many:
+        found = text.agg(*[F.expr(f"transform(approx_top_k(`{x}`, {k}, {TRACKED}), i -> i.item)").alias(x) for x in many]).first()
+        candidates = {x: [v for v in found[x] or [] if v is not None] for x in many}  # at most k each
+    kept = [
+        F.when(c(x).isin(candidates[x]) if candidates[x] else F.lit(False), c(x)).when(c(x).isNotNull(), OTHER).alias(x)
+        if x in candidates
+        else c(x)
         for x in columns
     ]
-    met = df.select(F.explode(F.filter(F.array(*slots), lambda p: p.isNotNull())).alias("_p"))
-    counted = met.groupBy("_p.coluna", "_p.valor").agg(F.count(F.lit(1)).alias("n"))
-    total = F.lit(row["_total"])
-    return counted.where(c("n") >= total * share).select(
-        "coluna", "valor", "n", cf.percent(c("n"), total).alias("pct")
+    sizes = {x: len(candidates[x]) if x in candidates else len(seen[x]) for x in columns}
+    counted = stored(df.sparkSession, value_table(text.select(*kept), columns, sizes), "values")
+    total = counted.groupBy("coluna").agg(F.sum("n").alias("_total"))
+    return (
+        counted.join(total, "coluna")
+        .where((c("n") >= c("_total") * share) & ~c("valor").eqNullSafe(OTHER))
+        .select("coluna", "valor", "n", cf.percent(c("n"), c("_total")).alias("pct"))
     )
 
 
