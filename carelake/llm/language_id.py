@@ -174,7 +174,8 @@ class LanguageModel:
                 names, scores = [], []
                 for text in batch.column("text"):
                     words = words_of(text.as_py())
-                    if not words or not model.languages:
+                    # A run may be of numbers that are no decimal digits, such as ½ and ①.
+                    if not model.languages or not any(c.isalpha() for w in words for c in w):
                         names.append(UNKNOWN)
                         scores.append(0.0)
                         continue

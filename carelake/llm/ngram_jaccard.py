@@ -19,7 +19,8 @@ A document is the set of its distinct 5-word shingles. Two link when
    components are searched in tiles of two buckets of documents, so no link between
    components is missed and no pair is ever a row.
 
-A block or tile has about BLOCK sets a side: a larger group is dealt out over several.
+A block or tile has about BLOCK sets or BLOCK_SHINGLES shingles a side, whichever is less:
+a larger group is dealt out over several.
 """
 
 from __future__ import annotations
@@ -34,7 +35,7 @@ from math import log, log2
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from carelake.llm import sketch
@@ -45,6 +46,7 @@ from carelake.llm.wordhash import WordHasher, canonical, pieces, sliding_min
 SIZE = 5  # words of a shingle
 PERCENT = 80
 BLOCK = 768
+BLOCK_SHINGLES = 400_000  # their sets and inverted lists take about 100 MB
 TURNS = 1  # of leaders; every pair that they leave open is searched afterwards
 WORD_BYTES = 6  # bytes of a word and its blank; sets the sketch's width
 MOST_CELLS = 1 << 28  # one row of 32 MB of bits
@@ -68,6 +70,12 @@ def shingle_sets(hasher: WordHasher, texts: list[bytes], size: int = SIZE) -> li
     return [np.unique(p) for p in parts]
 
 
+def all_sets(texts: list[bytes]) -> list[np.ndarray]:
+    """The sets of many texts, hashed a few at a time."""
+    hasher = WordHasher()
+    return [s for first, last in pieces(texts) for s in shingle_sets(hasher, texts[first:last])]
+
+
 def plain(text: str | None) -> bytes:
     return canonical(text).lower()  # of bytes: A-Z alone
 
@@ -162,17 +170,23 @@ def document_sets(spark: SparkSession, docs: DataFrame) -> DataFrame:
     return stored(spark, texts.mapInArrow(rows, keyed(docs, fields)), "shingle-sets")
 
 
+def blocks(documents: Column, shingles: Column) -> Column:
+    """Blocks to deal so many documents into, whose sets have so many shingles together."""
+    return (F.greatest(documents / BLOCK, shingles / BLOCK_SHINGLES) + 1).cast("int")
+
+
 def search_blocks(spark: SparkSession, pairs: DataFrame, words: DataFrame) -> DataFrame:
     """Links (left, right) among the pairs (query, doc), found block by block."""
-    ranked = pairs.groupBy("query").agg((F.count("*") / BLOCK).cast("int").alias("parts"))
-    dealt = pairs.join(ranked, "query").select("query", "doc", F.pmod(F.xxhash64("doc"), F.col("parts") + 1).cast("int").alias("part"))
+    sized = pairs.join(words.select("doc", "n"), "doc")
+    ranked = sized.groupBy("query").agg(blocks(F.count("*"), F.sum("n")).alias("parts"))
+    dealt = pairs.join(ranked, "query").select("query", "doc", F.pmod(F.xxhash64("doc"), F.col("parts")).cast("int").alias("part"))
     queries = dealt.select("query", "part").distinct().select("query", "part", F.col("query").alias("doc"))
-    full = dealt.select("query", "part", "doc").unionByName(queries).join(words, "doc")
+    full = dealt.select("query", "part", "doc").unionByName(queries).join(words.select("doc", "words"), "doc")
 
     def search(block: pa.Table) -> pa.Table:
         query = block.column("query")[0].as_py()
         ids, texts = block.column("doc").to_pylist(), block.column("words").to_pylist()
-        sets = shingle_sets(WordHasher(), texts)
+        sets = all_sets(texts)
         at = ids.index(query)
         found = Index(sets, [i for i in range(len(ids)) if i != at]).t_occurrence(sets[at])
         return pa.table({"left": pa.array([query] * len(found), pa.int64()), "right": pa.array([ids[k] for k in found], pa.int64())})
@@ -215,14 +229,17 @@ def tiles(spark: SparkSession, lists: DataFrame) -> DataFrame:
     of those lists: a list of g documents gives at most g * (g / BLOCK) rows instead of
     g * g pairs.
     """
-    heads = lists.groupBy("shingle").agg(F.min("doc").alias("left"), F.count("*").alias("length"))
+    heads = lists.groupBy("shingle").agg(
+        F.min("doc").alias("left"), F.count("*").alias("length"), blocks(F.count("*"), F.sum("n")).alias("cuts")
+    )
     headed = lists.join(heads, "shingle")
     edges = headed.select("left", F.col("doc").alias("right")).distinct()
     family = components(spark, edges)
-    longest = headed.groupBy("doc").agg(F.max(F.struct("length", "shingle")).alias("longest"))
-    sizes = family.groupBy("component").agg((F.count("*") / BLOCK + 1).cast("int").alias("parts"))
+    longest = headed.groupBy("doc").agg(F.max(F.struct("length", "shingle", "cuts")).alias("longest"), F.max("n").alias("n"))
+    sized = family.join(longest.select(F.col("doc").alias("node"), "n"), "node")
+    sizes = sized.groupBy("component").agg(blocks(F.count("*"), F.sum("n")).alias("parts"))
     of_list = F.pmod(F.xxhash64("longest.shingle"), F.col("parts"))
-    of_doc = F.pmod(F.xxhash64("doc"), (F.col("longest.length") / BLOCK + 1).cast("int"))
+    of_doc = F.pmod(F.xxhash64("doc"), F.col("longest.cuts"))
     dealt = (
         family.withColumnRenamed("node", "doc")
         .join(sizes, "component")
@@ -247,7 +264,7 @@ def search_tiles(tiled: DataFrame, words: DataFrame) -> DataFrame:
         tile = tile.sort_by("doc")
         ids, component, bucket, texts = (tile.column(c).to_pylist() for c in ("doc", "component", "bucket", "words"))
         low, high = tile.column("low")[0].as_py(), tile.column("high")[0].as_py()
-        sets = shingle_sets(WordHasher(), texts)
+        sets = all_sets(texts)
         right = [i for i, b in enumerate(bucket) if b == high]
         parent = {c: c for c in component}
 
@@ -273,16 +290,21 @@ def search_tiles(tiled: DataFrame, words: DataFrame) -> DataFrame:
                     found.append((ids[i], ids[k]))
         return pa.table({"left": pa.array([a for a, _ in found], pa.int64()), "right": pa.array([b for _, b in found], pa.int64())})
 
-    return tiled.join(words, "doc").groupBy("low", "high").applyInArrow(search, "left long, right long")
+    return tiled.join(words.select("doc", "words"), "doc").groupBy("low", "high").applyInArrow(search, "left long, right long")
 
 
 def link_components(spark: SparkSession, sets: DataFrame) -> DataFrame:
-    """node and component of the class representatives that have a link."""
+    """component_id of every class (n_shingles, a, b) of equal sets: the smallest doc_id
+    of the classes that its links reach. A class is searched under a number of its own, so
+    different texts under one id are different documents."""
     some = sets.where("doc_id is not null and size(first) > 0")
-    classes = some.groupBy("n_shingles", "a", "b").agg(F.min("doc_id").alias("doc"))
-    heads = some.join(classes, ["n_shingles", "a", "b"]).where("doc = doc_id").dropDuplicates(["doc_id"])
-    heads = stored(spark, heads.select("doc", F.col("n_shingles").alias("n"), "first", "words"), "set-classes")
-    words = heads.select("doc", "words")
+    one = F.min(F.struct("doc_id", "first", "words")).alias("one")
+    classes = some.groupBy("n_shingles", "a", "b").agg(one)
+    numbered = classes.select(
+        F.monotonically_increasing_id().alias("doc"), F.col("n_shingles").alias("n"), "a", "b", "one.doc_id", "one.first", "one.words"
+    )
+    heads = stored(spark, numbered, "set-classes")
+    words = heads.select("doc", "n", "words")
     # Sets that can link have sizes in the same band or in neighbouring ones, so each set
     # stands in the lists of its band and of the next: a shingle's list holds no other sizes.
     band = F.floor(F.log(F.col("n").cast("double")) / log(100 / PERCENT))
@@ -297,7 +319,12 @@ def link_components(spark: SparkSession, sets: DataFrame) -> DataFrame:
         grouped = components(spark, links)
     lists = stored(spark, open_lists(lists, grouped), "open-lists")
     tiled = stored(spark, tiles(spark, lists), "tiles")
-    return components(spark, links.unionByName(stored(spark, search_tiles(tiled, words), "tile-links")))
+    grouped = components(spark, links.unionByName(stored(spark, search_tiles(tiled, words), "tile-links")))
+    placed = heads.join(grouped.withColumnRenamed("node", "doc"), "doc", "left").select(
+        F.col("n").alias("n_shingles"), "a", "b", "doc_id", F.coalesce("component", "doc").alias("component")
+    )
+    least = placed.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    return placed.join(least, "component").select("n_shingles", "a", "b", "component_id")
 
 
 def ngram_jaccard(spark: SparkSession, docs: DataFrame) -> DataFrame:
@@ -307,19 +334,16 @@ def ngram_jaccard(spark: SparkSession, docs: DataFrame) -> DataFrame:
     whole sequence is the one shingle; a null, empty or blank text has none, links with
     nothing and is its own component. Rows with a null doc_id link with nothing and have a
     null component. Rows that repeat a doc_id with the same words are one document given
-    several times. Ids are whole numbers. Extra columns are ignored; an empty table gives
+    several times; with other words they are separate documents, each with its own links. Ids are whole numbers. Extra columns are ignored; an empty table gives
     an empty result.
     """
     sets = document_sets(spark, docs)
-    grouped = link_components(spark, sets)
     key = ["n_shingles", "a", "b"]
-    classes = sets.where("doc_id is not null and size(first) > 0").groupBy(*key).agg(F.min("doc_id").alias("node"))
-    named = classes.join(grouped, "node", "left").select(*key, F.coalesce("component", "node").alias("component"))
     linked = F.col("doc_id").isNotNull() & (F.size("first") > 0)
     return (
         sets.select("doc_id", *key, linked.alias("linked"))
-        .join(named, key, "left")
-        .select("doc_id", "n_shingles", F.when(F.col("linked"), F.col("component")).otherwise(F.col("doc_id")).alias("component_id"))
+        .join(link_components(spark, sets), key, "left")
+        .select("doc_id", "n_shingles", F.when(F.col("linked"), F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
     )
 
 

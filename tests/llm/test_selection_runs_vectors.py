@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pytest
 
-from carelake.llm import target_resampling, vector_near
+from carelake.llm import ngram_jaccard, target_resampling, vector_near
 from carelake.llm.periodic_runs import find_runs, least_shared, periodic_runs, planted
 from carelake.llm.target_resampling import KEY, cutoff_key, ranked, resample, weighted_median
 from carelake.llm.vector_near import Side, close_pairs, near_vectors, quantised
@@ -181,3 +181,39 @@ def test_error_bounds_hold():
             met |= set(zip(i.tolist(), j.tolist()))
             sure |= set(zip(i[surely].tolist(), j[surely].tolist()))
         assert near <= met and sure <= near and len(met) < 2 * len(near) + 50
+
+
+# --- repeated ids and blocks of the n-gram Jaccard join
+
+
+def test_ngram_jaccard_repeated_ids_keep_their_links(spark):
+    rng = random.Random(12)
+    base, other = prose(rng, 60), prose(rng, 60)
+    near = [*base[:-1], "changed"]
+    got = rows(ngram_jaccard.ngram_jaccard(spark, frame(spark, [" ".join(x) for x in (other, base, near, other)], [1, 1, 2, 9])), "doc_id", "component_id")
+    assert got == [(1, 1), (1, 1), (2, 1), (9, 1)]
+
+
+@pytest.mark.parametrize("shingles", [60, 400_000])
+def test_ngram_jaccard_blocks_by_shingles(spark, monkeypatch, shingles):
+    monkeypatch.setattr(ngram_jaccard, "BLOCK", 8)
+    monkeypatch.setattr(ngram_jaccard, "BLOCK_SHINGLES", shingles)
+    rng = random.Random(13)
+    base = prose(rng, 120)
+    docs = []
+    for i in range(60):
+        copy = base[:]
+        for _ in range(rng.randrange(0, 6)):
+            copy[rng.randrange(len(copy))] = f"e{rng.randrange(99)}"
+        docs.append((i, " ".join(copy)))
+    got = ngram_jaccard.ngram_jaccard(spark, frame(spark, [t for _, t in docs]))
+    assert rows(got, "doc_id", "n_shingles", "component_id") == sorted(brute.ngram_components(docs), key=repr)
+
+
+def test_numbers_are_no_letters(spark):
+    from carelake.llm.language_id import LanguageModel
+
+    docs = spark.createDataFrame([(i, "der die das und" if i % 2 else "the of and to", "de" if i % 2 else "en") for i in range(40)], "doc_id long, text string, lang string")
+    model = LanguageModel.fit(docs)
+    got = rows(model.predict(frame(spark, ["½² ①", "12 _", "the ½", None])), "doc_id", "lang_pred")
+    assert [r[1] for r in got] == ["und", "und", "en", "und"]
