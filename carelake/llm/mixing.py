@@ -20,7 +20,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carelake.llm.common import table
+from carelake.llm.common import stored, table
 from carelake.llm.token_rollup import words
 
 #: Topic by the first pattern a text matches, else "prose".
@@ -86,21 +86,29 @@ def marginals(observed: np.ndarray, classes: list[list[str]], targets: list[Mapp
     return out
 
 
-def calibrate(observed: np.ndarray, factor: np.ndarray, budget: float) -> np.ndarray:
-    """min(1, c * factor) per cell, with c such that the expected tokens are the budget's
-    share of all (or as much as the cells with a factor hold)."""
-    goal = min(budget * observed.sum(), observed[factor > 0].sum())
-    chance, sure = np.zeros_like(factor), np.zeros(factor.shape, bool)
+def calibrate(observed: np.ndarray, raked: np.ndarray, targets: list[np.ndarray], budget: float) -> np.ndarray:
+    """Probability per cell. Expected tokens are raked to the budget's share of each target
+    with no cell above what it has; if marginals then stay short of the budget, the cells
+    with room make up for it in proportion (or give all they hold)."""
+    filled = raked > 0
+    goal = min(budget * observed.sum(), observed[filled].sum())
+    cells = np.minimum(raked * budget, observed)
+    for _ in range(ROUNDS):
+        before = cells
+        for axis, target in enumerate(targets):
+            others = tuple(a for a in range(cells.ndim) if a != axis)
+            now = cells.sum(axis=others)
+            factor = np.divide(target * budget, now, out=np.ones_like(now), where=now > 0)
+            cells = np.minimum(cells * factor.reshape([-1 if a == axis else 1 for a in range(cells.ndim)]), observed)
+        if np.abs(cells - before).max(initial=0) <= TOLERANCE * max(1.0, goal):
+            break
     for _ in range(observed.size + 1):
-        free = ~sure & (factor > 0)
-        mass = (observed * factor)[free].sum()
-        c = max(0.0, goal - observed[sure].sum()) / mass if mass > 0 else 0.0
-        chance = np.where(sure, 1.0, c * factor)
-        over = free & (chance > 1)
-        if not over.any():
+        free = filled & (cells < observed)
+        missing = goal - cells.sum()
+        if abs(missing) <= 1e-12 * max(1.0, goal) or not cells[free].sum() > 0:
             break
-        sure |= over
-    return np.minimum(chance, 1.0)
+        cells = np.where(free, np.minimum(cells * (1 + missing / cells[free].sum()), observed), cells)
+    return np.divide(cells, observed, out=np.zeros_like(cells), where=observed > 0)
 
 
 class Mix:
@@ -108,53 +116,74 @@ class Mix:
 
     Null or unlisted sources and languages belong to the pooled class. Null and empty
     texts have no tokens and the topic prose; they are drawn like their cell. Repeated rows
-    share their id's draw. An empty table gives an empty result.
+    share their id's draw, and rows without id share one. An empty table gives an empty
+    result.
     """
 
     def __init__(self, targets=None, budget: float = BUDGET, seed: int = SEED):
         self.targets, self.budget, self.seed = targets or TARGETS, budget, seed
 
-    def cell(self) -> list[Column]:
+    def cells(self, docs: DataFrame, *keep: str) -> DataFrame:
+        """The kept columns, the class of each dimension (mix_<dimension>) and n_tokens."""
         values = {"source": F.col("source"), "lang": F.col("lang"), "topic": topic(F.coalesce("text", F.lit("")))}
-        return [pooled(values[d], named).alias(f"mix_{d}") for d, named in self.targets.items()]
+        classes = [pooled(values[d], named).alias(f"mix_{d}") for d, named in self.targets.items()]
+        return docs.select(*keep, *classes, words(F.col("text")).alias("n_tokens"))
 
-    def probabilities(self, docs: DataFrame) -> dict[tuple, float]:
+    def _observed(self, cells: DataFrame) -> tuple[np.ndarray, list[list[str]], np.ndarray]:
+        """Tokens and documents per cell, and the classes along each axis."""
         keys = [f"mix_{d}" for d in self.targets]
-        sums = docs.select(*self.cell(), words(F.col("text")).alias("n")).groupBy(*keys).agg(F.sum("n").alias("n"))
-        rows = [tuple(r) for r in sums.collect()]  # at most the product of the target lists
+        sums = cells.groupBy(*keys).agg(F.sum("n_tokens").alias("n"))
         classes = [[*named, OTHER] for named in self.targets.values()]
         observed = np.zeros([len(c) for c in classes])
-        for *key, n in rows:
-            observed[tuple(c.index(k) for c, k in zip(classes, key))] = n
+        empty = np.zeros(observed.shape, bool)
+        for *key, n in sums.collect():  # at most the product of the target lists
+            at = tuple(c.index(k) for c, k in zip(classes, key))
+            observed[at], empty[at] = n, n == 0
+        return observed, classes, empty
+
+    def plan(self, cells: DataFrame) -> tuple[np.ndarray, np.ndarray, list[list[str]], list[np.ndarray]]:
+        """Probability and tokens per cell, the classes along each axis and their targets."""
+        observed, classes, empty = self._observed(cells)
         targets = marginals(observed, classes, list(self.targets.values()))
-        raked = rake(observed, targets)
-        factor = np.divide(raked, observed, out=np.zeros_like(raked), where=observed > 0)
-        chance = calibrate(observed, factor, self.budget)
-        at = lambda key: tuple(c.index(k) for c, k in zip(classes, key))
+        chance = calibrate(observed, rake(observed, targets), targets, self.budget)
         # A cell of documents without any token has nothing to rake: it is kept whole.
-        return {tuple(key): float(chance[at(key)]) if n else 1.0 for *key, n in rows}
-
-    def draw(self, docs: DataFrame) -> DataFrame:
-        """docs with mix_<dimension>, probability and kept."""
-        spark = docs.sparkSession
-        keys = [f"mix_{d}" for d in self.targets]
-        plan = [(*key, p) for key, p in self.probabilities(docs).items()]
-        names = [f"at_{k}" for k in keys]
-        chances = spark.createDataFrame(plan, ", ".join(f"{n} string" for n in names) + ", probability double")
-        placed = docs.select("*", *self.cell())
-        match = [placed[k] == chances[n] for k, n in zip(keys, names)]
+        return np.where(empty, 1.0, chance), observed, classes, targets
+
+    def shares(self, docs: DataFrame) -> list[tuple[str, str, float, float]]:
+        """(dimension, class, share asked for, expected share) of the tokens drawn."""
+        chance, observed, classes, targets = self.plan(self.cells(docs))
+        drawn, out = chance * observed, []
+        for axis, (name, names, target) in enumerate(zip(self.targets, classes, targets)):
+            now = drawn.sum(axis=tuple(a for a in range(drawn.ndim) if a != axis))
+            for c, t, n in zip(names, target, now):
+                out.append((name, c, t / max(target.sum(), 1e-300), n / max(drawn.sum(), 1e-300)))
+        return out
+
+    def draw(self, cells: DataFrame) -> DataFrame:
+        """A frame of `cells` (with doc_id among the kept columns) with probability and kept;
+        columns of these names are replaced. The probabilities are a literal array: rows
+        meet them without a join."""
+        chance, _, classes, _ = self.plan(cells)
+        place = F.lit(0)
+        for name, names in zip(self.targets, classes):
+            known = F.array(*[F.lit(x) for x in names])
+            place = place * len(names) + F.array_position(known, F.col(f"mix_{name}")).cast("int") - 1
+        chances = F.array(*[F.lit(x) for x in chance.ravel().tolist()])
         point = F.pmod(F.xxhash64(F.lit(self.seed), "doc_id"), F.lit(1 << 53)) / F.lit(float(1 << 53))
-        return placed.join(chances, match).drop(*names).withColumn("kept", point < F.col("probability"))
+        placed = cells.withColumn("probability", F.get(chances, place))
+        return placed.withColumn("kept", point < F.col("probability"))
 
     def sample(self, docs: DataFrame) -> DataFrame:
         """The documents kept, with their own columns."""
         narrow = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), "doc_id", "text", "source", "lang")
-        return self.draw(narrow).where("kept").select("row.*")
+        return self.draw(self.cells(narrow, "row", "doc_id")).where("kept").select("row.*")
 
 
 def op2_mixing_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per document: its cell, tokens, probability and whether it is in the sample."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
-    return Mix().draw(docs).select(
-        "doc_id", "source", "lang", F.col("mix_topic").alias("topic"), words(F.col("text")).alias("n_tokens"), "probability", "kept"
+    """One row per document: its cell, tokens, probability and whether it is in the sample.
+    The patterns meet each text once; what follows reads a narrow table."""
+    mix = Mix()
+    cells = mix.cells(table(spark, sf_dir, "documents"), "doc_id", "source", "lang")
+    return mix.draw(stored(spark, cells, "cells")).select(
+        "doc_id", "source", "lang", F.col("mix_topic").alias("topic"), "n_tokens", "probability", "kept"
     )

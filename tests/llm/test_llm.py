@@ -228,7 +228,7 @@ def test_mixing_meets_marginals_and_budget(spark):
     docs = [(i, " ".join(prose(rng, rng.randrange(1, 60))), rng.choice(["en", "fr", None]), rng.choice(["a"] * 8 + ["b", "c"]), "k") for i in range(3000)]
     df = spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, at_mix_lang string")
     mix = mixing.Mix({"source": {"a": 1, "b": 1}, "lang": {"en": 3, "fr": 1}}, budget=0.08)
-    drawn = mix.draw(df).collect()
+    drawn = mix.draw(mix.cells(df, "doc_id", "text", "at_mix_lang")).collect()
     tokens = Counter()
     for r in drawn:
         n = len((r["text"] or "").split())

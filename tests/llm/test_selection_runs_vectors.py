@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pytest
 
-from carelake.llm import ngram_jaccard, target_resampling, vector_near
+from carelake.llm import mixing, ngram_jaccard, target_resampling, vector_near
 from carelake.llm.periodic_runs import find_runs, least_shared, periodic_runs, planted
 from carelake.llm.target_resampling import KEY, cutoff_key, ranked, resample, weighted_median
 from carelake.llm.vector_near import Side, close_pairs, near_vectors, quantised
@@ -217,3 +217,51 @@ def test_numbers_are_no_letters(spark):
     model = LanguageModel.fit(docs)
     got = rows(model.predict(frame(spark, ["½² ①", "12 _", "the ½", None])), "doc_id", "lang_pred")
     assert [r[1] for r in got] == ["und", "und", "en", "und"]
+
+
+# --- mixing where a cell cannot give what is asked
+
+
+def test_mixing_against_plain_raking(spark):
+    """Probabilities by a plain loop over dictionaries, cells kept within what they hold."""
+    rng = random.Random(14)
+    docs = [(i, "w " * rng.randrange(1, 40), rng.choice(["en"] * 20 + ["fr"]), rng.choice("ab"), 0.5) for i in range(600)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, probability double")
+    want = {"source": {"a": 1, "b": 1}, "lang": {"en": 0.7, "fr": 0.3}}
+    mix = mixing.Mix(want, budget=0.5)
+    tokens = {}
+    for _, text, lang, source, _ in docs:
+        tokens[source, lang] = tokens.get((source, lang), 0) + len(text.split())
+    total = sum(tokens.values())
+    cells = {k: n * 0.5 for k, n in tokens.items()}
+    for _ in range(3000):
+        for axis, weights in enumerate(want.values()):
+            for name, share in weights.items():
+                mine = [k for k in cells if k[axis] == name]
+                goal = total * 0.5 * share / sum(weights.values())
+                factor = goal / sum(cells[k] for k in mine)
+                cells.update({k: min(cells[k] * factor, tokens[k]) for k in mine})
+    short = total * 0.5 - sum(cells.values())
+    room = [k for k in cells if cells[k] < tokens[k] * (1 - 1e-9)]
+    whole = sum(cells[k] for k in room)
+    cells.update({k: cells[k] * (1 + short / whole) for k in room})
+    got = {(r.mix_source, r.mix_lang): r.probability for r in mix.draw(mix.cells(df, "doc_id")).collect()}
+    assert got == pytest.approx({k: cells[k] / tokens[k] for k in tokens}, rel=1e-4)
+    assert got["a", "fr"] == 1.0 and got["a", "en"] < 1
+    reached = {(d, c): (asked, share) for d, c, asked, share in mix.shares(df)}
+    assert reached["source", "a"][1] == pytest.approx(0.5, abs=0.02) and reached["lang", "fr"][1] < reached["lang", "fr"][0]
+    assert mix.sample(df).columns == df.columns
+
+
+def test_mixing_meets_targets_that_a_full_cell_leaves_to_others():
+    observed = np.array([[100.0, 400], [300, 200]])
+    targets = [np.array([500.0, 500]), np.array([500.0, 500])]
+    chance = mixing.calibrate(observed, mixing.rake(observed, targets), targets, 0.6)
+    drawn = chance * observed
+    assert np.allclose(drawn.sum(axis=0), 300) and np.allclose(drawn.sum(axis=1), 300) and chance.max() <= 1
+
+
+def test_mixing_ids_and_clashing_names(spark):
+    docs = frame(spark, ["a b", "a b", None, "c"], [None, 3, 3, None])
+    drawn = mixing.Mix().draw(mixing.Mix().cells(docs, "doc_id")).collect()
+    assert len(drawn) == 4 and len({r.kept for r in drawn if r.doc_id is None}) == 1
