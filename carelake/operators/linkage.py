@@ -10,9 +10,13 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from carelake import functions as cf
+from carelake.functions.codes import recode_sex_to_admissions
+from carelake.operators.joins import standard_keys
+
 EXACT_KEYS = ["cnes", "data", "sexo", "idade"]
 
 
@@ -44,6 +48,56 @@ def link_exact_keys(adm: DataFrame, deaths: DataFrame) -> DataFrame:
     return left.join(right, EXACT_KEYS).withColumn("n_pares", F.col("n_aih") * F.col("n_obitos"))
 
 
+def delivered_admissions(raw: DataFrame) -> DataFrame:
+    """Linkage columns of admissions as delivered: the day of leaving, coded ages, sex 1/3."""
+    c = F.col
+    return standard_keys(raw, "sih_rd").select(
+        c("N_AIH").alias("id_aih"),
+        "cnes",
+        "munic_res",
+        cf.parse_ymd(c("DT_SAIDA")).alias("data"),
+        c("SEXO").alias("sexo"),
+        cf.decode_admission_age(c("IDADE"), c("COD_IDADE")).alias("idade"),
+        cf.to_int(c("MORTE")).alias("morte"),
+    )
+
+
+def delivered_deaths(raw: DataFrame) -> DataFrame:
+    """Linkage columns of deaths as delivered: day-first dates, packed ages, and sex 1/2
+    recoded to that of the admissions."""
+    c = F.col
+    return standard_keys(raw, "sim_do").select(
+        c("CONTADOR").alias("id_obito"),
+        "cnes",
+        "munic_res",
+        cf.parse_dmy(c("DTOBITO")).alias("data"),
+        recode_sex_to_admissions(c("SEXO")).alias("sexo"),
+        cf.decode_packed_age(c("IDADE")).alias("idade"),
+        c("LOCOCOR").alias("local_ocorrencia"),
+    )
+
+
+def age_in_days(packed: Column) -> Column:
+    """Days of a packed age with unit 2; hours and minutes (units 1 and 0) are day 0. NULL
+    for anything older or unreadable."""
+    unit, value = F.substring(packed, 1, 1), cf.to_int(F.substr(packed, F.lit(2)))
+    return F.when(unit == "2", value).when(unit.isin("0", "1") & value.isNotNull(), 0)
+
+
+def infant_deaths(raw: DataFrame) -> DataFrame:
+    """Deaths in the first days in the form of link_scored: `data` is the day of birth that
+    the date and the age in days give, `idade` the mother's."""
+    c = F.col
+    dated = standard_keys(raw, "sim_do").select(
+        c("CONTADOR").alias("id_obito"),
+        "cnes",
+        "munic_res",
+        F.date_sub(cf.parse_dmy(c("DTOBITO")), age_in_days(c("IDADE"))).alias("data"),
+        cf.to_int(c("IDADEMAE")).alias("idade"),
+    )
+    return dated.where(c("data").isNotNull())
+
+
 # Agreement (m) and chance-agreement (u) probabilities behind the default weights;
 # the u of day and age is that of a window of three values.
 MATCH_PROBABILITIES = {"sexo": (0.95, 0.5), "idade": (0.95, 0.03), "data": (0.97, 3 / 365)}

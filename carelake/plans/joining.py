@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from carelake import functions as cf
-from carelake.operators import joins, linkage
+from carelake.operators import joins, linkage, linkage_weights
 from carelake.operators.windows import latest_per_key
 from carelake.plans.roles import (
     ROLES,
     adm,
     bed,
+    dmy,
     dth,
     fac,
     facility,
@@ -18,8 +19,9 @@ from carelake.plans.roles import (
     municipality,
     pop,
     query,
+    role_sql,
 )
-from carelake.plans.scalars import sql_map
+from carelake.plans.scalars import sql_admission_age, sql_dmy, sql_map, sql_packed_age, sql_ymd
 from carelake.plans.tables import _round
 from carelake.schemas import NOTIFICATION_COLUMNS
 from carelake.sources.readers import expand_ranges
@@ -160,6 +162,114 @@ def link_births(t):
     return _round(found, "score").select(c("id_obito").alias("id_nascimento"), "id_aih", "score")
 
 
+_RAW_ADM = ("N_AIH", "CNES", "MUNIC_RES", "DT_SAIDA", "SEXO", "IDADE", "COD_IDADE", "MORTE")
+_RAW_DTH = ("CONTADOR", "CODESTAB", "CODMUNRES", "DTOBITO", "SEXO", "IDADE", "LOCOCOR")
+
+
+@query(
+    "link_delivered",
+    f"""select cnes, data, sexo, idade, n_aih, primeira_aih, n_obitos, primeiro_obito, n_aih * n_obitos as n_pares
+    from (select CNES as cnes, {sql_ymd("DT_SAIDA")} as data, SEXO as sexo, {sql_admission_age("IDADE", "COD_IDADE")} as idade,
+        count(*) as n_aih, min(N_AIH) as primeira_aih from {role_sql("raw_admission", *_RAW_ADM)} x where MORTE = '1' group by all) a
+    join (select CODESTAB as cnes, {sql_dmy("DTOBITO")} as data, case SEXO when '1' then '1' when '2' then '3' end as sexo,
+        {sql_packed_age("IDADE")} as idade, count(*) as n_obitos, min(CONTADOR) as primeiro_obito
+      from {role_sql("raw_death", *_RAW_DTH)} y where LOCOCOR = '1' group by all) d using (cnes, data, sexo, idade)""",
+)
+def link_delivered(t):
+    """Exact linkage from both tables as delivered."""
+    return linkage.link_exact_keys(
+        linkage.delivered_admissions(t.role("raw_admission", *_RAW_ADM)), linkage.delivered_deaths(t.role("raw_death", *_RAW_DTH))
+    )
+
+
+# Births are orders; a twelfth of the line items are deaths in the first days.
+_BIRTHS = {
+    "id_aih": "cast(o_orderkey as string)",
+    "cnes": facility("o_custkey % 100"),
+    "data": "cast(o_orderdate as date)",
+    "idade": "cast(18 + o_orderkey % 25 as int)",
+    "munic_res": municipality("o_custkey"),
+}
+_INFANTS = {
+    "CONTADOR": "cast(l_orderkey * 10 + l_linenumber as string)",
+    "CODESTAB": facility("l_suppkey % 100"),
+    "CODMUNRES": municipality("l_suppkey"),
+    "DTOBITO": dmy("cast(l_shipdate as date)"),
+    "IDADE": "case when l_partkey % 9 = 0 then '112' when l_partkey % 10 = 1 then '3002' else '2' || lpad(cast(l_partkey % 28 as string), 2, '0') end",
+    "IDADEMAE": "case when l_partkey % 31 = 0 then '' else cast(18 + l_orderkey % 25 as string) end",
+}
+_BIRTHS_SQL = ", ".join(f"{e} as {k}" for k, e in _BIRTHS.items())
+_INFANTS_SQL = ", ".join(f"{e} as {k}" for k, e in _INFANTS.items())
+
+
+@query(
+    "link_birth_deaths",
+    f"""with b as (select {_BIRTHS_SQL} from orders), r as (select {_INFANTS_SQL} from lineitem where l_quantity <= 4),
+    d as (select CONTADOR as id_obito, CODESTAB as cnes, CODMUNRES as munic_res, try_cast(IDADEMAE as int) as idade,
+      cast({sql_dmy("DTOBITO")} - case left(IDADE, 1) when '2' then cast(substr(IDADE, 2) as int) when '1' then 0 end as date) as data from r)
+    select id_obito, id_aih as id_nascimento, round(cast({_BW["data"][0]!r} + {_BW["idade"][0]!r} + w as double), 6) as score from (
+    select d.id_obito, b.id_aih, case when b.munic_res = d.munic_res then {_BW["munic_res"][0]!r} else {_BW["munic_res"][1]!r} end as w,
+      row_number() over (partition by d.id_obito order by case when b.munic_res = d.munic_res then 0 else 1 end,
+        abs(date_diff('day', b.data, d.data)), abs(b.idade - d.idade), b.id_aih) as rn
+    from d join b on b.cnes = d.cnes and year(b.data) = year(d.data)
+      and abs(date_diff('day', b.data, d.data)) <= 1 and abs(b.idade - d.idade) <= 1) x where rn = 1""",
+)
+def link_birth_deaths(t):
+    """Deaths of the first days to births: facility, day of birth from the age in days."""
+    births = t("orders").selectExpr(*[f"{e} as {k}" for k, e in _BIRTHS.items()])
+    deaths = t("lineitem").where("l_quantity <= 4").selectExpr(*[f"{e} as {k}" for k, e in _INFANTS.items()])
+    found = linkage.link_scored(births, linkage.infant_deaths(deaths), 7.0, probabilities=linkage.BIRTH_PROBABILITIES)
+    return _round(found, "score").select("id_obito", c("id_aih").alias("id_nascimento"), "score")
+
+
+_PAIRS = f"""pairs as (select coalesce(cast(a.sexo = d.sexo as int), 0) as sexo, coalesce(cast(abs(a.idade - d.idade) <= 1 as int), 0) as idade,
+      cast(abs(date_diff('day', a.data, d.data)) <= 1 as int) as data
+    from (select * from {adm(*_LINK_ADM)} x where morte = 1) a
+    join (select * from {dth(*_LINK_DTH)} y where local_ocorrencia = '1') d on a.cnes = d.cnes and year(a.data) = year(d.data)),
+    grid as (select s.i as sexo, g.i as idade, t.i as data from range(2) s(i), range(2) g(i), range(2) t(i)),
+    found as (select grid.*, coalesce(n, 0) as n from grid left join (select sexo, idade, data, count(*) as n from pairs group by all) p using (sexo, idade, data))"""
+
+
+def _link_sides(t):
+    return (
+        t.admissions(*_LINK_ADM).where(c("morte") == 1),
+        t.deaths(*_LINK_DTH).where(c("local_ocorrencia") == "1"),
+    )
+
+
+@query("link_patterns", f"with {_PAIRS} select cast(sexo as int) as sexo, cast(idade as int) as idade, cast(data as int) as data, n as pares from found")
+def link_patterns(t):
+    """Candidate pairs by agreement pattern, without forming a pair."""
+    return linkage_weights.agreement_patterns(*_link_sides(t))
+
+
+def _em_side(name: str) -> str:
+    return f"case when {name} = 1 then {{0}}_{name} else 1 - {{0}}_{name} end"
+
+
+_LIKELY = " * ".join(_em_side(x) for x in ("sexo", "idade", "data"))
+_STATES = [f"{k}_{x}" for x in ("sexo", "idade", "data") for k in "mu"]
+
+
+@query(
+    "link_probabilities",
+    f"""with recursive {_PAIRS},
+    em as (select 0 as i, 0.001::double as p, {", ".join(f"{0.9 if s[0] == 'm' else 0.1}::double as {s}" for s in _STATES)}
+      union all select i + 1, sum(b * n) / sum(n),
+        {", ".join(f"least(greatest(sum(case when {s[2:]} = 1 then {'b' if s[0] == 'm' else '(1 - b)'} * n else 0 end) / sum({'b' if s[0] == 'm' else '(1 - b)'} * n), 1e-9), 1 - 1e-9)" for s in _STATES)}
+      from (select *, p * ({_LIKELY.format("m")}) / (p * ({_LIKELY.format("m")}) + (1 - p) * ({_LIKELY.format("u")})) as b from em, found where i < 200) x
+      group by i),
+    last as (select * from em where i = 200)
+    select 'sexo' as comparador, round(m_sexo, 4) as m, round(u_sexo, 4) as u from last
+    union all select 'idade', round(m_idade, 4), round(u_idade, 4) from last union all select 'data', round(m_data, 4), round(u_data, 4) from last""",
+)
+def link_probabilities(t):
+    """Agreement probabilities estimated from the tables."""
+    found = linkage_weights.estimated_weights(*_link_sides(t))
+    rows = [(name, round(m, 4), round(u, 4)) for name, (m, u) in found.items()]
+    return t.spark.createDataFrame(rows, "comparador string, m double, u double")
+
+
 @query(
     "post_discharge",
     f"""select id_aih, pessoa, sexo, dt_saida, morte, dt_obito, id_obito, cast(date_diff('day', dt_saida, dt_obito) as int) as dias_ate_obito from (
