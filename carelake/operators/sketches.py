@@ -9,9 +9,8 @@ deviations).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from carelake.sources.sinks import write_partitioned
 
@@ -55,10 +54,10 @@ def write_sketches(df: DataFrame, columns: list[str], path: str, groups: list[st
     return write_partitioned(month_sketches(df, columns, groups), path, PERIOD)
 
 
-def read_sketches(spark, path: str, groups: T.StructType | None = None) -> DataFrame:
-    kinds = groups.fields if groups else []
-    fields = [*kinds, *T._parse_datatype_string("coluna string, linhas bigint, nulos bigint, esboco binary, ano int, mes int").fields]
-    return spark.read.schema(T.StructType(fields)).parquet(path)
+def read_sketches(spark: SparkSession, path: str, groups: str = "") -> DataFrame:
+    """The stored sketches; `groups` is the DDL of further grouping columns."""
+    known = "coluna string, linhas bigint, nulos bigint, esboco binary, ano int, mes int"
+    return spark.read.schema(f"{groups}, {known}" if groups else known).parquet(path)
 
 
 def distinct_in_period(

@@ -202,7 +202,7 @@ TRIAGE_EVENT = T.StructType(
 ALERT_STORE = T.StructType(
     [
         T.StructField("id_evento", T.StringType()),
-        T.StructField("ts_recebido", T.StringType()),
+        T.StructField("ts_recebido", T.TimestampType()),
         T.StructField("ts_processado", T.TimestampType()),
         T.StructField("paciente_anon", T.StringType()),
         T.StructField("municipio_residencia", T.StringType()),

@@ -16,6 +16,8 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.compression.codec": "zstd",
+    # Stream state outside the heap, written as changes.
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     # HotSpot leaves methods above 8000 bytes of bytecode uncompiled; wide cleaning
     # projections run several times faster split up than as one such method.
     "spark.sql.codegen.hugeMethodLimit": "8000",
@@ -33,6 +35,9 @@ def tune(spark: SparkSession) -> SparkSession:
     limit = "spark.sql.codegen.hugeMethodLimit"
     if spark.conf.get(limit) == "65535":
         spark.conf.set(limit, SETTINGS[limit])
+    state = "spark.sql.streaming.stateStore.providerClass"
+    if "HDFSBacked" in spark.conf.get(state):
+        spark.conf.set(state, SETTINGS[state])
     return spark
 
 

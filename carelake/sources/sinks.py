@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -74,7 +74,7 @@ LEDGER = T.StructType(
 )
 
 
-def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_or_empty(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     """A table that may not have been written yet."""
     try:
         return spark.read.schema(schema).parquet(path)
@@ -95,21 +95,48 @@ def mark_completed(spark: SparkSession, path: str, done: DataFrame) -> int:
     return observed(seen).get("rows", 0)
 
 
+BUCKETS = 64
+BUCKET = "balde"
+
+
+def bucket_of(key: str, buckets: int = BUCKETS) -> Column:
+    """Hash bucket of a key: a row's place in a keyed store."""
+    return F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(buckets)).cast("int")
+
+
+def keyed_schema(schema: T.StructType) -> T.StructType:
+    """Columns of a keyed store: its rows and the bucket it is partitioned by."""
+    return T.StructType([*schema.fields, T.StructField(BUCKET, T.IntegerType())])
+
+
 def insert_or_ignore(
-    batch: DataFrame, path: str, schema: T.StructType, key: str, order: list, partition: str
+    batch: DataFrame, path: str, schema: T.StructType, key: str, order: list, buckets: int = BUCKETS
 ) -> None:
     """Append the rows whose key is not stored yet; the first of a batch's rows wins.
 
-    The store may be far larger than the batch, so it is first reduced to the
-    keys of the batch (a semi join the planner can broadcast: the batch is the
-    small side), and only that remainder is subtracted. Only the key column of
-    the store is read. Running a batch twice adds nothing the second time.
+    The store is partitioned by a hash bucket of the key. A batch reads the key column of
+    its own buckets only, as a partition filter, so its cost follows the batch and not the
+    store; each bucket gets one file. Rows without a key are left out. Running a batch
+    twice adds nothing the second time.
     """
-    spark = batch.sparkSession
-    incoming = top_per_key(batch.where(F.col(key).isNotNull()), [key], order, 1)
-    stored = read_or_empty(spark, path, schema).select(key)
-    known = stored.join(incoming.select(key), key, "left_semi")
-    incoming.join(known, key, "left_anti").write.mode("append").partitionBy(partition).parquet(path)
+    spark, c = batch.sparkSession, F.col
+    wanted = batch.where(c(key).isNotNull()).select(*schema.fieldNames())
+    first = top_per_key(wanted, [key], order, 1).withColumn(BUCKET, bucket_of(key, buckets)).persist()
+    try:
+        touched = [r[0] for r in first.select(BUCKET).distinct().collect()]  # at most `buckets`
+        if not touched:
+            return
+        known = stored_keys(spark, path, schema, key, touched)
+        fresh = first.join(known, [BUCKET, key], "left_anti")
+        fresh.repartition(BUCKET).write.mode("append").partitionBy(BUCKET).parquet(path)
+    finally:
+        first.unpersist()
+
+
+def stored_keys(spark: SparkSession, path: str, schema: T.StructType, key: str, touched: list[int]) -> DataFrame:
+    """Bucket and key of the stored rows in the given buckets."""
+    rows = read_or_empty(spark, path, keyed_schema(schema))
+    return rows.where(F.col(BUCKET).isin(touched)).select(BUCKET, key)
 
 
 def kafka_sink(alerts: DataFrame, servers: str, topic: str) -> None:

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from carelake.operators.windows import latest_per_key, top_per_key
 from carelake.schemas import ALERT_STORE, TRIAGE_EVENT
-from carelake.sources.sinks import insert_or_ignore
+from carelake.sources.sinks import BUCKET, insert_or_ignore, keyed_schema, read_or_empty
 
 RED = "VERMELHO"
 
@@ -19,7 +19,8 @@ RED_RULES = (("spo2", 90, "SpO2=", "%"), ("glasgow", 9, "Glasgow=", ""), ("pas",
 
 
 def decode(raw: DataFrame) -> DataFrame:
-    """(value) JSON text with its parsed event; unreadable text gives a NULL event."""
+    """(value) JSON text with its parsed event; text that cannot be read, or whose
+    timestamp names no instant, gives a NULL event."""
     # A record with a field of the wrong type must not pass half-read.
     parsed = F.from_json(
         "value",
@@ -28,7 +29,8 @@ def decode(raw: DataFrame) -> DataFrame:
     )
     fields = TRIAGE_EVENT.fieldNames()
     event = F.struct(*[F.col(f"_e.{f}").alias(f) for f in fields])
-    readable = F.col("_e").isNotNull() & F.col("_e._bad").isNull()
+    dated = F.col("_e.timestamp").try_cast("timestamp").isNotNull()
+    readable = F.col("_e").isNotNull() & F.col("_e._bad").isNull() & dated
     return raw.withColumn("_e", parsed).withColumn("event", F.when(readable, event)).drop("_e")
 
 
@@ -93,28 +95,52 @@ def open_units(beds: DataFrame, facilities: DataFrame, latest_only: bool = False
 UNITS_TYPE = "array<struct<cnes:string,codufmun:string,leitos_sus:bigint,distancia_grupo:int>>"
 
 
-def units_by_municipality(municipalities: DataFrame, units: DataFrame, n: int = 3) -> DataFrame:
-    """The n best units of each municipality: its own first, then those sharing its
-    4-digit prefix, most beds first.
+def _prefix(place: Column) -> Column:
+    return F.substring(place, 1, 4)
 
-    Only the n best of a municipality and the n best of its prefix can be chosen,
-    so the units are cut to those before they meet the municipalities: at most
-    2n candidates per municipality, whatever the number of units in a prefix.
-    """
+
+def rank_units(units: DataFrame, n: int = 3) -> DataFrame:
+    """(chave, lista): the best units of every municipality (six digits, n of them) and of
+    every 4-digit prefix (2n), most beds first. At most n of a municipality's own and n
+    others of its prefix can be recommended, so this is all that an alert needs to meet."""
     c = F.col
-    prefix = lambda x: F.substring(x, 1, 4)
-    best_first = F.struct(
-        (-c("leitos_sus")).alias("a"), c("cnes").alias("b"), c("codufmun").alias("m")
-    )
-    own = _best_list(units.withColumn("_k", c("codufmun")), best_first, n)
-    near = _best_list(units.withColumn("_k", prefix(c("codufmun"))), best_first, 2 * n)
-    joined = (
-        municipalities.select("municipio")
-        .distinct()
-        .join(own.select(c("_k").alias("municipio"), c("_list").alias("_own")), "municipio", "left")
-        .withColumn("_p", prefix(c("municipio")))
-        .join(near.select(c("_k").alias("_p"), c("_list").alias("_near")), "_p", "left")
+    best_first = F.struct((-c("leitos_sus")).alias("a"), c("cnes").alias("b"), c("codufmun").alias("m"))
+    keyed = units.withColumn("_o", best_first)
+    own = _best_list(keyed.withColumn("chave", c("codufmun")), n)
+    near = _best_list(keyed.withColumn("chave", _prefix(c("codufmun"))), 2 * n)
+    return own.unionByName(near)
+
+
+def _best_list(units: DataFrame, n: int) -> DataFrame:
+    ranked = top_per_key(units, ["chave"], [F.col("_o")], n)
+    return ranked.groupBy("chave").agg(F.array_sort(F.collect_list("_o")).alias("lista"))
+
+
+RANKED = "chave string, lista array<struct<a:bigint,b:string,m:string>>, versao string"
+
+
+def publish_units(beds: DataFrame, facilities: DataFrame, path: str, version: str, n: int = 3, latest_only: bool = False) -> str:
+    """Rank the units of all months up to now under `path` as a version, for instance the
+    newest month: run when a month arrives. A version published again replaces itself."""
+    rank_units(open_units(beds, facilities, latest_only), n).coalesce(1).write.mode("overwrite").parquet(
+        f"{path}/versao={version}"
     )
+    return version
+
+
+def newest_units(spark, path: str) -> DataFrame:
+    """The ranked units of the newest version; folder names alone say which."""
+    versions = spark.read.schema(RANKED).parquet(path)
+    newest = versions.agg(F.max("versao")).first()[0]
+    return versions.where(F.col("versao") == F.lit(newest)).select("chave", "lista")
+
+
+def recommend(alerts_df: DataFrame, ranked: DataFrame, n: int = 3) -> DataFrame:
+    """Alerts with the n best units: of their own municipality first, then of those that
+    share its 4-digit prefix. An alert with none keeps an empty array."""
+    c = F.col
+    own = ranked.select(c("chave").alias("municipio_residencia"), c("lista").alias("_own"))
+    near = ranked.select(c("chave").alias("_p"), c("lista").alias("_near"))
     as_unit = lambda group: lambda u: F.struct(
         u["b"].alias("cnes"),
         u["m"].alias("codufmun"),
@@ -122,21 +148,16 @@ def units_by_municipality(municipalities: DataFrame, units: DataFrame, n: int =
         F.lit(group).alias("distancia_grupo"),
     )
     none = F.array().cast(UNITS_TYPE)
-    own_units = F.coalesce(F.transform("_own", as_unit(0)), none)
-    near_units = F.coalesce(
-        F.transform(
-            F.filter("_near", lambda u: u["m"] != c("municipio")), as_unit(1)
-        ),
-        none,
+    others = F.filter("_near", lambda u: u["m"] != c("municipio_residencia"))
+    units = F.concat(
+        F.coalesce(F.transform("_own", as_unit(0)), none), F.coalesce(F.transform(others, as_unit(1)), none)
     )
-    return joined.select(
-        "municipio", F.slice(F.concat(own_units, near_units), 1, n).alias("unidades_recomendadas")
+    joined = (
+        alerts_df.withColumn("_p", _prefix(c("municipio_residencia")))
+        .join(own, "municipio_residencia", "left")
+        .join(near, "_p", "left")
     )
-
-
-def _best_list(units: DataFrame, order: Column, n: int) -> DataFrame:
-    ranked = top_per_key(units.withColumn("_o", order), ["_k"], [F.col("_o")], n)
-    return ranked.groupBy("_k").agg(F.array_sort(F.collect_list("_o")).alias("_list"))
+    return joined.withColumn("unidades_recomendadas", F.slice(units, 1, n)).drop("_p", "_own", "_near")
 
 
 def recommend_units(
@@ -146,17 +167,8 @@ def recommend_units(
     n: int = 3,
     latest_only: bool = False,
 ) -> DataFrame:
-    """Alerts with their recommended units; an alert with none keeps an empty array."""
-    units = open_units(beds, facilities, latest_only)
-    places = alerts_df.select(F.col("municipio_residencia").alias("municipio"))
-    best = units_by_municipality(places, units, n).withColumnRenamed(
-        "municipio", "municipio_residencia"
-    )
-    out = alerts_df.join(best, "municipio_residencia", "left")
-    return out.withColumn(
-        "unidades_recomendadas",
-        F.coalesce("unidades_recomendadas", F.array().cast(UNITS_TYPE)),
-    )
+    """Alerts with their recommended units, ranked from the tables themselves."""
+    return recommend(alerts_df, rank_units(open_units(beds, facilities, latest_only), n), n)
 
 
 def alert_message(recommended: DataFrame) -> DataFrame:
@@ -174,11 +186,11 @@ def alert_message(recommended: DataFrame) -> DataFrame:
 
 
 def alert_row(recommended: DataFrame) -> DataFrame:
-    """The stored form of an alert, with its date for partitioning."""
+    """The stored form of an alert."""
     c = F.col
     return recommended.select(
         "id_evento",
-        c("timestamp").alias("ts_recebido"),
+        c("timestamp").try_cast("timestamp").alias("ts_recebido"),
         F.current_timestamp().alias("ts_processado"),
         "paciente_anon",
         "municipio_residencia",
@@ -191,16 +203,15 @@ def alert_row(recommended: DataFrame) -> DataFrame:
         "sexo",
         "queixa",
         F.to_json("unidades_recomendadas").alias("recomendacao_json"),
-    ).withColumn("dia", F.to_date("ts_processado"))
+    )
 
 
-STORE_SCHEMA = T.StructType([*ALERT_STORE.fields, T.StructField("dia", T.DateType())])
+def store_alerts(recommended: DataFrame, path: str) -> None:
+    insert_or_ignore(alert_row(recommended), path, ALERT_STORE, "id_evento", [F.col("ts_recebido")])
 
 
-def store_alerts(recommended: DataFrame, path: str) -> None:
-    insert_or_ignore(
-        alert_row(recommended), path, STORE_SCHEMA, "id_evento", [F.col("ts_recebido")], "dia"
-    )
+def read_alerts(spark, path: str) -> DataFrame:
+    return spark.read.schema(keyed_schema(ALERT_STORE)).parquet(path).drop(BUCKET)
 
 
 def recent_alerts(store: DataFrame, n: int = 50) -> DataFrame:
@@ -208,15 +219,16 @@ def recent_alerts(store: DataFrame, n: int = 50) -> DataFrame:
 
 
 def process_batch(
-    load_units: Callable[[], tuple[DataFrame, DataFrame]],
+    load_units: Callable[[], DataFrame],
     publish: Callable[[DataFrame, int], None],
     store_path: str,
     dead_letter_path: str,
     n: int = 3,
 ) -> Callable[[DataFrame, int], None]:
-    """foreachBatch body. Beds and registry are loaded per batch, so new months are
-    seen; what feeds several writes is persisted for the length of the batch. publish takes
-    the messages and the batch id, by which a retried batch can be told from a new one."""
+    """foreachBatch body. load_units gives the ranked units, for instance newest_units: a
+    version published since is seen by the next batch, and no batch aggregates beds. What
+    feeds several writes is persisted for the length of the batch. publish takes the
+    messages and the batch id, by which a retried batch can be told from a new one."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
         decoded = decode(batch.select("value")).persist()
@@ -226,8 +238,7 @@ def process_batch(
             ).option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(
                 dead_letter_path
             )
-            beds, facilities = load_units()
-            found = recommend_units(alerts(events(decoded)), beds, facilities, n).persist()
+            found = recommend(alerts(events(decoded)), load_units(), n).persist()
             try:
                 publish(alert_message(found), batch_id)
                 store_alerts(found, store_path)
@@ -247,6 +258,31 @@ def start(
     return (writer.trigger(availableNow=True) if once else writer).start()
 
 
+def split_late(path: str, delay: str = "10 minutes") -> Callable[[DataFrame, int], None]:
+    """foreachBatch body that parts rows in time from late ones, by `ts`.
+
+    A row is late if it lies more than the delay before the newest `ts` of earlier batches:
+    what a watermark would drop silently is kept in {path}/late, the rest goes to
+    {path}/ontime for the next query. {path}/marks has the newest `ts` of each batch, from
+    which a retried batch takes the same cut and replaces what it wrote.
+    """
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        spark, c = batch.sparkSession, F.col
+        marks = read_or_empty(spark, f"{path}/marks", "ate timestamp, batch bigint")
+        newest = marks.where(c("batch") < batch_id).agg(F.max("ate")).first()[0]  # one row a batch
+        kept = batch.persist()
+        try:
+            kept.agg(F.max("ts").alias("ate")).write.mode("overwrite").parquet(f"{path}/marks/batch={batch_id}")
+            late = F.lit(False) if newest is None else c("ts") < F.lit(newest) - F.expr(f"interval {delay}")
+            kept.where(late).write.mode("overwrite").parquet(f"{path}/late/batch={batch_id}")
+            kept.where(~F.coalesce(late, F.lit(False))).write.mode("overwrite").parquet(f"{path}/ontime/batch={batch_id}")
+        finally:
+            kept.unpersist()
+
+    return run
+
+
 def deduplicate(stream: DataFrame, delay: str = "10 minutes") -> DataFrame:
     """Repeated events dropped while their state lives; later repeats are caught by
     the store. Needs id_evento and an event time `ts`."""
@@ -254,11 +290,17 @@ def deduplicate(stream: DataFrame, delay: str = "10 minutes") -> DataFrame:
 
 
 def request_outcomes(
-    requests: DataFrame, outcomes: DataFrame, within: str = "4 hours", delay: str = "10 minutes"
+    requests: DataFrame,
+    outcomes: DataFrame,
+    within: str = "4 hours",
+    delay: str = "10 minutes",
+    unanswered: bool = False,
 ) -> DataFrame:
     """Each transfer request with the outcomes that follow it within the interval.
 
-    Works on two streams (watermarks bound the state) or on two tables.
+    Works on two streams (watermarks bound the state) or on two tables. With `unanswered`,
+    a request whose interval ends without an outcome comes too, once both streams have
+    passed it, with NULLs in the outcome's place.
     """
     c = F.col
     left = requests.withWatermark("ts_pedido", delay).alias("p")
@@ -268,7 +310,7 @@ def request_outcomes(
         & (c("d.ts_desfecho") >= c("p.ts_pedido"))
         & (c("d.ts_desfecho") <= c("p.ts_pedido") + F.expr(f"interval {within}"))
     )
-    return left.join(right, on).select(
+    return left.join(right, on, "left" if unanswered else "inner").select(
         "p.id_pedido",
         "p.ts_pedido",
         "d.ts_desfecho",
