@@ -2,7 +2,7 @@
 
     {root}/bronze/{source}   raw text, by uf, ano and mes
     {root}/silver/{source}   typed, by ano (and mes)
-    {root}/gold/{table}      aggregated, by ano
+    {root}/gold/{table}      aggregated, by ano and mes
 
 Each build returns the rows written; it returns 0 and writes nothing when its
 main input does not exist. Optional inputs only change how columns are filled.
@@ -13,7 +13,7 @@ from __future__ import annotations
 import logging
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from carelake.operators import clean, gold, ml
@@ -76,12 +76,15 @@ BUILDERS = {
 }
 
 
-class _Silver:
-    def __init__(self, spark: SparkSession, root: str, population: DataFrame | None):
-        self.spark, self.root, self.population = spark, root, population
+class Silver:
+    """The clean tables, some of them limited to the rows of a condition."""
+
+    def __init__(self, spark: SparkSession, root: str, population: DataFrame | None, only: dict[str, Column] | None = None):
+        self.spark, self.root, self.population, self.only = spark, root, population, only or {}
 
     def __call__(self, source: str) -> DataFrame | None:
-        return _table(self.spark, f"{self.root}/silver/{source}")
+        found = _table(self.spark, f"{self.root}/silver/{source}")
+        return found if found is None or source not in self.only else found.where(self.only[source])
 
 
 def build_gold(
@@ -90,16 +93,16 @@ def build_gold(
     """Build one aggregated table from the clean ones."""
     needs, builder = BUILDERS[table]
     population = read_population(spark, population_csv) if population_csv else None
-    silver = _Silver(spark, root, population)
+    silver = Silver(spark, root, population)
     if silver(needs) is None:
         log.warning("no clean %s: skipping %s", needs, table)
         return 0
-    return write_partitioned(builder(silver), f"{root}/gold/{table}", ["ano"])
+    return write_partitioned(builder(silver), f"{root}/gold/{table}", ["ano", "mes"])
 
 
 def build_features(spark: SparkSession, root: str) -> int:
     """The split feature set and its metadata, version v1."""
-    adm = _Silver(spark, root, None)("sih_rd")
+    adm = Silver(spark, root, None)("sih_rd")
     if adm is None:
         log.warning("no clean sih_rd: skipping features")
         return 0
