@@ -44,6 +44,24 @@ def scan_union_by_name(t):
     return readers.read_union(t.spark, [f"{root}/a", f"{root}/b"], _DRIFT)
 
 
+@query(
+    "scan_mixed_folder",
+    """select o_orderkey as id, o_orderstatus as situacao, case when o_custkey % 3 = 0 then o_totalprice end as valor,
+    case when o_custkey % 3 = 1 then o_orderpriority end as prioridade from orders""",
+)
+def scan_mixed_folder(t):
+    """One folder of files in three layouts, told apart by their footers."""
+    root = shared_path(t.spark, "mixed")
+    layouts = [
+        ["o_orderkey as id", "o_orderstatus as situacao", "o_totalprice as valor"],
+        ["o_orderpriority as prioridade", "cast(o_orderkey as string) as id", "o_orderstatus as situacao", "o_custkey as extra"],
+        ["o_orderstatus as situacao", "cast(o_orderkey as decimal(18,0)) as id"],
+    ]
+    for i, columns in enumerate(layouts):
+        t("orders").where(f"o_custkey % 3 = {i}").selectExpr(*columns).write.mode("append").parquet(root)
+    return readers.read_mixed(t.spark, root, _DRIFT)
+
+
 @query(
     "roundtrip_partitioned",
     f"select ano, mes, count(*) as linhas, {money('val_tot')} as valor from {adm('ano', 'mes', 'val_tot')} a group by all",

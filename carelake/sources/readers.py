@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
+from urllib.parse import quote
 
+import pyarrow as pa
+import pyarrow.fs as pafs
+import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -41,6 +46,45 @@ def read_union(
     return reduce(DataFrame.unionByName, parts)
 
 
+def _layout(path: str) -> str:
+    """Column names and types of one file, from its footer alone."""
+    uri = path.replace("file:/", "file:///", 1) if path.startswith("file:/") and not path.startswith("file://") else path
+    files, inner = pafs.FileSystem.from_uri(uri)
+    with files.open_input_file(inner) as opened:
+        return ", ".join(sorted(f"{f.name} {f.type}" for f in pq.read_schema(opened)))
+
+
+def layouts(spark: SparkSession, folder: str) -> DataFrame:
+    """(path, layout) of every parquet file below a folder. Footers are read in tasks, a
+    few files each, from any store that Arrow opens by its address."""
+    listed = (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", "true")
+        .option("pathGlobFilter", "*.parquet")
+        .load(folder)
+        .select("path")  # the content is not read
+    )
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = pa.array([_layout(quote(p, safe=":/")) for p in batch.column(0).to_pylist()], pa.string())
+            yield pa.RecordBatch.from_arrays([batch.column(0), found], ["path", "layout"])
+
+    return listed.repartition(spark.sparkContext.defaultParallelism).mapInArrow(look, "path string, layout string")
+
+
+def read_mixed(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame:
+    """A folder whose files drift in columns and types as one table of the declared
+    columns: files of one layout are one scan, so the plan grows with the layouts and not
+    with the files. The driver holds the file names, as any scan does."""
+    by_layout: dict[str, list[str]] = {}
+    for row in layouts(spark, folder).collect():
+        by_layout.setdefault(row.layout, []).append(row.path)
+    if not by_layout:
+        return spark.createDataFrame([], schema)
+    return read_union(spark, [sorted(paths) for _, paths in sorted(by_layout.items())], schema)
+
+
 def read_raw(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """A hive-partitioned folder (or one sample file) whose columns are all text.
 

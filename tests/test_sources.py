@@ -136,3 +136,18 @@ def test_layer_names_are_checked(spark):
         sinks.write_layer(spark.range(1), "jdbc:x", "gold", "t", {})
 
 
+
+
+def test_mixed_folder_is_read_by_layout(spark, tmp_path):
+    root = str(tmp_path / "all files")
+    spark.createDataFrame([(1, "a"), (2, "b")], "id long, k string").repartition(2).write.parquet(f"{root}/x")
+    spark.createDataFrame([("3", 1.5)], "id string, v double").write.parquet(f"{root}/y=1")
+    spark.createDataFrame([("c", 4)], "k string, id long").write.parquet(f"{root}/z")
+    found = {r.layout for r in readers.layouts(spark, root).collect()}
+    assert found == {"id int64, k string", "id string, v double"}
+    schema = "id long, k string, v double"
+    got = readers.read_mixed(spark, root, spark.createDataFrame([], schema).schema)
+    assert sorted(map(tuple, got.collect())) == [(1, "a", None), (2, "b", None), (3, None, 1.5), (4, "c", None)]
+    assert str(got._jdf.queryExecution().optimizedPlan()).count("Relation [") == 2
+    (tmp_path / "none").mkdir()
+    assert readers.read_mixed(spark, str(tmp_path / "none"), got.schema).count() == 0
