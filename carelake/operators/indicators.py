@@ -129,6 +129,37 @@ def stored_rate(mortality: DataFrame) -> DataFrame:
     )
 
 
+def stored_beds(capacity: DataFrame) -> DataFrame:
+    """Refined form of bed availability: periods as YYYYMM, 0 where no population is known."""
+    c = F.col
+    rate = F.when(c("populacao") > 0, c("leitos_sus_total") / c("populacao") * 1000).otherwise(F.lit(0.0))
+    return capacity.select(
+        c("codufmun").alias("municipio"),
+        F.concat(c("ano").cast("string"), F.lpad(c("mes").cast("string"), 2, "0")).alias("competencia"),
+        c("leitos_sus_total").alias("total_leitos_sus"),
+        c("populacao").alias("pop_estimada"),
+        F.round(rate, 4).alias("leitos_por_1000hab"),
+    )
+
+
+def mortality_trend(mortality: DataFrame, min_months: int = 6) -> DataFrame:
+    """Change of the death rate per month and its fit, by municipality, from the monthly
+    table; municipalities with fewer months have no trend and are left out."""
+    c = F.col
+    month = (c("ano") * 12 + c("mes")).cast("double")
+    rate = c("taxa_mortalidade")
+    rated = mortality.where(rate.isNotNull())
+    return (
+        rated.groupBy("cod6")
+        .agg(
+            F.count(F.lit(1)).alias("meses"),
+            F.regr_slope(rate, month).alias("pp_por_mes"),
+            F.regr_r2(rate, month).alias("r2"),
+        )
+        .where(c("meses") >= min_months)
+    )
+
+
 def rejection_rate(flagged: DataFrame, keys: list[str]) -> DataFrame:
     """Rejected share of all presented admissions per group."""
     n = F.count(F.lit(1))

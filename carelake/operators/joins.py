@@ -142,27 +142,37 @@ def rate_per_thousand(deaths: DataFrame, population: DataFrame) -> DataFrame:
 def postcode_rollup(
     adm: DataFrame, lookup: DataFrame, population: DataFrame, per: int = 1000
 ) -> DataFrame:
-    """Admissions and deaths per neighbourhood, via the 5-digit postcode prefix.
+    """Admissions, deaths and cost per neighbourhood, absolute and per capita, via the
+    5-digit postcode prefix.
 
     Rows are folded to prefixes first (at most 100,000 of them), so the lookup
     join and everything after it is small however many admissions there are.
     """
     c = F.col
     by_prefix = adm.groupBy(cf.postcode_prefix(c("cep")).alias("cep_prefix")).agg(
-        F.count(F.lit(1)).alias("_n"), F.sum("morte").alias("_d")
+        F.count(F.lit(1)).alias("_n"),
+        F.sum("morte").alias("_d"),
+        F.sum(c("val_tot").cast("decimal(18,2)")).alias("_v"),
     )
     return (
         by_prefix.join(lookup, "cep_prefix")
         .groupBy("bairro")
-        .agg(F.sum("_n").alias("internacoes"), F.sum("_d").alias("obitos"))
+        .agg(
+            F.sum("_n").alias("internacoes"),
+            F.sum("_d").alias("obitos"),
+            F.sum("_v").cast("double").alias("custo_total"),
+        )
         .withColumn("bairro_norm", cf.accent_key(cf.alias_name(c("bairro"))))
         .join(population, "bairro_norm", "left")
         .select(
             "bairro",
             "internacoes",
             "obitos",
+            "custo_total",
             "populacao",
             cf.guarded_ratio(c("internacoes"), c("populacao"), per).alias("internacoes_por_mil"),
+            cf.guarded_ratio(c("obitos"), c("populacao"), per).alias("obitos_por_mil"),
+            cf.guarded_ratio(c("custo_total"), c("populacao")).alias("custo_por_habitante"),
         )
     )
 

@@ -124,20 +124,35 @@ def urgent_transfer(t):
     )
 
 
-@query(
-    "observed_expected",
-    f"""with a as (select * from {adm("cnes", "cid_cap", "morte")} r where cid_cap is not null),
+OBSERVED = f"""with a as (select * from {adm("cnes", "cid_cap", "morte")} r where cid_cap is not null),
     e as (select cid_cap, sum(morte)::double / count(*) as rate from a group by cid_cap)
     select cnes, count(*) as n, cast(sum(morte) as bigint) as obitos_obs, round(sum(rate), 6) as obitos_esp,
     round(sum(morte)::double / count(*) * 100, 6) as tx_obs_pct, round(sum(rate) / count(*) * 100, 6) as tx_esp_pct,
     round(sum(morte)::double / count(*) * 100 - sum(rate) / count(*) * 100, 6) as excesso_pp
-    from a join e using (cid_cap) group by cnes having count(*) >= 500""",
+    from a join e using (cid_cap) group by cnes having count(*) >= 500"""
+
+
+@query(
+    "observed_expected",
+    OBSERVED,
 )
 def observed_expected(t):
     out = explore.observed_expected(t.admissions("cnes", "cid_cap", "morte"), 500)
     return _round(out, "obitos_esp", "tx_obs_pct", "tx_esp_pct", "excesso_pp")
 
 
+@query(
+    "excess_extremes",
+    f"""with t as ({OBSERVED}) (select 'pior' as lado, * from t order by excesso_pp desc, cnes limit 10)
+    union all (select 'melhor', * from t order by excesso_pp, cnes limit 10)""",
+)
+def excess_extremes(t):
+    """The ten hospitals furthest above and below what their mix of cases lets expect."""
+    table = observed_expected(t)
+    side = lambda worst, name: explore.excess_extremes(table, 10, worst).select(F.lit(name).alias("lado"), "*")
+    return side(True, "pior").unionByName(side(False, "melhor"))
+
+
 @query(
     "silence_proxy",
     f"""select munic_res, count(*) as internacoes_residentes, count(*) filter (munic_res <> munic_mov) as exportados,

@@ -453,9 +453,10 @@ _NORM = f"strip_accents(lower({_ALIAS_SQL}))"
     "postcode_rollup",
     f"""with look as materialized (select * from {_LOOKUP} k), homes as (select {_NORM} as norm, cast(count(*) as int) as populacao
       from (select left({_HOMES}, 5) as cep_prefix from customer) c join look using (cep_prefix) group by 1)
-    select bairro, internacoes, obitos, populacao, case when populacao > 0 then internacoes::double * 1000.0 / populacao end as internacoes_por_mil
-    from (select bairro, count(*) as internacoes, cast(sum(morte) as bigint) as obitos from (select left(cep, 5) as cep_prefix, morte
-      from {adm("cep", "morte")} a) x join look using (cep_prefix) group by bairro) n left join homes on norm = {_NORM}""",
+    select bairro, internacoes, obitos, custo_total, populacao, case when populacao > 0 then internacoes::double * 1000.0 / populacao end as internacoes_por_mil,
+    case when populacao > 0 then obitos::double * 1000.0 / populacao end as obitos_por_mil, case when populacao > 0 then custo_total / populacao end as custo_por_habitante
+    from (select bairro, count(*) as internacoes, cast(sum(morte) as bigint) as obitos, {money("val_tot")} as custo_total from (select left(cep, 5) as cep_prefix, morte, val_tot
+      from {adm("cep", "morte", "val_tot")} a) x join look using (cep_prefix) group by bairro) n left join homes on norm = {_NORM}""",
 )
 def postcode_rollup(t):
     lookup = _lookup(t)
@@ -468,7 +469,7 @@ def postcode_rollup(t):
         .groupBy(cf.accent_key(cf.alias_name(c("bairro"))).alias("bairro_norm"))
         .agg(F.sum("n").cast("int").alias("populacao"))
     )
-    return joins.postcode_rollup(t.admissions("cep", "morte"), lookup, homes)
+    return joins.postcode_rollup(t.admissions("cep", "morte", "val_tot"), lookup, homes)
 
 
 # --- set operations ----------------------------------------------------------

@@ -86,18 +86,24 @@ def write_row_count(t):
 
 @query(
     "bronze_partition_replace",
-    """select cast(year(o_orderdate) as int) as ano, count(*) as linhas from orders
-    where year(o_orderdate) >= 1998 or o_orderstatus = 'F' group by 1""",
+    """select uf, cast(year(o_orderdate) as int) as ano, cast(month(o_orderdate) as int) as mes, count(*) as linhas from
+    (select *, 'RS' as uf from orders) o where year(o_orderdate) * 100 + month(o_orderdate) <> 199705
+    and (year(o_orderdate) * 100 + month(o_orderdate) <> 199801 or o_orderstatus = 'F') group by all""",
 )
 def bronze_partition_replace(t):
-    """A first load of part of the rows, then a reload of the later years."""
-    path = shared_path(t.spark, "raw")
+    """Every month loaded; then one month delivered anew with fewer rows, one with none."""
+    root = shared_path(t.spark, "raw")
     raw = t("orders").selectExpr(
-        "o_orderkey", "o_orderstatus", "'RS' as uf", "cast(year(o_orderdate) as int) as ano"
+        "o_orderkey", "o_orderstatus", "'RS' as uf", "cast(year(o_orderdate) as string) as ano",
+        "lpad(cast(month(o_orderdate) as string), 2, '0') as mes",
     )
-    sinks.write_partitioned(raw.where("o_orderstatus = 'F'"), path, ["uf", "ano"])
-    sinks.write_partitioned(raw.where("ano >= 1998"), path, ["uf", "ano"])
-    return t.spark.read.parquet(path).groupBy("ano").agg(F.count(F.lit(1)).alias("linhas"))
+    sinks.write_partitioned(raw, f"{root}/pedidos", ["uf", "ano", "mes"])
+    january = raw.where("ano = '1998' and mes = '01' and o_orderstatus = 'F'")
+    for rows, year, month in ((january, 1998, 1), (raw.limit(0), 1997, 5)):
+        sinks.replace_partition(rows, root, "pedidos", "RS", year, month)
+    schema = "o_orderkey bigint, o_orderstatus string, uf string, ano int, mes int"
+    stored = t.spark.read.schema(schema).parquet(f"{root}/pedidos")
+    return stored.groupBy("uf", "ano", "mes").agg(F.count(F.lit(1)).alias("linhas"))
 
 
 _MONTH = "year(o_orderdate) % 12 + 1"

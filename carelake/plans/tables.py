@@ -6,7 +6,7 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
-from carelake.operators import dashboard, gold
+from carelake.operators import dashboard, gold, indicators
 from carelake.operators.windows import latest_per_key
 from carelake.plans.roles import adm, bed, dth, fac, money, pop, query
 
@@ -140,6 +140,26 @@ def bed_capacity(t):
     return capacity(t)
 
 
+@query(
+    "stored_beds",
+    f"""select codufmun as municipio, cast(ano as varchar) || lpad(cast(mes as varchar), 2, '0') as competencia, leitos_sus_total as total_leitos_sus,
+    populacao as pop_estimada, round(coalesce(case when populacao > 0 then leitos_sus_total::double / populacao * 1000 end, 0.0), 4) as leitos_por_1000hab
+    from {CAPACITY} c""",
+)
+def stored_beds(t):
+    return indicators.stored_beds(capacity(t))
+
+
+@query(
+    "mortality_trend",
+    f"""select cod6, count(*) as meses, round(regr_slope(taxa_mortalidade, ano * 12 + mes), 6) as pp_por_mes,
+    round(regr_r2(taxa_mortalidade, ano * 12 + mes), 6) as r2
+    from {MORTALITY} m where taxa_mortalidade is not null group by cod6 having count(*) >= 6""",
+)
+def mortality_trend(t):
+    return _round(indicators.mortality_trend(mortality(t)), "pp_por_mes", "r2")
+
+
 @query(
     "per_capita",
     f"""select m.cod6, ano, mes, internacoes, populacao,
