@@ -24,6 +24,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from functools import cache
 from hashlib import sha256
+from math import ceil, log
 
 import numpy as np
 import pyarrow as pa
@@ -371,7 +372,24 @@ def tile_links(tiled: DataFrame, heads: DataFrame, least: float) -> DataFrame:
     return placed.groupBy("low", "high").applyInArrow(search, "left long, right long")
 
 
-def near_classes(spark: SparkSession, prints: DataFrame, bands: int, digits: int, least: float) -> DataFrame:
+LEAST = 0.8  # likeness of near copies
+FOUND = 0.99  # share of the pairs of just that likeness that meet in a band
+CHANCE = 0.17  # share of digits in which unlike texts agree, as bands of 6 to 9 digits show it
+
+
+def band_plan(n: int, least: float = LEAST) -> tuple[int, int]:
+    """Bands and their digits for n fingerprints: so many digits that each fingerprint meets
+    one unlike at most by chance, whatever n is, and then so many bands that alike ones
+    still meet."""
+    digits = 6
+    while True:
+        bands = ceil(log(1 - FOUND) / log(1 - least**digits))
+        if n * bands * CHANCE**digits <= 2:
+            return bands, digits
+        digits += 1
+
+
+def near_classes(spark: SparkSession, prints: DataFrame, bands: int | None, digits: int | None, least: float) -> DataFrame:
     """doc (digest of a fingerprint), near_class and near_class_size of the fingerprints of
     classes of more than one document.
 
@@ -384,6 +402,8 @@ def near_classes(spark: SparkSession, prints: DataFrame, bands: int, digits: int
     heads = some.groupBy("fingerprint").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("size"))
     # Numbers hold once they are written, and are shorter than digests in every later shuffle.
     heads = stored(spark, heads.withColumn("doc", F.monotonically_increasing_id()), "print-heads")
+    if not bands or not digits:
+        bands, digits = band_plan(heads.count(), least)
     lists = stored(spark, open_lists(band_lists(spark, heads, bands, digits, least), None), "open-lists")
     links = stored(spark, leader_links(lists, heads, least), "leader-links")
     lists = stored(spark, open_lists(lists, components(spark, links)), "open-lists")
@@ -396,15 +416,12 @@ def near_classes(spark: SparkSession, prints: DataFrame, bands: int, digits: int
     return stored(spark, named.join(classes.where("near_class_size > 1"), "component").select("doc", "near_class", "near_class_size"), "near-classes")
 
 
-BANDS, DIGITS, LEAST = 12, 6, 0.8
-
-
-def near_duplicates(spark: SparkSession, prints: DataFrame, bands: int = BANDS, digits: int = DIGITS, least: float = LEAST) -> DataFrame:
+def near_duplicates(spark: SparkSession, prints: DataFrame, bands: int | None = None, digits: int | None = None, least: float = LEAST) -> DataFrame:
     """doc_id and leader, the smallest doc_id of its class: documents whose fingerprints
     (doc_id, fingerprint) are alike, but for the leaders.
 
-    Bands are samples of digits over the whole of the shorter output, weighed as in
-    likeness: most lie in its last octaves, and no part of the text is without. The likeness
+    Bands are samples of digits over the whole of the shorter output (as many as band_plan
+    says, unless given), weighed as in likeness: most lie in its last octaves, and no part of the text is without. The likeness
     of the whole fingerprints verifies every pair with a band in common that verified pairs
     do not already connect. Short texts have short bands, and equal fingerprints are always
     alike, so empty texts are one class. Rows with a null doc_id are alike with nothing.
@@ -420,7 +437,7 @@ def near_duplicates(spark: SparkSession, prints: DataFrame, bands: int = BANDS,
     )
 
 
-def with_classes(spark: SparkSession, prints: DataFrame, bands: int = BANDS, digits: int = DIGITS, least: float = LEAST) -> DataFrame:
+def with_classes(spark: SparkSession, prints: DataFrame, bands: int | None = None, digits: int | None = None, least: float = LEAST) -> DataFrame:
     """prints (doc_id, fingerprint and others; written, as it is read several times) with
     near_class, the smallest doc_id of the rows that verified pairs connect with the row, and
     near_class_size, their number. Both are null without a doc_id."""

@@ -8,6 +8,7 @@ import pytest
 from carelake.llm import mixing, ngram_jaccard, target_resampling, vector_near
 from carelake.llm.periodic_runs import find_runs, least_shared, periodic_runs, planted
 from carelake.llm.target_resampling import KEY, cutoff_key, ranked, resample, weighted_median
+from carelake.llm.wordhash import mixed
 from carelake.llm.vector_near import Side, close_pairs, near_vectors, quantised
 from tests.llm import brute
 from tests.llm.test_llm import frame, prose, rows
@@ -265,3 +266,45 @@ def test_mixing_ids_and_clashing_names(spark):
     docs = frame(spark, ["a b", "a b", None, "c"], [None, 3, 3, None])
     drawn = mixing.Mix().draw(mixing.Mix().cells(docs, "doc_id")).collect()
     assert len(drawn) == 4 and len({r.kept for r in drawn if r.doc_id is None}) == 1
+
+
+# --- bands of fingerprints
+
+
+def test_band_plan_follows_the_number_of_fingerprints():
+    from carelake.llm.edit_fingerprint import CHANCE, FOUND, band_plan
+
+    digits = []
+    for n in (1, 10**3, 10**6, 10**9):
+        bands, d = band_plan(n)
+        assert 1 - (1 - 0.8**d) ** bands >= FOUND and n * bands * CHANCE**d <= 2
+        digits.append(d)
+    assert digits == sorted(digits) and digits[-1] > digits[0]
+
+
+def test_fingerprints_position_by_position():
+    """The likeness of two fingerprints estimates what a plain walk over both texts finds."""
+    from carelake.llm.edit_fingerprint import CLASSES, PERIOD, SEED, characters, classes, fingerprints, likeness
+
+    bits = np.random.default_rng(SEED).integers(0, 2, (CLASSES, PERIOD)).astype(bool)
+    bits[:, ::16] = True
+
+    def walk(text):
+        out, i, kind = [], 0, classes(characters(text))
+        digit = (mixed(characters(text).astype(np.uint64), 1) & np.uint64(15)).tolist()
+        while i < len(text):
+            out.append(digit[i])
+            i += bits[kind[i], (len(out) - 1) % PERIOD]
+        return out
+
+    rng = random.Random(21)
+    base = " ".join(prose(rng, 800))
+    for share in (0.0, 0.01, 0.05, 0.4):
+        other = list(base)
+        for _ in range(int(share * len(base))):
+            other[rng.randrange(len(other))] = rng.choice("xyz")
+        other = "".join(other)
+        a, b = walk(base), walk(other)
+        agree = sum(x == y for x, y in zip(a, b)) / max(len(a), len(b))
+        (_, _, one), (_, _, two) = fingerprints([base, other])
+        assert likeness(one, two) == pytest.approx(agree, abs=0.12)
