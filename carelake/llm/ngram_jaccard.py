@@ -349,3 +349,24 @@ def ngram_jaccard(spark: SparkSession, docs: DataFrame) -> DataFrame:
 
 def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard(spark, table(spark, sf_dir, "documents"))
+
+
+#: Every shared shingle of every pair: for small tables.
+ORACLE = r"""
+with recursive words as (
+  select doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w
+  from documents),
+places as (
+  select doc_id, w, unnest(range(1, greatest(len(w) - 4, least(len(w), 1)) + 1)) as i from words),
+shingles as (select distinct doc_id, array_to_string(w[i:i + 4], ' ') as s, len(w) < 5 as short from places),
+sizes as (select doc_id, count(*) as n from shingles group by doc_id),
+often as (select s, short from shingles group by all having count(*) > 1),
+common as (select doc_id, md5_number(s || case when short then ' <' else '' end) as h from shingles join often using (s, short)),
+joint as (select a.doc_id as l, b.doc_id as r, count(*) as k from common a join common b on a.h = b.h and a.doc_id <> b.doc_id group by all),
+links as (
+  select l, r from joint join sizes x on x.doc_id = l join sizes y on y.doc_id = r where 100 * k >= 80 * (x.n + y.n - k)),
+reach as (select l, r from links union select reach.l, links.r from reach join links on reach.r = links.l),
+smallest as (select l, min(r) as m from reach group by l)
+select d.doc_id, coalesce(n, 0) as n_shingles, least(d.doc_id, coalesce(m, d.doc_id)) as component_id
+from documents d left join sizes using (doc_id) left join smallest on d.doc_id = smallest.l
+"""

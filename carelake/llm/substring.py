@@ -248,3 +248,28 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, window: int = WINDOW)
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(spark, table(spark, sf_dir, "documents"))
+
+
+#: Every window as a row: for small tables.
+ORACLE = r"""
+with words as (select doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) as w from documents),
+windows as (
+  select doc_id, i, md5_number(array_to_string(w[i:i + 49], ' ')) as h
+  from (select doc_id, w, unnest(range(1, len(w) - 48)) as i from words) x),
+owners as (select h, min(doc_id) as first from windows group by h having min(doc_id) < max(doc_id)),
+gone as (select doc_id, i from windows join owners using (h) where first < doc_id),
+placed as (select doc_id, unnest(w) as word, unnest(range(1, len(w) + 1)) as i from words),
+marked as (
+  select p.doc_id, p.i, word, count(g.i) over (partition by p.doc_id order by p.i rows between 49 preceding and current row) > 0 as covered
+  from placed p left join gone g on g.doc_id = p.doc_id and g.i = p.i),
+kept as (
+  select doc_id, count(*) filter (covered) as n_removed, string_agg(word, ' ' order by i) filter (not covered) as text from marked group by doc_id),
+stretches as (
+  select doc_id, min(i) - 1 as first, max(i) as after
+  from (select doc_id, i, i - row_number() over (partition by doc_id order by i) as stretch from marked where covered) x
+  group by doc_id, stretch),
+spans as (select doc_id, list({'first': first::int, 'after': after::int} order by first) as spans from stretches group by doc_id)
+select doc_id, len(w) as n_words, coalesce(n_removed, 0) as n_removed, sha256(coalesce(kept.text, '')) as kept_sha256,
+  coalesce(spans, []::struct(first int, after int)[]) as spans
+from words left join kept using (doc_id) left join spans using (doc_id)
+"""
