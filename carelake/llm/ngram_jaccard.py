@@ -298,12 +298,14 @@ def link_components(spark: SparkSession, sets: DataFrame) -> DataFrame:
     of the classes that its links reach. A class is searched under a number of its own, so
     different texts under one id are different documents."""
     some = sets.where("doc_id is not null and size(first) > 0")
-    one = F.min(F.struct("doc_id", "first", "words")).alias("one")
-    classes = some.groupBy("n_shingles", "a", "b").agg(one)
-    numbered = classes.select(
-        F.monotonically_increasing_id().alias("doc"), F.col("n_shingles").alias("n"), "a", "b", "one.doc_id", "one.first", "one.words"
-    )
-    heads = stored(spark, numbered, "set-classes")
+    key = ["n_shingles", "a", "b"]
+    classes = some.groupBy(*key).agg(F.min("doc_id").alias("first_id"))
+    # Numbered in the order of their first ids: of a group of copies the original is mostly
+    # the first, and so leads the others.
+    ordered = classes.repartitionByRange("first_id").sortWithinPartitions("first_id", *key)
+    numbered = stored(spark, ordered.withColumn("doc", F.monotonically_increasing_id()), "class-numbers")
+    found = some.join(numbered, key).where("doc_id = first_id").dropDuplicates(["doc"])
+    heads = stored(spark, found.select("doc", F.col("n_shingles").alias("n"), "a", "b", "doc_id", "first", "words"), "set-classes")
     words = heads.select("doc", "n", "words")
     # Sets that can link have sizes in the same band or in neighbouring ones, so each set
     # stands in the lists of its band and of the next: a shingle's list holds no other sizes.
