@@ -115,11 +115,11 @@ def test_period_from_the_first_row_of_each_file(spark, tmp_path):
 
 def test_insert_or_ignore_keeps_the_first(spark, tmp_path):
     path, order = str(tmp_path / "store"), [c("ts")]
-    schema = spark.createDataFrame([], "id string, ts int, dia int").schema
-    first = spark.createDataFrame([("a", 2, 1), ("a", 1, 1), (None, 0, 1)], schema)
-    second = spark.createDataFrame([("a", 0, 1), ("b", 5, 2)], schema)
+    schema = spark.createDataFrame([], "id string, ts int").schema
+    first = spark.createDataFrame([("a", 2), ("a", 1), (None, 0)], schema)
+    second = spark.createDataFrame([("a", 0), ("b", 5)], schema)
     for batch in (first, second, second):
-        sinks.insert_or_ignore(batch, path, schema, "id", order, "dia")
+        sinks.insert_or_ignore(batch, path, schema, "id", order, 8)
     assert {tuple(r) for r in spark.read.parquet(path).select("id", "ts").collect()} == {("a", 1), ("b", 5)}
 
 
