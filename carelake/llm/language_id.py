@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from carelake.llm.common import keyed, learning_fold, table
-from carelake.llm.linear import REMEMBERED, Table, bucket, offsets, segment_sums, words_of
+from carelake.llm.linear import REMEMBERED, bucket, offsets, segment_sums, words_of
 
 BUCKETS, WIDTH = 1 << 16, 12
 GRAMS = (2, 3, 4)
@@ -41,6 +41,44 @@ def subwords(word: str) -> list[int]:
     return [bucket(p, BUCKETS) for p in parts]
 
 
+def _crc_steps() -> np.ndarray:
+    """The CRC-32 of every last byte, from its rule."""
+    step = np.arange(256, dtype=np.uint32)
+    for _ in range(8):
+        step = np.where(step & 1, (step >> 1) ^ np.uint32(0xEDB88320), step >> 1)
+    return step
+
+
+CRC = _crc_steps()
+
+
+def scores_of(scores: np.ndarray, words: list[str]) -> np.ndarray:
+    """Mean score of the subwords of each word. Words of ASCII letters are hashed together,
+    one pass for each length and byte; the others one by one."""
+    out = np.zeros((len(words), scores.shape[1]))
+    plain = [i for i, w in enumerate(words) if w.isascii()]
+    marked = [f"<{words[i]}>" for i in plain]
+    flat = np.frombuffer("".join(marked).encode(), np.uint8)
+    lengths = np.array([len(m) for m in marked], np.int64)
+    ends = np.cumsum(lengths)
+    owner = np.repeat(np.arange(len(marked)), lengths)
+    total = scores[[bucket(m, BUCKETS) for m in marked]].astype(np.float64) if marked else np.zeros((0, scores.shape[1]))
+    for n in GRAMS:
+        crc = np.full(max(0, len(flat) - n + 1), 0xFFFFFFFF, np.uint32)
+        for k in range(n):
+            crc = CRC[(crc ^ flat[k : k + len(crc)]) & 255] ^ (crc >> 8)
+        inside = np.flatnonzero(np.arange(len(crc)) + n <= ends[owner[: len(crc)]])
+        met = scores[(~crc[inside] % BUCKETS).astype(np.int64)]
+        for language in range(scores.shape[1]):
+            total[:, language] += np.bincount(owner[inside], weights=met[:, language], minlength=len(marked))
+    parts = 1 + sum(np.maximum(lengths - n + 1, 0) for n in GRAMS)
+    out[plain] = total / parts[:, None]
+    for i, word in enumerate(words):
+        if not word.isascii():
+            out[i] = scores[subwords(word)].mean(axis=0)
+    return out
+
+
 def bag(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of a whole text and their shares: every word weighs the same, whatever its length."""
     words, counts = np.unique(np.array(words_of(text), dtype=object).astype(str), return_counts=True)
@@ -104,27 +142,37 @@ class WordScores:
     """Language scores of the words a worker has met, as rows of one matrix."""
 
     def __init__(self, scores: np.ndarray):
-        self.scores, self.rows = scores, np.zeros((1 << 14, scores.shape[1]), np.float32)
-        self.place = Table(self._add)
-
-    def _add(self, word: str) -> int:
-        at = len(self.place)
-        if at == len(self.rows):
-            self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
-        self.rows[at] = self.scores[subwords(word)].mean(axis=0)
-        return at
+        self.scores, self.rows, self.place = scores, np.zeros((0, scores.shape[1]), np.float32), {}
+
+    def learn(self, texts: list[list[str]]) -> None:
+        """Make room for the words of some texts and score those not met yet, all at once.
+        The table is emptied between groups of texts when it is full, never inside one."""
+        words = {w for text in texts if len(text) <= REMEMBERED for w in text}
+        if len(self.place) + len(words) > REMEMBERED:
+            self.rows, self.place = self.rows[:0], {}
+        new = [w for w in words if w not in self.place]
+        self.place.update(zip(new, range(len(self.place), len(self.place) + len(new))))
+        self.rows = np.concatenate([self.rows, scores_of(self.scores, new).astype(np.float32)])
 
     def mean(self, words: list[str]) -> np.ndarray:
-        if len(self.place) + len(words) > REMEMBERED:  # emptied between texts, never inside one
-            self.__init__(self.scores)
-        get = self.place.__getitem__
+        """Of the words of a text that was learnt; a text of very many words is folded and
+        needs no room."""
         if len(words) > REMEMBERED:
-            n, total = 0, 0.0
-            for word, count in Counter(words).items():
-                total, n = total + count * self.scores[subwords(word)].mean(axis=0), n + count
-            return total / n
-        places = [get(w) for w in words]  # may grow the rows
-        return self.rows[places].mean(axis=0, dtype=np.float64)
+            counts = Counter(words)
+            return np.average(scores_of(self.scores, list(counts)), axis=0, weights=list(counts.values()))
+        return self.rows[list(map(self.place.__getitem__, words))].mean(axis=0, dtype=np.float64)
+
+
+def groups(lengths: list[int], most: int = 50_000) -> Iterator[tuple[int, int]]:
+    """Ranges of texts with about so many words together."""
+    first = size = 0
+    for i, n in enumerate(lengths):
+        if size and size + n > most:
+            yield first, i
+            first, size = i, 0
+        size += n
+    if first < len(lengths):
+        yield first, len(lengths)
 
 
 class LanguageModel:
@@ -167,13 +215,20 @@ class LanguageModel:
         calibrated bound."""
         shared = docs.sparkSession.sparkContext.broadcast(self)
 
+        def in_groups(batch: pa.RecordBatch, met: WordScores) -> Iterator[list[str]]:
+            """The words of each text, their scores learnt some texts at a time."""
+            texts = batch.column("text").to_pylist()
+            for first, last in groups([len(t or "") // 6 for t in texts]):
+                part = [words_of(t) for t in texts[first:last]]
+                met.learn(part)
+                yield from part
+
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             model = shared.value
             met = WordScores(model.scores)
             for batch in batches:
                 names, scores = [], []
-                for text in batch.column("text"):
-                    words = words_of(text.as_py())
+                for words in in_groups(batch, met):
                     # A run may be of numbers that are no decimal digits, such as ½ and ①.
                     if not model.languages or not any(c.isalpha() for w in words for c in w):
                         names.append(UNKNOWN)

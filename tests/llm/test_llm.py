@@ -305,11 +305,15 @@ def test_language_id(spark):
     assert all(0 <= r["score"] <= 1 for r in got.values())
 
 
-def test_word_scores_grow_within_a_text():
+def test_word_scores(monkeypatch):
+    monkeypatch.setattr(language_id, "REMEMBERED", 20_000)
     met = language_id.WordScores(np.random.default_rng(1).normal(size=(language_id.BUCKETS, 2)).astype("f4"))
-    words = [f"w{i}" for i in range((1 << 14) + 10)]
-    expected = np.mean([met.scores[language_id.subwords(w)].mean(axis=0) for w in words], axis=0)
-    assert np.allclose(met.mean(words), expected, atol=1e-5)
+    for words in ([f"w{i}é" if i % 9 == 0 else f"w{i}" for i in range(12_000)], ["x", "日本"] * 9, [f"v{i}" for i in range(12_000)], [f"u{i}" for i in range(25_000)]):
+        expected = np.mean([met.scores[language_id.subwords(w)].mean(axis=0) for w in words], axis=0)
+        met.learn([words, words[:1]])
+        assert np.allclose(met.mean(words), expected, atol=1e-5) and len(met.place) <= 20_000
+    assert list(language_id.groups([3, 9, 1, 1, 30], 10)) == [(0, 1), (1, 3), (3, 4), (4, 5)]
+    assert list(language_id.groups([])) == []
 
 
 def test_word_table_is_bounded(monkeypatch):
