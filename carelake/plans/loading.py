@@ -139,8 +139,7 @@ def infer_period(t):
             "year(o_orderdate) as amostra", *[f"{e} as {n}" for n, e in columns.items()]
         )
         sinks.write_partitioned(rows, f"{root}/{source}", ["amostra"])
-        files = t.spark.read.parquet(f"{root}/{source}")
-        found = readers.infer_period(files, source).select(
+        found = readers.infer_folder_periods(t.spark, f"{root}/{source}", source).select(
             F.lit(source).alias("fonte"),
             F.regexp_extract("path", "amostra=([0-9]+)", 1).cast("int").alias("amostra"),
             "ano",

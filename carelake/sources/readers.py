@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 from urllib.parse import quote
 
@@ -46,17 +46,10 @@ def read_union(
     return reduce(DataFrame.unionByName, parts)
 
 
-def _layout(path: str) -> str:
-    """Column names and types of one file, from its footer alone."""
-    uri = path.replace("file:/", "file:///", 1) if path.startswith("file:/") and not path.startswith("file://") else path
-    files, inner = pafs.FileSystem.from_uri(uri)
-    with files.open_input_file(inner) as opened:
-        return ", ".join(sorted(f"{f.name} {f.type}" for f in pq.read_schema(opened)))
-
-
-def layouts(spark: SparkSession, folder: str) -> DataFrame:
-    """(path, layout) of every parquet file below a folder. Footers are read in tasks, a
-    few files each, from any store that Arrow opens by its address."""
+def _per_file(spark: SparkSession, folder: str, names: list[str], look: Callable[[pq.ParquetFile], list]) -> DataFrame:
+    """path and text columns of the given names for every parquet file below a folder, as
+    `look` finds them. Files are opened in tasks, a few each, from any store that Arrow
+    opens by its address."""
     listed = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
@@ -65,12 +58,28 @@ def layouts(spark: SparkSession, folder: str) -> DataFrame:
         .select("path")  # the content is not read
     )
 
-    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def opened(path: str) -> list:
+        uri = quote(path, safe=":/")
+        uri = uri.replace("file:/", "file:///", 1) if uri.startswith("file:/") and not uri.startswith("file://") else uri
+        files, inner = pafs.FileSystem.from_uri(uri)
+        with files.open_input_file(inner) as file:
+            return look(pq.ParquetFile(file))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = pa.array([_layout(quote(p, safe=":/")) for p in batch.column(0).to_pylist()], pa.string())
-            yield pa.RecordBatch.from_arrays([batch.column(0), found], ["path", "layout"])
+            found = [opened(p) for p in batch.column(0).to_pylist()]
+            columns = [pa.array([f[i] for f in found], pa.string()) for i in range(len(names))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["path", *names])
 
-    return listed.repartition(spark.sparkContext.defaultParallelism).mapInArrow(look, "path string, layout string")
+    schema = ", ".join(f"{n} string" for n in ("path", *names))
+    return listed.repartition(spark.sparkContext.defaultParallelism).mapInArrow(run, schema)
+
+
+def layouts(spark: SparkSession, folder: str) -> DataFrame:
+    """(path, layout) of every parquet file below a folder: column names and types, from
+    the footer alone."""
+    look = lambda file: [", ".join(sorted(f"{f.name} {f.type}" for f in file.schema_arrow))]
+    return _per_file(spark, folder, ["layout"], look)
 
 
 def read_mixed(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame:
@@ -239,6 +248,31 @@ def infer_period(files: DataFrame, source: str) -> DataFrame:
     )
 
 
+# Columns that name a period, most telling first.
+PERIOD_COLUMNS = (("ANO_CMPT", "MES_CMPT"), ("ANO", "MES"), ("COMPETEN",), ("PA_CMP",), ("DT_PROCESS",), ("DTOBITO",), ("DTNASC",), ("DT_NOTIFIC",))
+
+
+def infer_folder_periods(spark: SparkSession, folder: str, source: str) -> DataFrame:
+    """(path, ano, mes) of every parquet file below a folder, by its first row: one row of
+    the period columns is read per file, however long it is. A file without rows or without
+    a period has the default one."""
+    names = [n for group in PERIOD_COLUMNS for n in group]
+
+    def first_row(file: pq.ParquetFile) -> list:
+        have = [n for n in names if n in file.schema_arrow.names]
+        row = next(file.iter_batches(batch_size=1, columns=have), None) if have else None
+        values = row.to_pylist()[0] if row is not None and row.num_rows else {}
+        return [None if values.get(n) is None else str(values[n]) for n in names]
+
+    periods = [_first_period(source, list(group)) for group in PERIOD_COLUMNS]
+    known = F.coalesce(*[F.when(p["ano"].isNotNull() & p["mes"].isNotNull(), p) for p in periods])
+    return _per_file(spark, folder, names, first_row).select(
+        "path",
+        F.coalesce(known["ano"], F.lit(DEFAULT_PERIOD[0])).alias("ano"),
+        F.coalesce(known["mes"], F.lit(DEFAULT_PERIOD[1])).alias("mes"),
+    )
+
+
 def kafka_source(spark: SparkSession, servers: str, topic: str) -> DataFrame:
     """Unbounded topic from its latest offsets; the query checkpoint holds the position."""
     return (

@@ -111,6 +111,11 @@ def test_period_from_the_first_row_of_each_file(spark, tmp_path):
     files = spark.read.parquet(f"{tmp_path}/f0", f"{tmp_path}/f1")
     assert {(r.ano, r.mes) for r in readers.infer_period(files, "cnes").collect()} == {(2024, 1), (2024, 2)}
     assert {(r.ano, r.mes) for r in readers.infer_period(files, "sih").collect()} == {(2026, 2)}
+    spark.createDataFrame([], "COMPETEN string").coalesce(1).write.parquet(f"{tmp_path}/f2")
+    spark.createDataFrame([(2023, 11)], "ANO int, MES int").write.parquet(f"{tmp_path}/f3")
+    found = lambda source: sorted((r.ano, r.mes) for r in readers.infer_folder_periods(spark, str(tmp_path), source).collect())
+    assert set(found("cnes")) == {(2024, 1), (2024, 2), (2026, 2)} and len(found("cnes")) == len(list(tmp_path.glob("f*/*.parquet")))
+    assert (2023, 11) in found("sih") and (2026, 2) in found("sih")
 
 
 def test_insert_or_ignore_keeps_the_first(spark, tmp_path):
