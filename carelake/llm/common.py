@@ -12,9 +12,18 @@ from carelake.session import shared_path
 
 BLANK_CHARACTERS = " \t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
+BATCH_LIMIT, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 2 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Hand Python workers batches of BATCH_BYTES, where the session still has Spark's 64 MB:
+    a batch is held several times, in the executor's Arrow buffers and in its worker."""
+    if spark.conf.get(BATCH_LIMIT) == "67108864b":
+        spark.conf.set(BATCH_LIMIT, BATCH_BYTES)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

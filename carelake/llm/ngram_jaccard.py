@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from carelake.llm import sketch
-from carelake.llm.common import keyed, stored, table
+from carelake.llm.common import keyed, small_batches, stored, table
 from carelake.llm.components import components
 from carelake.llm.wordhash import WordHasher, canonical, pieces, sliding_min
 
@@ -129,6 +129,7 @@ class Index:
 def document_sets(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, set digest (a, b), first shingles, and the words of documents
     that have any first shingle with a possible partner."""
+    small_batches(spark)
     texts = docs.select("doc_id", "text")
     size = texts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     width = sketch.width_for(size // WORD_BYTES, 1, MOST_CELLS)
@@ -235,7 +236,12 @@ def tiles(spark: SparkSession, lists: DataFrame) -> DataFrame:
     headed = lists.join(heads, "shingle")
     edges = headed.select("left", F.col("doc").alias("right")).distinct()
     family = components(spark, edges)
-    longest = headed.groupBy("doc").agg(F.max(F.struct("length", "shingle", "cuts")).alias("longest"), F.max("n").alias("n"))
+    longest = headed.groupBy("doc").agg(
+        F.max(F.struct("length", "shingle", "cuts")).alias("longest"),
+        F.max("n").alias("n"),
+        F.max("component").alias("own"),  # one for each document
+        F.collect_list("shingle").alias("shingles"),
+    )
     sized = family.join(longest.select(F.col("doc").alias("node"), "n"), "node")
     sizes = sized.groupBy("component").agg(blocks(F.count("*"), F.sum("n")).alias("parts"))
     of_list = F.pmod(F.xxhash64("longest.shingle"), F.col("parts"))
@@ -244,9 +250,9 @@ def tiles(spark: SparkSession, lists: DataFrame) -> DataFrame:
         family.withColumnRenamed("node", "doc")
         .join(sizes, "component")
         .join(longest, "doc")
-        .select("doc", F.xxhash64("component", of_list, of_doc).alias("bucket"))
+        .select(F.explode("shingles").alias("shingle"), "doc", F.xxhash64("component", of_list, of_doc).alias("bucket"), F.col("own").alias("component"))
     )
-    placed = stored(spark, lists.join(dealt, "doc").select("shingle", "doc", "bucket", "component"), "dealt-lists")
+    placed = stored(spark, dealt, "dealt-lists")
     others = placed.select("shingle", F.col("bucket").alias("other")).distinct()
     return (
         placed.join(others, "shingle")

@@ -1,8 +1,10 @@
 """Importance resampling, periodic runs and near vectors against brute force."""
 
 import random
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from carelake.llm import mixing, ngram_jaccard, target_resampling, vector_near
@@ -282,6 +284,60 @@ def test_band_plan_follows_the_number_of_fingerprints():
     assert digits == sorted(digits) and digits[-1] > digits[0]
 
 
+def test_tiles_meet_every_pair_of_a_list(spark, monkeypatch):
+    """Each pair of documents of one list is in a tile of their two buckets, with their components."""
+    monkeypatch.setattr(ngram_jaccard, "BLOCK", 4)
+    rng = random.Random(31)
+    component = {d: d // 3 for d in range(60)}
+    lists = {s: rng.sample(range(60), rng.randrange(2, 14)) for s in range(25)}
+    given = [(s, d, 9, component[d]) for s, docs in lists.items() for d in docs]
+    tiled = ngram_jaccard.tiles(spark, spark.createDataFrame(given, "shingle long, doc long, n int, component long")).collect()
+    bucket = {r.doc: r.bucket for r in tiled}
+    held = {(r.low, r.high, r.doc) for r in tiled}
+    assert len(held) == len(tiled) and all(r.bucket == bucket[r.doc] and r.component == component[r.doc] for r in tiled)
+    for docs in lists.values():
+        for a in docs:
+            for b in docs:
+                low, high = sorted((bucket[a], bucket[b]))
+                assert (low, high, a) in held and (low, high, b) in held
+
+
+# --- memory of a worker
+
+
+def test_texts_reach_workers_in_bounded_batches(spark, tmp_path):
+    from carelake.llm.common import BATCH_BYTES, BATCH_LIMIT, table
+
+    given = spark.conf.get(BATCH_LIMIT)
+    spark.range(3000).selectExpr("id as doc_id", "repeat('word ', 2000) as text").coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": [batch.num_rows], "size": [batch.nbytes]})
+
+    try:
+        spark.conf.unset(BATCH_LIMIT)
+        docs = table(spark, str(tmp_path), "documents")
+        got = docs.mapInArrow(sizes, "n long, size long").collect()
+        assert sum(r.n for r in got) == 3000 and max(r["size"] for r in got) < 1.5 * BATCH_BYTES
+        spark.conf.set(BATCH_LIMIT, "1m")
+        table(spark, str(tmp_path), "documents")
+        assert spark.conf.get(BATCH_LIMIT) == "1m"
+    finally:
+        spark.conf.set(BATCH_LIMIT, given)
+
+
+def test_hashing_many_texts_takes_bounded_memory():
+    texts = [" ".join(prose(random.Random(i), 1000, 5000)).encode() for i in range(500)]
+    tracemalloc.start()
+    try:
+        sets = ngram_jaccard.all_sets(texts)
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert len(sets) == 500 and most < 60e6 < 25 * sum(map(len, texts))
+
+
 def test_fingerprints_position_by_position():
     """The likeness of two fingerprints estimates what a plain walk over both texts finds."""
     from carelake.llm.edit_fingerprint import CLASSES, PERIOD, SEED, characters, classes, fingerprints, likeness
