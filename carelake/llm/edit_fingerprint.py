@@ -24,6 +24,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from functools import cache
 from hashlib import sha256
+from itertools import batched, chain
 from math import ceil, log
 
 import numpy as np
@@ -33,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StructField, StructType
 
 from carelake.llm import sketch
-from carelake.llm.common import keyed, stored, table
+from carelake.llm.common import keyed, small_batches, stored, table
 from carelake.llm.components import components
 from carelake.llm.ngram_jaccard import open_lists, tiles
 from carelake.llm.wordhash import mixed
@@ -209,15 +210,13 @@ def edit_fingerprints(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []  # at most one row: the last, whose next has not come yet
-        for batch in batches:
-            rows = list(zip(*(batch.column(c).to_pylist() for c in ("range", "copied", "doc_id", "text"))))
-            for first in range(0, len(rows), LANES):
-                part = rows[first : first + LANES]
-                made = held + list(zip(part, fingerprints([t or "" for *_, t in part])))
-                pairs = [(a, b) for a, b in zip(made, made[1:]) if a[0][0] == b[0][0] and not a[0][1]]
-                held = made[-1:]
-                if pairs:
-                    yield answer(pairs)
+        rows = chain.from_iterable(zip(*(b.column(c).to_pylist() for c in ("range", "copied", "doc_id", "text"))) for b in batches)
+        for part in batched(rows, LANES):
+            made = held + list(zip(part, fingerprints([t or "" for *_, t in part])))
+            pairs = [(a, b) for a, b in zip(made, made[1:]) if a[0][0] == b[0][0] and not a[0][1]]
+            held = made[-1:]
+            if pairs:
+                yield answer(pairs)
 
     def answer(pairs: list[tuple]) -> pa.RecordBatch:
         changed = edited([a[1] for a, _ in pairs], [b[1] for _, b in pairs])
@@ -233,6 +232,7 @@ def edit_fingerprints(docs: DataFrame) -> DataFrame:
         ]
         return pa.RecordBatch.from_arrays(columns, [f.name for f in schema])
 
+    small_batches(docs.sparkSession)
     fields = (
         "n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
         "near_edited double, near_next double"
@@ -375,16 +375,19 @@ def tile_links(tiled: DataFrame, heads: DataFrame, least: float) -> DataFrame:
 LEAST = 0.8  # likeness of near copies
 FOUND = 0.99  # share of the pairs of just that likeness that meet in a band
 CHANCE = 0.17  # share of digits in which unlike texts agree, as bands of 6 to 9 digits show it
+# Unlike fingerprints that one meets by chance. From about one on, the chance meetings alone connect
+# most fingerprints to one family of tiles, which takes more rounds the larger the table is.
+MET = 0.25
 
 
 def band_plan(n: int, least: float = LEAST) -> tuple[int, int]:
     """Bands and their digits for n fingerprints: so many digits that each fingerprint meets
-    one unlike at most by chance, whatever n is, and then so many bands that alike ones
+    few unlike ones by chance (MET), whatever n is, and then so many bands that alike ones
     still meet."""
     digits = 6
     while True:
         bands = ceil(log(1 - FOUND) / log(1 - least**digits))
-        if n * bands * CHANCE**digits <= 2:
+        if n * bands * CHANCE**digits <= MET:
             return bands, digits
         digits += 1
 

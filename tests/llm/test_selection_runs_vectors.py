@@ -284,6 +284,14 @@ def test_band_plan_follows_the_number_of_fingerprints():
     assert digits == sorted(digits) and digits[-1] > digits[0]
 
 
+def test_band_plan_leaves_chance_meetings_too_few_to_connect():
+    from carelake.llm.edit_fingerprint import CHANCE, FOUND, band_plan
+
+    for n in (10**4, 51_282, 256_410, 10**7):
+        bands, d = band_plan(n)
+        assert 1 - (1 - 0.8**d) ** bands >= FOUND and n * bands * CHANCE**d <= 0.25
+
+
 def test_tiles_meet_every_pair_of_a_list(spark, monkeypatch):
     """Each pair of documents of one list is in a tile of their two buckets, with their components."""
     monkeypatch.setattr(ngram_jaccard, "BLOCK", 4)
