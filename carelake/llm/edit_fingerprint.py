@@ -307,19 +307,29 @@ def digest(fingerprint: str) -> Column:
 
 def band_lists(spark: SparkSession, heads: DataFrame, bands: int, digits: int, least: float) -> DataFrame:
     """shingle (a band's key), doc, n, component, of bands that more than one document has.
-    A sketch of all keys leaves out nearly all that one document alone has."""
+    A sketch of all keys leaves out most that one document alone has, and a second one of
+    those that pass, by another hash, nearly all the others."""
     width = sketch.width_for(heads.count() * bands * 3, most=MOST_CELLS)
+    narrow = max(sketch.BLOCK, width >> 2)
+    prints, context = heads.select("fingerprint"), spark.sparkContext
 
     def every(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
         for batch in batches:
             yield band_keys(batch.column(0).to_pylist(), bands, digits, least)[1]
 
-    bits = spark.sparkContext.broadcast(sketch.repeated(heads.select("fingerprint"), every, width, 1))
+    bits = context.broadcast(sketch.repeated(prints, every, width, 1))
+
+    def passing(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+        for keys in every(batches):
+            yield mixed(keys[sketch.estimated_twice(bits.value, width, keys)], 3)
+
+    again = context.broadcast(sketch.repeated(prints, passing, narrow, 1))
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             owners, keys = band_keys(batch.column("fingerprint").to_pylist(), bands, digits, least)
             often = sketch.estimated_twice(bits.value, width, keys)
+            often &= sketch.estimated_twice(again.value, narrow, mixed(keys, 3))
             docs = batch.column("doc").take(pa.array(owners[often]))
             yield pa.RecordBatch.from_arrays([pa.array(keys[often].view(np.int64)), docs], ["shingle", "doc"])
 
@@ -328,11 +338,10 @@ def band_lists(spark: SparkSession, heads: DataFrame, bands: int, digits: int, l
 
 
 def leader_links(lists: DataFrame, heads: DataFrame, least: float) -> DataFrame:
-    """Links (left, right) of every document with the one leader it shares most bands with.
-    A band's leader is its smallest document."""
+    """Links (left, right) of every document with the leaders of its bands: at most a pair
+    for a row of the lists. A band's leader is its smallest document."""
     leaders = lists.groupBy("shingle").agg(F.min("doc").alias("leader"))
-    votes = lists.join(leaders, "shingle").where("doc > leader").groupBy("doc", "leader").agg(F.count("*").alias("votes"))
-    pairs = votes.groupBy("doc").agg(F.max(F.struct("votes", "leader")).alias("top")).select("doc", F.col("top.leader").alias("leader"))
+    pairs = lists.join(leaders, "shingle").where("doc > leader").select("doc", "leader").distinct()
     named = heads.select(F.col("doc").alias("leader"), F.col("fingerprint").alias("lead_print"))
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -396,8 +405,8 @@ def near_classes(spark: SparkSession, prints: DataFrame, bands: int | None, digi
     """doc (digest of a fingerprint), near_class and near_class_size of the fingerprints of
     classes of more than one document.
 
-    Equal fingerprints are one document here. First each is compared with one leader,
-    which joins many near copies in a number of pairs that is linear in theirs; then all that
+    Equal fingerprints are one document here. First each is compared with the leaders of its
+    bands, which joins nearly all near copies in a number of pairs that is linear in their bands; then all that
     share a band and are still in different components, in tiles of two buckets. So every
     pair with a band in common is verified or already in one class.
     """
@@ -409,9 +418,11 @@ def near_classes(spark: SparkSession, prints: DataFrame, bands: int | None, digi
         bands, digits = band_plan(heads.count(), least)
     lists = stored(spark, open_lists(band_lists(spark, heads, bands, digits, least), None), "open-lists")
     links = stored(spark, leader_links(lists, heads, least), "leader-links")
-    lists = stored(spark, open_lists(lists, components(spark, links)), "open-lists")
+    grouped = components(spark, links)
+    lists = stored(spark, open_lists(lists, grouped), "open-lists")
     tiled = stored(spark, tiles(spark, lists), "tiles")
-    grouped = components(spark, links.unionByName(stored(spark, tile_links(tiled, heads, least), "tile-links")))
+    joined = grouped.select(F.col("component").alias("left"), F.col("node").alias("right"))
+    grouped = components(spark, joined.unionByName(stored(spark, tile_links(tiled, heads, least), "tile-links")))
     named = heads.join(grouped.withColumnRenamed("node", "doc"), "doc", "left").select(
         digest("fingerprint").alias("doc"), "first_id", "size", F.coalesce("component", "doc").alias("component")
     )

@@ -221,19 +221,17 @@ def leader_pairs(lists: DataFrame, turn: int) -> DataFrame:
     return best.select((-F.col("top.minus")).alias("query"), "doc")
 
 
-def tiles(spark: SparkSession, lists: DataFrame) -> DataFrame:
-    """low, high, doc, bucket, component: which documents to search in which tile.
+def dealt_lists(spark: SparkSession, lists: DataFrame) -> DataFrame:
+    """shingle, doc, n, component, bucket: the lists with the bucket of each document.
 
     Documents that lists connect are a family, dealt into buckets of about BLOCK by their
     longest list, which keeps those that share it together; a longer list is dealt on by
-    document. A tile is two buckets (or one) with a list in common, and has the documents
-    of those lists: a list of g documents gives at most g * (g / BLOCK) rows instead of
-    g * g pairs.
+    document.
     """
     heads = lists.groupBy("shingle").agg(
         F.min("doc").alias("left"), F.count("*").alias("length"), blocks(F.count("*"), F.sum("n")).alias("cuts")
     )
-    headed = lists.join(heads, "shingle")
+    headed = stored(spark, lists.join(heads, "shingle"), "headed-lists")
     edges = headed.select("left", F.col("doc").alias("right")).distinct()
     family = components(spark, edges)
     longest = headed.groupBy("doc").agg(
@@ -250,15 +248,26 @@ def tiles(spark: SparkSession, lists: DataFrame) -> DataFrame:
         family.withColumnRenamed("node", "doc")
         .join(sizes, "component")
         .join(longest, "doc")
-        .select(F.explode("shingles").alias("shingle"), "doc", F.xxhash64("component", of_list, of_doc).alias("bucket"), F.col("own").alias("component"))
+        .select(F.explode("shingles").alias("shingle"), "doc", "n", F.xxhash64("component", of_list, of_doc).alias("bucket"), F.col("own").alias("component"))
     )
-    placed = stored(spark, dealt, "dealt-lists")
-    others = placed.select("shingle", F.col("bucket").alias("other")).distinct()
-    return (
-        placed.join(others, "shingle")
-        .select(F.least("bucket", "other").alias("low"), F.greatest("bucket", "other").alias("high"), "doc", "bucket", "component")
-        .distinct()
+    return stored(spark, dealt, "dealt-lists")
+
+
+def tiles(spark: SparkSession, lists: DataFrame) -> DataFrame:
+    """low, high, doc, bucket, component: which documents to search in which tile.
+
+    A tile is two buckets (or one) with a list in common, and has the documents of those
+    lists. A list's buckets are one array, which each of its rows gets, so the join makes a row
+    for a row of the lists, however many buckets a list has. A document's equal arrays are one,
+    and only the tiles they name become rows: for a group of g documents at most g * (g / BLOCK).
+    """
+    placed = dealt_lists(spark, lists)
+    buckets = placed.groupBy("shingle").agg(F.array_sort(F.collect_set("bucket")).alias("others"))
+    met = placed.join(buckets, "shingle").groupBy("doc").agg(
+        F.max("bucket").alias("bucket"), F.max("component").alias("component"), F.collect_set("others").alias("others")
     )
+    sent = met.select("doc", "bucket", "component", F.explode(F.array_distinct(F.flatten("others"))).alias("other"))
+    return sent.select(F.least("bucket", "other").alias("low"), F.greatest("bucket", "other").alias("high"), "doc", "bucket", "component")
 
 
 def search_tiles(tiled: DataFrame, words: DataFrame) -> DataFrame:

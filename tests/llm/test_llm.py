@@ -2,6 +2,7 @@
 
 import base64
 import random
+import sys
 import struct
 from collections import Counter, defaultdict
 
@@ -123,6 +124,33 @@ def test_components(spark):
     assert got == {**{i: 0 for i in range(21)}, 100: 100, 101: 100, 103: 100, 50: 50}
 
 
+def test_components_of_random_edges_shrink(spark, monkeypatch):
+    module = sys.modules["carelake.llm.components"]
+    rng, sizes, plain = random.Random(8), [], module.stored
+
+    def counted(spark, frame, label):
+        out = plain(spark, frame, label)
+        sizes.append((label, out.count()))
+        return out
+
+    monkeypatch.setattr(module, "stored", counted)
+    edges = [(rng.randrange(400), rng.randrange(400)) for _ in range(3000)] + [(1000 + rng.randrange(90), 1000 + rng.randrange(90)) for _ in range(60)]
+    parent = {x: x for e in edges for x in e}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in edges:
+        x, y = sorted((root(a), root(b)))
+        parent[y] = x
+    got = dict(map(tuple, components(spark, spark.createDataFrame(edges, "left long, right long")).collect()))
+    assert got == {x: root(x) for x in parent}
+    read = [n for label, n in sizes if label == "edges"]
+    assert len(read) > 1 and read[-1] == 0 and sum(read[1:]) < read[0]
+
+
 def test_edit_fingerprints(spark, texts):
     docs = [(i, t or "") for i, t in enumerate(texts)]
     got = {r["doc_id"]: r for r in edit_fingerprints(frame(spark, texts).repartition(3)).collect()}

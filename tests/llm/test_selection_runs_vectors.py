@@ -310,6 +310,55 @@ def test_tiles_meet_every_pair_of_a_list(spark, monkeypatch):
                 assert (low, high, a) in held and (low, high, b) in held
 
 
+def join_rows(frame):
+    """Rows that each join of the frame's own plan makes."""
+    frame.collect()
+    found, left = [], [frame._jdf.queryExecution().executedPlan()]
+    while left:
+        node = left.pop()
+        kind = node.getClass().getSimpleName()
+        if "Join" in kind:
+            found.append(node.metrics().apply("numOutputRows").value())
+        if kind == "AdaptiveSparkPlanExec":
+            left.append(node.executedPlan())
+        elif kind.endswith("QueryStageExec"):
+            left.append(node.plan())
+        left += [node.children().apply(i) for i in range(node.children().size())]
+    return found
+
+
+def test_tiles_join_makes_no_more_rows_than_the_lists(spark, monkeypatch):
+    monkeypatch.setattr(ngram_jaccard, "BLOCK", 4)
+    given = [(s, d, 9, d) for s in range(20) for d in range(60)]
+    made = join_rows(ngram_jaccard.tiles(spark, spark.createDataFrame(given, "shingle long, doc long, n int, component long")))
+    assert made and max(made) <= len(given), made
+
+
+def test_leaders_of_all_bands_are_compared(spark):
+    from carelake.llm.edit_fingerprint import leader_links
+
+    rng = random.Random(5)
+    near, other = ("".join(rng.choice("0123456789abcdef") for _ in range(200)) for _ in range(2))
+    heads = spark.createDataFrame([(0, other), (1, near), (2, near[:-1] + "0")], "doc long, fingerprint string")
+    lists = spark.createDataFrame([(s, d, 0, d) for s, d in ((1, 0), (1, 2), (2, 0), (2, 2), (3, 1), (3, 2))], "shingle long, doc long, n int, component long")
+    assert {tuple(r) for r in leader_links(lists, heads, 0.8).collect()} == {(2, 1)}
+
+
+def test_bands_of_one_document_are_left_out(spark):
+    from carelake.llm.edit_fingerprint import band_keys, band_lists
+
+    rng = random.Random(6)
+    prints = ["".join(rng.choice("0123456789abcdef") for _ in range(200)) for _ in range(1000)]
+    prints += [p[:-1] for p in prints[:20]]
+    heads = spark.createDataFrame(list(enumerate(prints)), "doc long, fingerprint string")
+    owners, keys = band_keys(prints, 20, 8, 0.8)
+    found, counts = np.unique(keys, return_counts=True)
+    shared = set(found[counts > 1].view(np.int64).tolist())
+    wanted = {(int(k), int(o)) for o, k in zip(owners, keys.view(np.int64)) if int(k) in shared}
+    got = {(r.shingle, r.doc) for r in band_lists(spark, heads, 20, 8, 0.8).collect()}
+    assert wanted and wanted <= got and len(got - wanted) < 0.03 * len(keys), (len(wanted), len(got), len(keys))
+
+
 # --- memory of a worker
 
 
