@@ -270,6 +270,38 @@ def tiles(spark: SparkSession, lists: DataFrame) -> DataFrame:
     return sent.select(F.least("bucket", "other").alias("low"), F.greatest("bucket", "other").alias("high"), "doc", "bucket", "component")
 
 
+def linking_tiles(spark: SparkSession, lists: DataFrame) -> DataFrame:
+    """As tiles, for lists of banded shingles, without the documents that cannot link in a tile.
+
+    Of two linked sets of n and m, take the one whose first shingles end first in the shared
+    order: all it has in common with the other lies in both's first shingles or among its last
+    ceil(0.8 n) - 1. So the two share more than 0.8 / 1.8 * (n + m) - 0.8 * max(n, m) first shingles.
+    A document is sent to another bucket only if as many of its lists in one band have
+    documents of other components there, whose sizes lie between the least and greatest there.
+    """
+    placed = dealt_lists(spark, lists)
+    there = placed.groupBy("shingle", F.col("bucket").alias("other")).agg(
+        F.min("component").alias("first"), F.max("component").alias("last"), F.min("n").alias("least"), F.max("n").alias("most")
+    )
+    met = (
+        placed.join(there, "shingle")
+        .where("first <> component or last <> component")
+        .groupBy("doc", "n", "component", "bucket", "other", F.expr("shingle & 1").alias("parity"))
+        .agg(F.count("*").alias("shared"), F.min("least").alias("least"), F.max("most").alias("most"))
+    )
+    share = PERCENT / 100
+    needed = lambda m: share / (1 + share) * (F.col("n") + m) - share * F.greatest(F.col("n").cast("double"), m)
+    ends = F.least(needed(F.greatest("least", F.col("n") * share)), needed(F.least("most", F.col("n") / share)))
+    fits = f"100 * most >= {PERCENT} * n and {PERCENT} * least <= 100 * n"
+    kept = met.where(fits).where(F.col("shared") > ends - 0.01)  # for rounding
+    sent = kept.select(
+        F.least("bucket", "other").alias("low"), F.greatest("bucket", "other").alias("high"), "doc", "bucket", "component"
+    ).distinct()
+    sent = stored(spark, sent, "sent")
+    sides = sent.groupBy("low", "high").agg(F.min("bucket").alias("one"), F.max("bucket").alias("two"))
+    return sent.join(sides.where("one = low and two = high"), ["low", "high"], "left_semi")
+
+
 def search_tiles(tiled: DataFrame, words: DataFrame) -> DataFrame:
     """Links (left, right) that join components, found tile by tile: every document of one
     bucket is searched in the inverted lists of the other. The sets of the component most
@@ -326,7 +358,9 @@ def link_components(spark: SparkSession, sets: DataFrame) -> DataFrame:
     # stands in the lists of its band and of the next: a shingle's list holds no other sizes.
     band = F.floor(F.log(F.col("n").cast("double")) / log(100 / PERCENT))
     banded = heads.select(F.explode("first").alias("one"), "doc", "n").withColumn("band", F.explode(F.array(band, band + 1)))
-    lists = banded.select(F.xxhash64("one", "band").alias("shingle"), "doc", "n", F.col("doc").alias("component"))
+    # The last bit tells a document's two bands apart.
+    listed = F.shiftleft(F.xxhash64("one", "band"), 1) + F.pmod("band", F.lit(2))
+    lists = banded.select(listed.alias("shingle"), "doc", "n", F.col("doc").alias("component"))
     links = spark.createDataFrame([], "left long, right long")
     grouped = None
     for turn in range(TURNS):
@@ -335,7 +369,7 @@ def link_components(spark: SparkSession, sets: DataFrame) -> DataFrame:
         links = links.unionByName(stored(spark, search_blocks(spark, pairs, words), "leader-links"))
         grouped = components(spark, links)
     lists = stored(spark, open_lists(lists, grouped), "open-lists")
-    tiled = stored(spark, tiles(spark, lists), "tiles")
+    tiled = stored(spark, linking_tiles(spark, lists), "tiles")
     grouped = components(spark, links.unionByName(stored(spark, search_tiles(tiled, words), "tile-links")))
     placed = heads.join(grouped.withColumnRenamed("node", "doc"), "doc", "left").select(
         F.col("n").alias("n_shingles"), "a", "b", "doc_id", F.coalesce("component", "doc").alias("component")

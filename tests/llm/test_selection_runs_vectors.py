@@ -334,6 +334,14 @@ def test_tiles_join_makes_no_more_rows_than_the_lists(spark, monkeypatch):
     assert made and max(made) <= len(given), made
 
 
+def test_linking_tiles_leave_out_what_cannot_link(spark):
+    # Sets of 100 that link share at least 9 of their first shingles, of 100 and 80 at least one.
+    given = [(2 * s, d, 100, d) for s in range(10) for d in (1, 2)] + [(100 + 2 * s, d, 100, d) for s in range(8) for d in (3, 4)]
+    given += [(200, 5, 100, 5), (200, 6, 80, 6)]
+    tiled = ngram_jaccard.linking_tiles(spark, spark.createDataFrame(given, "shingle long, doc long, n int, component long"))
+    assert {r.doc for r in tiled.collect()} == {1, 2, 5, 6}
+
+
 def test_leaders_of_all_bands_are_compared(spark):
     from carelake.llm.edit_fingerprint import leader_links
 
