@@ -29,14 +29,14 @@ from math import ceil, log
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StructField, StructType
 
 from carelake.llm import sketch
 from carelake.llm.common import keyed, small_batches, stored, table
 from carelake.llm.components import components
-from carelake.llm.ngram_jaccard import open_lists, tiles
+from carelake.llm.ngram_jaccard import tiles
 from carelake.llm.wordhash import mixed
 
 CLASSES, PERIOD, SEED = 64, 4096, 5
@@ -305,8 +305,9 @@ def digest(fingerprint: str) -> Column:
     return F.md5(F.col(fingerprint))
 
 
-def band_lists(spark: SparkSession, heads: DataFrame, bands: int, digits: int, least: float) -> DataFrame:
-    """shingle (a band's key), doc, n, component, of bands that more than one document has.
+def banded_heads(spark: SparkSession, heads: DataFrame, bands: int, digits: int, least: float) -> DataFrame:
+    """doc, fingerprint, reach (weight of its digits) and shingles (keys of its bands that
+    more than one document has) of the documents with any: what follows moves no others.
     A sketch of all keys leaves out most that one document alone has, and a second one of
     those that pass, by another hash, nearly all the others."""
     width = sketch.width_for(heads.count() * bands * 3, most=MOST_CELLS)
@@ -327,21 +328,42 @@ def band_lists(spark: SparkSession, heads: DataFrame, bands: int, digits: int, l
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            owners, keys = band_keys(batch.column("fingerprint").to_pylist(), bands, digits, least)
+            prints = batch.column("fingerprint").to_pylist()
+            owners, keys = band_keys(prints, bands, digits, least)
+            reach = REACH[digit_rows(prints)[1]]
             often = sketch.estimated_twice(bits.value, width, keys)
             often &= sketch.estimated_twice(again.value, narrow, mixed(keys, 3))
-            docs = batch.column("doc").take(pa.array(owners[often]))
-            yield pa.RecordBatch.from_arrays([pa.array(keys[often].view(np.int64)), docs], ["shingle", "doc"])
+            owners, keys = owners[often], keys[often].view(np.int64)
+            order = np.argsort(owners, kind="stable")
+            some, starts = np.unique(owners[order], return_index=True)
+            shingles = pa.ListArray.from_arrays(pa.array([*starts, len(owners)], pa.int32()), pa.array(keys[order], pa.int64()))
+            columns = [batch.column(c).take(pa.array(some, pa.int64())) for c in ("doc", "fingerprint")]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(reach[some]), shingles], ["doc", "fingerprint", "reach", "shingles"])
 
-    lists = heads.select("doc", "fingerprint").mapInArrow(spread, "shingle long, doc long")
-    return stored(spark, lists.select("shingle", "doc", F.lit(0).alias("n"), F.col("doc").alias("component")), "bands")
+    fields = "doc long, fingerprint string, reach double, shingles array<long>"
+    return stored(spark, heads.select("doc", "fingerprint").mapInArrow(spread, fields), "bands")
 
 
-def leader_links(lists: DataFrame, heads: DataFrame, least: float) -> DataFrame:
-    """Links (left, right) of every document with the leaders of its bands: at most a pair
-    for a row of the lists. A band's leader is its smallest document."""
-    leaders = lists.groupBy("shingle").agg(F.min("doc").alias("leader"))
-    pairs = lists.join(leaders, "shingle").where("doc > leader").select("doc", "leader").distinct()
+def band_lists(spark: SparkSession, heads: DataFrame, bands: int, digits: int, least: float) -> DataFrame:
+    """shingle (a band's key), doc, n, component, reach, of bands that more than one document has."""
+    return lists_of(banded_heads(spark, heads, bands, digits, least))
+
+
+def lists_of(banded: DataFrame) -> DataFrame:
+    return banded.select(F.explode("shingles").alias("shingle"), "doc", F.lit(0).alias("n"), F.col("doc").alias("component"), "reach")
+
+
+def led_lists(lists: DataFrame) -> DataFrame:
+    """The lists of more than one document, each row with its list's leader, the smallest
+    document, and most, the greatest reach there."""
+    leaders = lists.groupBy("shingle").agg(F.min("doc").alias("leader"), F.max("doc").alias("last"), F.max("reach").alias("most"))
+    return lists.join(leaders.where("leader < last").drop("last"), "shingle")
+
+
+def leader_distances(led: DataFrame, heads: DataFrame, least: float) -> DataFrame:
+    """doc, leader, far (weight of the digits in which they differ), alike: every document
+    with the leaders of its lists, at most a pair for a row of the lists."""
+    pairs = led.where("doc > leader").select("doc", "leader").distinct()
     named = heads.select(F.col("doc").alias("leader"), F.col("fingerprint").alias("lead_print"))
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -349,11 +371,56 @@ def leader_links(lists: DataFrame, heads: DataFrame, least: float) -> DataFrame:
             pairs = zip(batch.column("fingerprint").to_pylist(), batch.column("lead_print").to_pylist())
             made = [digit_rows(list(pair)) for pair in pairs]
             alike = [bool(alike_rows(rows[0], n[0], rows[1:], n[1:], least)[0]) for rows, n in made]
-            links = pa.RecordBatch.from_arrays([batch.column("doc"), batch.column("leader")], ["left", "right"])
-            yield links.filter(pa.array(alike, pa.bool_()))
+            far = [float(WEIGHT[: rows.shape[1]] @ (rows[0] != rows[1])) for rows, _ in made]
+            columns = [batch.column("doc"), batch.column("leader"), pa.array(far, pa.float64()), pa.array(alike, pa.bool_())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc", "leader", "far", "alike"])
 
     both = pairs.join(heads.select("doc", "fingerprint"), "doc").join(named, "leader")
-    return both.select("doc", "leader", "fingerprint", "lead_print").mapInArrow(verify, "left long, right long")
+    fields = "doc long, leader long, far double, alike boolean"
+    return both.select("doc", "leader", "fingerprint", "lead_print").mapInArrow(verify, fields)
+
+
+def leader_links(lists: DataFrame, heads: DataFrame, least: float) -> DataFrame:
+    """Links (left, right) of every document with the leaders of its bands: at most a pair
+    for a row of the lists. A band's leader is its smallest document."""
+    led = led_lists(lists.withColumn("reach", F.lit(0.0)))  # which only near_lists needs
+    return alike_pairs(leader_distances(led, heads, least))
+
+
+def alike_pairs(distances: DataFrame) -> DataFrame:
+    return distances.where("alike").select(F.col("doc").alias("left"), F.col("leader").alias("right"))
+
+
+def near_lists(led: DataFrame, distances: DataFrame, grouped: DataFrame, least: float) -> DataFrame:
+    """shingle, doc, n, component: the led lists, cut into those that may still have a link
+    between components.
+
+    The weight of the digits in which two fingerprints differ, a missing one being a digit of
+    its own, is a distance, and alike ones are at most (1 - least) * most apart. So by the
+    triangle inequality the distances of two alike ones from their leader differ by no more.
+    A list's rows are counted in rings around its leader, FINE of them in that difference. A
+    ring stays if rings of another component are within reach of it, and where the next one
+    that stays is out of reach a new list begins. No alike pair of two components is parted.
+    """
+    named = grouped.select(F.col("node").alias("doc"), F.col("component").alias("now"))
+    span = F.col("most") * (1 - least) * (1 + 1e-6)  # for rounding
+    rows = (
+        led.join(named, "doc", "left")
+        .join(distances.select("doc", "leader", "far"), ["doc", "leader"], "left")
+        .select(
+            "shingle", "doc", "n", F.coalesce("now", "component").alias("component"),
+            F.floor(F.coalesce("far", F.lit(0.0)) / span * FINE).alias("ring"),  # of the leader 0
+        )
+    )
+    rings = rows.groupBy("shingle", "ring").agg(F.min("component").alias("first"), F.max("component").alias("last"))
+    order = Window.partitionBy("shingle").orderBy("ring")  # of at most FINE / (1 - least) + 1 rows
+    reach = order.rangeBetween(-FINE, FINE)
+    kept = rings.select("shingle", "ring", F.min("first").over(reach).alias("low"), F.max("last").over(reach).alias("high")).where("low < high")
+    begins = F.col("ring") - F.lag("ring").over(order) > FINE
+    parts = kept.withColumn("begins", begins.cast("int")).select(
+        "shingle", "ring", F.coalesce(F.sum("begins").over(order), F.lit(0)).alias("part")
+    )
+    return rows.join(parts, ["shingle", "ring"]).select(F.xxhash64("shingle", "part").alias("shingle"), "doc", "n", "component")
 
 
 def tile_links(tiled: DataFrame, heads: DataFrame, least: float) -> DataFrame:
@@ -387,6 +454,7 @@ CHANCE = 0.17  # share of digits in which unlike texts agree, as bands of 6 to 9
 # Unlike fingerprints that one meets by chance. From about one on, the chance meetings alone connect
 # most fingerprints to one family of tiles, which takes more rounds the larger the table is.
 MET = 0.25
+FINE = 8  # rings around a leader within the distance of alike ones
 
 
 def band_plan(n: int, least: float = LEAST) -> tuple[int, int]:
@@ -407,8 +475,9 @@ def near_classes(spark: SparkSession, prints: DataFrame, bands: int | None, digi
 
     Equal fingerprints are one document here. First each is compared with the leaders of its
     bands, which joins nearly all near copies in a number of pairs that is linear in their bands; then all that
-    share a band and are still in different components, in tiles of two buckets. So every
-    pair with a band in common is verified or already in one class.
+    share a band, are still in different components and are not kept apart by their distances
+    from the band's leader, in tiles of two buckets. So every pair with a band in common is
+    verified, already in one class or known not to be alike.
     """
     some = prints.where("doc_id is not null and fingerprint is not null")
     heads = some.groupBy("fingerprint").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("size"))
@@ -416,15 +485,17 @@ def near_classes(spark: SparkSession, prints: DataFrame, bands: int | None, digi
     heads = stored(spark, heads.withColumn("doc", F.monotonically_increasing_id()), "print-heads")
     if not bands or not digits:
         bands, digits = band_plan(heads.count(), least)
-    lists = stored(spark, open_lists(band_lists(spark, heads, bands, digits, least), None), "open-lists")
-    links = stored(spark, leader_links(lists, heads, least), "leader-links")
-    grouped = components(spark, links)
-    lists = stored(spark, open_lists(lists, grouped), "open-lists")
+    banded = banded_heads(spark, heads, bands, digits, least)
+    led = stored(spark, led_lists(lists_of(banded)), "led-lists")
+    distances = stored(spark, leader_distances(led, banded, least), "leader-distances")
+    grouped = components(spark, alike_pairs(distances))
+    lists = stored(spark, near_lists(led, distances, grouped, least), "near-lists")
     tiled = stored(spark, tiles(spark, lists), "tiles")
     joined = grouped.select(F.col("component").alias("left"), F.col("node").alias("right"))
-    grouped = components(spark, joined.unionByName(stored(spark, tile_links(tiled, heads, least), "tile-links")))
-    named = heads.join(grouped.withColumnRenamed("node", "doc"), "doc", "left").select(
-        digest("fingerprint").alias("doc"), "first_id", "size", F.coalesce("component", "doc").alias("component")
+    grouped = components(spark, joined.unionByName(stored(spark, tile_links(tiled, banded, least), "tile-links")))
+    short = heads.select("doc", digest("fingerprint").alias("digest"), "first_id", "size")
+    named = short.join(grouped.withColumnRenamed("node", "doc"), "doc", "left").select(
+        F.col("digest").alias("doc"), "first_id", "size", F.coalesce("component", "doc").alias("component")
     )
     classes = named.groupBy("component").agg(F.min("first_id").alias("near_class"), F.sum("size").alias("near_class_size"))
     return stored(spark, named.join(classes.where("near_class_size > 1"), "component").select("doc", "near_class", "near_class_size"), "near-classes")

@@ -2,6 +2,7 @@
 
 import random
 import tracemalloc
+from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
@@ -367,6 +368,57 @@ def test_bands_of_one_document_are_left_out(spark):
     assert wanted and wanted <= got and len(got - wanted) < 0.03 * len(keys), (len(wanted), len(got), len(keys))
 
 
+def test_lists_lose_no_alike_pair_of_two_components(spark):
+    from carelake.llm.edit_fingerprint import REACH, alike_rows, digit_rows, leader_distances, led_lists, near_lists
+
+    rng = random.Random(8)
+    base = "".join(rng.choice("0123456789abcdef") for _ in range(260))
+    changed = lambda share: "".join(rng.choice("0123456789abcdef") if rng.random() < share else c for c in base)
+    prints = [changed(rng.choice((0.02, 0.1, 0.13, 0.5, 0.8)))[: rng.choice((256, 258, 260))] for _ in range(80)]
+    rows, n = digit_rows(prints)
+    alike = {(i, k) for i in range(80) for k in range(i + 1, 80) if alike_rows(rows[i], n[i], rows[k : k + 1], n[k : k + 1], 0.8)[0]}
+    held = {s: rng.sample(range(80), rng.randrange(1, 12)) for s in range(120)}
+    given = [(s, d, 0, d, float(REACH[n[d]])) for s, docs in held.items() for d in docs]
+    lists = spark.createDataFrame(given, "shingle long, doc long, n int, component long, reach double")
+    heads = spark.createDataFrame(list(enumerate(prints)), "doc long, fingerprint string")
+    of = {d: d // 2 * 2 for d in range(30)}  # components so far, of two documents each
+    grouped = spark.createDataFrame(list(of.items()), "node long, component long")
+    led = led_lists(lists)
+    got = near_lists(led, leader_distances(led, heads, 0.8), grouped, 0.8).collect()
+    left = defaultdict(set)
+    for r in got:
+        left[r.shingle].add(r.doc)
+        assert r.component == of.get(r.doc, r.doc)
+    together = lambda lists: {(a, b) for docs in lists for a in docs for b in docs if a < b and of.get(a, a) != of.get(b, b)}
+    wanted = together(held.values()) & alike
+    assert len(wanted) > 50 and wanted <= together(left.values())
+    assert len(got) == sum(map(len, left.values())) < 0.9 * len(given), (len(got), len(given))
+
+
+def test_copies_that_an_unlike_one_meets_are_not_searched_again(spark, monkeypatch):
+    """All copies are near their leader and the unlike one is far from it, so no tile is needed."""
+    from carelake.llm import edit_fingerprint
+    from carelake.llm.edit_fingerprint import near_duplicates
+
+    rng = random.Random(9)
+    base = "".join(rng.choice("0123456789abcdef") for _ in range(260))
+    copies = [base[: 250 - i] + "0" * 3 + base[253 - i :] for i in range(20)]
+    unlike = "".join(c if rng.random() < 0.5 else "0" for c in base)
+    sizes = defaultdict(list)
+    kept = edit_fingerprint.stored
+
+    def counted(spark, frame, label):
+        out = kept(spark, frame, label)
+        sizes[label].append(out.count())
+        return out
+
+    monkeypatch.setattr(edit_fingerprint, "stored", counted)
+    prints = spark.createDataFrame(list(enumerate([base, *copies, unlike])), "doc_id long, fingerprint string")
+    found = near_duplicates(spark, prints, bands=20, digits=2).collect()
+    assert {tuple(r) for r in found} == {(i, 0) for i in range(1, 21)}
+    assert sizes["bands"][0] > 0 and sizes["tiles"] == [0], dict(sizes)
+
+
 # --- memory of a worker
 
 
