@@ -3,12 +3,14 @@
 A document is the set of its distinct 5-word shingles. Two link when
 100 * intersection >= 80 * union.
 
-1. One shared order of shingles puts those that a sketch of all shingles shows to occur
-   once first, the others by the hash of their least word and then by their own, so that
-   the first shingles come from few passages. Similar sets must share one of their first
-   n - ceil(0.8 n) + 1 shingles in any shared order, and a shingle that occurs once has no
-   partner: a document with enough shingles of its own has no candidates at all, and
-   passages that thousands of otherwise different documents share make none.
+1. One shared order of shingles puts those that occur once first, the others by the hash of
+   their least word and then by their own, so that the first shingles come from few
+   passages. Similar sets must share one of their first n - ceil(0.8 n) + 1 shingles in any
+   shared order, and a shingle that occurs once has no partner: a document with enough
+   shingles of its own has no candidates at all, and passages that thousands of otherwise
+   different documents share make none. Such documents go first: some of all shingles meet
+   their like in a shuffle, at any size of the table, then all shingles of one set of each
+   class that is left. What remains has its first shingles from a sketch of bounded width.
 2. Equal sets are one class with one representative.
 3. Candidates are searched in blocks: a query and the sets that share one of its first
    shingles. In a block the query's inverted lists are divided: the short ones are
@@ -34,14 +36,17 @@ from math import log, log2
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StructField, StructType
 
 from carelake.llm import sketch
 from carelake.llm.common import keyed, small_batches, stored, table
 from carelake.llm.components import components
-from carelake.llm.wordhash import WordHasher, canonical, pieces, sliding_min
+from carelake.llm.wordhash import WordHasher, canonical, mixed, pieces, sliding_min
 
 SIZE = 5  # words of a shingle
 PERCENT = 80
@@ -50,6 +55,9 @@ BLOCK_SHINGLES = 400_000  # their sets and inverted lists take about 100 MB
 TURNS = 1  # of leaders; every pair that they leave open is searched afterwards
 WORD_BYTES = 6  # bytes of a word and its blank; sets the sketch's width
 MOST_CELLS = 1 << 28  # one row of 32 MB of bits
+SHARE = 0.3  # of the shingles that are met by hash: more than first shingles are
+CHUNK, SHARD = 1_000_000, 2_000_000  # shingles sent together, and met together in a task
+SEVERAL = 0xFFFF  # instead of the number of a set, and most sets of a chunk
 ANCHOR_BITS = np.uint64(16)  # first bits of a shingle's hash, from its least word: neighbours stay together
 ANCHOR = ~(~np.uint64(0) >> ANCHOR_BITS)
 MU = 0.0085  # weight of a probe against a merge step in the number of long lists
@@ -76,8 +84,9 @@ def all_sets(texts: list[bytes]) -> list[np.ndarray]:
     return [s for first, last in pieces(texts) for s in shingle_sets(hasher, texts[first:last])]
 
 
-def plain(text: str | None) -> bytes:
-    return canonical(text).lower()  # of bytes: A-Z alone
+def plain(text: str | bytes | None) -> bytes:
+    """The words of a text; bytes are words already."""
+    return text if isinstance(text, bytes) else canonical(text).lower()  # of bytes: A-Z alone
 
 
 def first_shingles(shingles: np.ndarray, often: np.ndarray) -> np.ndarray:
@@ -126,49 +135,192 @@ class Index:
         return found
 
 
-def document_sets(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, set digest (a, b), first shingles, and the words of documents
-    that have any first shingle with a possible partner."""
+def chunk_entries(sets: list[np.ndarray], share: float, shards: int) -> Iterator[tuple[int, bytes, bytes]]:
+    """(place, what is left of the hash, number of the set) of this share of the shingles. One that
+    several of the sets have comes once, without a set: it is met again, whatever others hold."""
+    hashes, owner = mixed(np.concatenate(sets), 3), np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    some = (hashes & np.uint64(255)) < np.uint64(round(256 * share))
+    order = np.argsort(hashes[some], kind="stable")
+    hashes, owner = hashes[some][order], owner[some][order]
+    new = np.ones(len(hashes) + 1, bool)
+    new[1:-1] = hashes[1:] != hashes[:-1]
+    owner = np.where(new[1:], owner, SEVERAL)[new[:-1]].astype("<u2")
+    hashes = hashes[new[:-1]]
+    places = (hashes >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)
+    left = (hashes >> np.uint64(8)).astype("<u4")  # bits that neither share nor place follow
+    found, starts = np.unique(places, return_index=True)
+    for place, first, last in zip(found.tolist(), starts, [*starts[1:], len(places)]):
+        yield place, left[first:last].tobytes(), owner[first:last].tobytes()
+
+
+def met_once(entries: list[tuple[int, bytes, bytes]]) -> tuple[list[int], list[bytes]]:
+    """Of all entries (chunk, hashes, sets) of a place: the chunks, and the sets of the hashes that one set alone has."""
+    hashes = np.concatenate([np.frombuffer(h, "<u4") for _, h, _ in entries])
+    owner = np.concatenate([np.frombuffer(s, "<u2") for _, _, s in entries])
+    order = np.argsort(hashes, kind="stable")
+    change = np.ones(len(hashes) + 1, bool)
+    change[1:-1] = hashes[order[1:]] != hashes[order[:-1]]
+    once = np.sort(order[change[1:] & change[:-1]])
+    once = once[owner[once] != SEVERAL]
+    cuts = np.searchsorted(once, np.cumsum([len(s) // 2 for _, _, s in entries])[:-1])
+    return [chunk for chunk, _, _ in entries], [owner[part].tobytes() for part in np.split(once, cuts)]
+
+
+def open_sets(spark: SparkSession, texts: DataFrame, share: float) -> DataFrame:
+    """doc_id, n_shingles, set digest (a, b), and whether another of these texts (doc_id, text) may link.
+
+    The order here puts the shingles of this share of all (by hash) that one text alone has before
+    all others. A text with as many of them as its first shingles links with nothing. Nothing is
+    held or sent in one piece: chunks of texts send six bytes a shingle, by hash, to the place that
+    meets all its like, and get two for each shingle that they alone have.
+    """
     small_batches(spark)
-    texts = docs.select("doc_id", "text")
     size = texts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    shards = int(share * size / WORD_BYTES / SHARD) + 1
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher, chunk = WordHasher(), TaskContext.get().partitionId() << 33
+        held, ids, size = [], [], 0
+
+        def cut() -> Iterator[pa.RecordBatch]:
+            nonlocal chunk
+            names = pa.concat_arrays(ids)
+            for first in range(0, len(held), SEVERAL):
+                sets = held[first : first + SEVERAL]
+                digests = b"".join(xxhash.xxh3_128_digest(s.tobytes()) for s in sets)
+                counts = np.array([len(s) for s in sets], "<i8").tobytes()
+                rows = [(-1 - chunk % shards, counts, digests), *chunk_entries(sets, share, shards)]
+                own = names.slice(first, len(sets))
+                heads = pa.ListArray.from_arrays(pa.array([0] + [len(own)] * len(rows), pa.int32()), own)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([r[0] for r in rows], pa.int32()), pa.array([chunk] * len(rows), pa.int64()), heads]
+                    + [pa.array([r[k] for r in rows], pa.binary()) for k in (1, 2)],
+                    ["place", "chunk", "ids", "left", "owners"],
+                )
+                chunk += 1
+
+        for batch in batches:
+            words = [plain(t.as_py()) for t in batch.column("text")]
+            for first, last in pieces(words):
+                sets = shingle_sets(hasher, words[first:last])
+                held += sets
+                ids.append(batch.column("doc_id").slice(first, last - first))
+                size += sum(map(len, sets))
+                if size > CHUNK:
+                    yield from cut()
+                    held, ids, size = [], [], 0
+        if held:
+            yield from cut()
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["chunk", "ids", "left", "owners"]
+        kind = None
+
+        def answer(entries: list) -> pa.RecordBatch:
+            chunks, owners = met_once(entries)
+            none = [pa.nulls(len(chunks), kind), pa.nulls(len(chunks), pa.binary())]
+            return pa.RecordBatch.from_arrays([pa.array(chunks, pa.int64()), *none, pa.array(owners, pa.binary())], names)
+
+        place, entries = None, []
+        for batch in batches:
+            kind = batch.column("ids").type
+            places = batch.column("place").to_pylist()
+            heads = sum(p < 0 for p in places)  # they come first
+            if heads:
+                yield pa.RecordBatch.from_arrays([batch.column(n).slice(0, heads) for n in names], names)
+            rows = zip(places[heads:], *(batch.column(n).slice(heads).to_pylist() for n in ("chunk", "left", "owners")))
+            for now, *entry in rows:
+                if now != place and entries:
+                    yield answer(entries)
+                    entries = []
+                place = now
+                entries.append(entry)
+        if entries:
+            yield answer(entries)
+
+    def decide(chunk: pa.Table) -> pa.Table:
+        head = pc.is_valid(chunk.column("left"))
+        given = chunk.filter(head)
+        ids = pa.concat_arrays([x.flatten() for x in given.column("ids").chunks])
+        n = np.frombuffer(given.column("left")[0].as_py(), "<i8")
+        halves = np.frombuffer(given.column("owners")[0].as_py(), "<i8").reshape(-1, 2)
+        own = np.frombuffer(b"".join(chunk.filter(pc.invert(head)).column("owners").to_pylist()), "<u2")
+        first = n + (-PERCENT * n // 100) + 1
+        may = (n > 0) & (np.bincount(own, minlength=len(n)) < first)
+        columns = [ids, pa.array(n), pa.array(halves[:, 0]), pa.array(halves[:, 1]), pa.array(may)]
+        return pa.Table.from_arrays(columns, ["doc_id", "n_shingles", "a", "b", "open"])
+
+    listed = StructField("ids", ArrayType(texts.schema["doc_id"].dataType))
+    sent = StructType([*StructType.fromDDL("place int, chunk long"), listed, *StructType.fromDDL("left binary, owners binary")])
+    parts = max(shards, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    met = texts.select("doc_id", "text").mapInArrow(send, sent).repartition(parts, "place").sortWithinPartitions("place")
+    answers = met.mapInArrow(meet, StructType([f for f in sent if f.name != "place"]))
+    decided = answers.groupBy("chunk").applyInArrow(decide, keyed(texts, "n_shingles long, a long, b long, open boolean"))
+    return stored(spark, decided, "shingle-sets")
+
+
+def of_ids(spark: SparkSession, frame: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of the frame whose id (the first column, as in ids) is among ids, and a few others.
+    Tasks get a sketch of the ids, so that no row of the frame is moved."""
+    width = sketch.width_for(ids.count(), most=MOST_CELLS)
+    hashed = lambda column: np.asarray(column).view(np.uint64)
+    every = lambda batches: (hashed(batch.column(0)).repeat(2) for batch in batches)
+    bits = spark.sparkContext.broadcast(sketch.repeated(ids.select(F.xxhash64(ids.columns[0])), every, width, 1))
+
+    def among(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            met = sketch.estimated_twice(bits.value, width, hashed(batch.column("hashed")))
+            yield batch.drop_columns(["hashed"]).filter(pa.array(met))
+
+    return frame.withColumn("hashed", F.xxhash64(frame.columns[0])).mapInArrow(among, frame.schema)
+
+
+def sets_of(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, set digest (a, b) and the words of documents (doc_id, text)."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher = WordHasher()
+        for batch in batches:
+            words = [plain(t.as_py()) for t in batch.column("text")]
+            for first, last in pieces(words):
+                sets = shingle_sets(hasher, words[first:last])
+                digests = b"".join(xxhash.xxh3_128_digest(s.tobytes()) for s in sets)
+                halves = np.frombuffer(digests, "<i8").reshape(-1, 2)
+                numbers = [pa.array([len(s) for s in sets], pa.int64()), pa.array(halves[:, 0]), pa.array(halves[:, 1])]
+                columns = [batch.column("doc_id").slice(first, last - first), *numbers, pa.array(words[first:last], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "a", "b", "words"])
+
+    return docs.select("doc_id", "text").mapInArrow(rows, keyed(docs, "n_shingles long, a long, b long, words binary"))
+
+
+def with_first(spark: SparkSession, heads: DataFrame) -> DataFrame:
+    """doc, n and the first shingles that may have a partner, of sets (doc, n, words)."""
+    size = heads.agg(F.coalesce(F.sum(F.octet_length("words")), F.lit(0))).first()[0]
     width = sketch.width_for(size // WORD_BYTES, 1, MOST_CELLS)
 
     def every(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
         hasher = WordHasher()
         for batch in batches:
-            words = [plain(t.as_py()) for t in batch.column(0)]
+            words = batch.column(0).to_pylist()
             for first, last in pieces(words):
                 yield np.concatenate(shingle_sets(hasher, words[first:last]))
 
-    bits = spark.sparkContext.broadcast(sketch.repeated(texts.select("text"), every, width, 1))
+    bits = spark.sparkContext.broadcast(sketch.repeated(heads.select("words"), every, width, 1))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher()
         for batch in batches:
-            words = [plain(t.as_py()) for t in batch.column("text")]
+            words = batch.column("words").to_pylist()
             for first, last in pieces(words):
-                part = words[first:last]
-                sets = shingle_sets(hasher, part)
+                sets = shingle_sets(hasher, words[first:last])
                 flat = sketch.estimated_twice(bits.value, width, np.concatenate(sets))
                 often = np.split(flat, np.cumsum([len(s) for s in sets])[:-1])
-                start = [first_shingles(s, o) for s, o in zip(sets, often)]
-                digests = b"".join(xxhash.xxh3_128_digest(s.tobytes()) for s in sets)
-                halves = np.frombuffer(digests, "<i8").reshape(-1, 2)
+                start = pa.array([first_shingles(s, o).view(np.int64) for s, o in zip(sets, often)], pa.list_(pa.int64()))
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column("doc_id").slice(first, last - first),
-                        pa.array([len(s) for s in sets], pa.int64()),
-                        pa.array(halves[:, 0]),
-                        pa.array(halves[:, 1]),
-                        pa.array([s.view(np.int64) for s in start], pa.list_(pa.int64())),
-                        pa.array([w if len(s) else None for w, s in zip(part, start)], pa.binary()),
-                    ],
-                    ["doc_id", "n_shingles", "a", "b", "first", "words"],
+                    [*(batch.column(k).slice(first, last - first) for k in ("doc", "n")), start], ["doc", "n", "first"]
                 )
 
-    fields = "n_shingles long, a long, b long, first array<long>, words binary"
-    return stored(spark, texts.mapInArrow(rows, keyed(docs, fields)), "shingle-sets")
+    return stored(spark, heads.select("doc", "n", "words").mapInArrow(rows, "doc long, n long, first array<long>"), "first-shingles")
 
 
 def blocks(documents: Column, shingles: Column) -> Column:
@@ -340,20 +492,23 @@ def search_tiles(tiled: DataFrame, words: DataFrame) -> DataFrame:
     return tiled.join(words.select("doc", "words"), "doc").groupBy("low", "high").applyInArrow(search, "left long, right long")
 
 
-def link_components(spark: SparkSession, sets: DataFrame) -> DataFrame:
-    """component_id of every class (n_shingles, a, b) of equal sets: the smallest doc_id
+def link_components(spark: SparkSession, sets: DataFrame, docs: DataFrame) -> DataFrame:
+    """component_id of every class (n_shingles, a, b) of equal open sets: the smallest doc_id
     of the classes that its links reach. A class is searched under a number of its own, so
     different texts under one id are different documents."""
-    some = sets.where("doc_id is not null and size(first) > 0")
     key = ["n_shingles", "a", "b"]
-    classes = some.groupBy(*key).agg(F.min("doc_id").alias("first_id"))
+    classes = sets.where("doc_id is not null and open").groupBy(*key).agg(F.min("doc_id").alias("first_id"))
     # Numbered in the order of their first ids: of a group of copies the original is mostly
     # the first, and so leads the others.
     ordered = classes.repartitionByRange("first_id").sortWithinPartitions("first_id", *key)
     numbered = stored(spark, ordered.withColumn("doc", F.monotonically_increasing_id()), "class-numbers")
-    found = some.join(numbered, key).where("doc_id = first_id").dropDuplicates(["doc"])
-    heads = stored(spark, found.select("doc", F.col("n_shingles").alias("n"), "a", "b", "doc_id", "first", "words"), "set-classes")
-    words = heads.select("doc", "n", "words")
+    texts = of_ids(spark, docs.select("doc_id", "text"), numbered.select("first_id"))
+    found = sets_of(texts).join(numbered, key).where("doc_id = first_id").dropDuplicates([*key, "doc_id"])
+    words = stored(spark, found.select("doc", F.col("n_shingles").alias("n"), "words"), "set-classes")
+    # Among one set of each class, originals of exact copies have shingles of their own again.
+    again = open_sets(spark, words.select(F.col("doc").alias("doc_id"), F.col("words").alias("text")), 1)
+    words = stored(spark, of_ids(spark, words, again.where("open").select("doc_id")), "open-classes")
+    heads = with_first(spark, words)
     # Sets that can link have sizes in the same band or in neighbouring ones, so each set
     # stands in the lists of its band and of the next: a shingle's list holds no other sizes.
     band = F.floor(F.log(F.col("n").cast("double")) / log(100 / PERCENT))
@@ -371,11 +526,11 @@ def link_components(spark: SparkSession, sets: DataFrame) -> DataFrame:
     lists = stored(spark, open_lists(lists, grouped), "open-lists")
     tiled = stored(spark, linking_tiles(spark, lists), "tiles")
     grouped = components(spark, links.unionByName(stored(spark, search_tiles(tiled, words), "tile-links")))
-    placed = heads.join(grouped.withColumnRenamed("node", "doc"), "doc", "left").select(
-        F.col("n").alias("n_shingles"), "a", "b", "doc_id", F.coalesce("component", "doc").alias("component")
+    placed = numbered.join(grouped.withColumnRenamed("node", "doc"), "doc", "left").select(
+        *key, "first_id", F.coalesce("component", "doc").alias("component")
     )
-    least = placed.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    return placed.join(least, "component").select("n_shingles", "a", "b", "component_id")
+    least = placed.groupBy("component").agg(F.min("first_id").alias("component_id"))
+    return placed.join(least, "component").select(*key, "component_id")
 
 
 def ngram_jaccard(spark: SparkSession, docs: DataFrame) -> DataFrame:
@@ -388,12 +543,12 @@ def ngram_jaccard(spark: SparkSession, docs: DataFrame) -> DataFrame:
     several times; with other words they are separate documents, each with its own links. Ids are whole numbers. Extra columns are ignored; an empty table gives
     an empty result.
     """
-    sets = document_sets(spark, docs)
+    sets = open_sets(spark, docs.select("doc_id", "text"), SHARE)
     key = ["n_shingles", "a", "b"]
-    linked = F.col("doc_id").isNotNull() & (F.size("first") > 0)
+    linked = F.col("doc_id").isNotNull() & F.col("open")
     return (
         sets.select("doc_id", *key, linked.alias("linked"))
-        .join(link_components(spark, sets), key, "left")
+        .join(link_components(spark, sets, docs), key, "left")
         .select("doc_id", "n_shingles", F.when(F.col("linked"), F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
     )
 

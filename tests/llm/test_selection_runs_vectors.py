@@ -481,3 +481,52 @@ def test_fingerprints_position_by_position():
         agree = sum(x == y for x, y in zip(a, b)) / max(len(a), len(b))
         (_, _, one), (_, _, two) = fingerprints([base, other])
         assert likeness(one, two) == pytest.approx(agree, abs=0.12)
+
+
+# --- documents of the n-gram Jaccard join that link with nothing
+
+
+def test_ngram_jaccard_lists_hold_near_copies_alone_beyond_the_sketch(spark, monkeypatch):
+    """However full the bounded sketch is, documents with shingles of their own make no rows."""
+    seen, given = [], ngram_jaccard.open_lists
+
+    def counted(lists, grouped):
+        seen.append(lists.count())
+        return given(lists, grouped)
+
+    monkeypatch.setattr(ngram_jaccard, "open_lists", counted)
+    monkeypatch.setattr(ngram_jaccard, "MOST_CELLS", 1 << 16)
+    rng = random.Random(31)
+    docs = [[f"w{rng.randrange(10**6)}" for _ in range(1000)] for _ in range(300)]
+    docs += [docs[0], docs[1][:-1] + ["x"], docs[1][:-3] + ["y"]]
+    got = ngram_jaccard.ngram_jaccard(spark, frame(spark, [" ".join(d) for d in docs]).repartition(3))
+    expected = [*((i, i) for i in range(300)), (300, 0), (301, 1), (302, 1)]
+    assert rows(got, "doc_id", "component_id") == sorted(expected, key=repr)
+    assert 0 < seen[0] < 2 * 3 * 201 + 10, seen
+
+
+@pytest.mark.parametrize("share", [0.3, 1])
+def test_open_sets_against_plain_counts(spark, monkeypatch, share):
+    monkeypatch.setattr(ngram_jaccard, "CHUNK", 700)
+    monkeypatch.setattr(ngram_jaccard, "SHARD", 900)
+    rng = random.Random(32)
+    common = prose(rng, 120)
+    texts = [" ".join(common[: rng.randrange(120)] + prose(rng, rng.randrange(150))) for _ in range(120)]
+    texts += [*texts[:5], None, "", " ", "a", "a", "b c"]
+    sets = ngram_jaccard.all_sets([ngram_jaccard.plain(t) for t in texts])
+    some = [s[(mixed(s, 3) & np.uint64(255)) < round(256 * share)] for s in sets]
+    times = defaultdict(int)
+    for s in some:
+        for x in s.tolist():
+            times[x] += 1
+    first = [len(s) - -(-80 * len(s) // 100) + 1 for s in sets]
+    expected = [(i, len(s), len(s) > 0 and sum(times[x] == 1 for x in o.tolist()) < f) for i, (s, o, f) in enumerate(zip(sets, some, first))]
+    got = ngram_jaccard.open_sets(spark, frame(spark, texts).repartition(3), share)
+    assert rows(got, "doc_id", "n_shingles", "open") == sorted(expected, key=repr)
+    assert 0 < sum(o for _, _, o in expected) < len(texts) - 20
+
+
+def test_open_sets_of_more_texts_than_a_chunk_numbers(spark):
+    texts = spark.range(70_000, numPartitions=1).selectExpr("id as doc_id", "concat('w', id % 69990) as text")
+    got = ngram_jaccard.open_sets(spark, texts, 1).where("open")
+    assert {r.doc_id for r in got.collect()} == {*range(10), *range(69_990, 70_000)}
