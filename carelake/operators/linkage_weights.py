@@ -5,8 +5,8 @@ of the comparators agree. Expectation maximisation over the pattern counts gives
 comparator, the chance that a true pair agrees (m) and that any other pair does (u).
 
 Pairs are never formed. For every set of comparators, the pairs that agree on at least
-these are a join of counts by key; inclusion and exclusion turn these sums into the counts
-of exact patterns: eight numbers for three comparators, whatever the tables' size.
+these are a join of counts by key, one after another; inclusion and exclusion turn these sums into
+the counts of exact patterns: eight numbers for three comparators, whatever the tables' size.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from itertools import chain, combinations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from carelake.session import stored
+from carelake.session import shared_path, stored
 
 BLOCK = ["cnes", "_ano"]
 #: Comparator -> tolerance: 0 for equality, n for n days or years either side.
@@ -63,10 +63,15 @@ def agreement_patterns(
             if comparators[name]:
                 b = _shifted(b, name, comparators[name])
         # A day over the turn of the year keeps the block of its own year: no admission has it.
-        pairs = a.join(b, [*BLOCK, *subset]).agg(F.coalesce(F.sum(c("_a") * c("_b")), F.lit(0)).alias("_at_least"))
+        # Merged by the hint: the planner takes a side for as small as it was before its shifted rows.
+        pairs = a.join(b.hint("merge"), [*BLOCK, *subset]).agg(F.coalesce(F.sum(c("_a") * c("_b")), F.lit(0)).alias("_at_least"))
         return pairs.select(*[F.lit(int(x in subset)).alias(x) for x in names], "_at_least")
 
-    counted = reduce(DataFrame.unionByName, map(agreeing, _subsets(names)))
+    # One job and one row for each set: the plan of all would hold every join twice.
+    path = shared_path(spark, "link-at-least")
+    for subset in _subsets(names):
+        (row := agreeing(subset)).write.mode("append").parquet(path)
+    counted = spark.read.schema(row.schema).parquet(path)
     # Exactly these = at least these, less those of every larger set, by alternating signs.
     wider = counted.select(*[c(x).alias(f"w_{x}") for x in names], c("_at_least").alias("_w"))
     contains = reduce(lambda x, y: x & y, [c(f"w_{x}") >= c(x) for x in names])

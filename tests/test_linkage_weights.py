@@ -73,3 +73,11 @@ def test_delivered_rows_and_infants(spark):
     )
     born = {r.id_obito: (r.data, r.idade) for r in linkage.infant_deaths(young).collect()}
     assert born == {"1": (date(2024, 2, 29), 20), "2": (date(2024, 3, 3), None)}
+
+
+def test_patterns_plan_holds_no_join_of_records(spark):
+    """The driver plans the joins one after another; what is left is over eight rows."""
+    rng = random.Random(7)
+    sides = [spark.createDataFrame(records(rng, 200), ROW) for _ in range(2)]
+    plan = agreement_patterns(*sides)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("NestedLoopJoin") == plan.count("Join") == 1, plan
