@@ -530,3 +530,18 @@ def test_open_sets_of_more_texts_than_a_chunk_numbers(spark):
     texts = spark.range(70_000, numPartitions=1).selectExpr("id as doc_id", "concat('w', id % 69990) as text")
     got = ngram_jaccard.open_sets(spark, texts, 1).where("open")
     assert {r.doc_id for r in got.collect()} == {*range(10), *range(69_990, 70_000)}
+
+
+def test_pipeline_stage_lists_near_copies_alone_beyond_the_sketch(spark, monkeypatch, tmp_path):
+    import corpus_pipeline
+
+    seen, given = [], ngram_jaccard.open_lists
+    monkeypatch.setattr(ngram_jaccard, "open_lists", lambda lists, of: seen.append(lists.select("doc").distinct().count()) or given(lists, of))
+    monkeypatch.setattr(ngram_jaccard, "MOST_CELLS", 1 << 16)
+    rng = random.Random(33)
+    base = prose(rng, 12)
+    docs = [base[: rng.randrange(6, 12)] + [f"w{rng.randrange(10**6)}" for _ in range(900)] for _ in range(200)]
+    docs += [docs[7][:-2] + ["x"], docs[7][:-4] + ["y"]]
+    kept = corpus_pipeline.drop_near_copies(spark, frame(spark, [" ".join(d) for d in docs]), str(tmp_path))
+    assert sorted(r.doc_id for r in kept.select("doc_id").collect()) == list(range(200))
+    assert seen[0] == 3
