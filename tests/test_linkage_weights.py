@@ -7,7 +7,7 @@ from datetime import date, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from carelake.operators import linkage
+from carelake.operators import linkage, linkage_weights
 from carelake.operators.linkage_weights import agreement_patterns, estimate_probabilities, estimated_weights
 
 ROW = "cnes string, data date, sexo int, idade int"
@@ -81,3 +81,12 @@ def test_patterns_plan_holds_no_join_of_records(spark):
     sides = [spark.createDataFrame(records(rng, 200), ROW) for _ in range(2)]
     plan = agreement_patterns(*sides)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("NestedLoopJoin") == plan.count("Join") == 1, plan
+
+
+def test_estimates_collect_from_a_plan_without_joins_of_records(spark, monkeypatch):
+    plans, given = [], linkage_weights.estimate_probabilities
+    seen = lambda patterns: plans.append(patterns._jdf.queryExecution().executedPlan().toString()) or given(patterns)
+    monkeypatch.setattr(linkage_weights, "estimate_probabilities", seen)
+    rng = random.Random(8)
+    weights = estimated_weights(*[spark.createDataFrame(records(rng, 100), ROW) for _ in range(2)])
+    assert set(weights) == {"sexo", "idade", "data"} and [p.count("Join") for p in plans] == [1]
